@@ -1,7 +1,6 @@
 """Registered whole-table reports (one per SURVEY §8 key) and their DuckDB oracles."""
 
 from tickspark.plans.registry import REGISTRY, Query  # noqa: F401
-from tickspark.plans import notebook  # noqa: F401  (registers queries)
 
 
 def load_all():
