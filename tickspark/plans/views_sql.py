@@ -109,6 +109,9 @@ def with_views(body: str, extra: dict[str, str] | None = None) -> str:
     """Prefix ``body`` with the fixture CTEs it needs, then any ``extra`` CTEs."""
     ctes = [f"{v} as ({VIEWS[v]})" for v in _needed(body + " ".join((extra or {}).values()))]
     ctes += [f"{k} as ({v.strip()})" for k, v in (extra or {}).items()]
+    body = body.strip()
     if not ctes:
-        return body.strip()
-    return "with " + ",\n".join(ctes) + "\n" + body.strip()
+        return body
+    if body[:5].lower() == "with ":  # merge the body's own CTE list after ours
+        return "with " + ",\n".join(ctes) + ",\n" + body[5:]
+    return "with " + ",\n".join(ctes) + "\n" + body
