@@ -81,9 +81,16 @@ def canonical_ts_ns(date="date", time_us="time_m_us", nano="time_m_nano", tz: st
     return epoch_micros(utc_time(local, tz)) * F.lit(1000) + F.coalesce(col(nano).cast("long"), F.lit(0))
 
 
+def floor_div(x, n: int) -> Column:
+    """Exact integral floor division of a LONG (``/`` would go through a double and lose
+    digits above 2^53, e.g. epoch nanoseconds)."""
+    x = col(x)
+    return ((x - F.pmod(x, F.lit(n))).cast("decimal(38,0)") / F.lit(n)).cast("long")
+
+
 def ns_to_ts(ns) -> Column:
     """UTC epoch nanos → NTZ (UTC) at micro precision."""
-    return from_epoch_micros(F.floor(col(ns) / F.lit(1000)))
+    return from_epoch_micros(floor_div(ns, 1000))
 
 
 _BUCKET_RE = re.compile(r"^\s*(\d+)\s*(ms|s|m|min|h|d)\s*$")

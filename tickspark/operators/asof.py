@@ -73,8 +73,9 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str
         part = keys
     else:
         width = bucket_micros(bucket) * ts_unit_per_us
-        L = L.withColumn("_b", F.floor(F.col("_t") / F.lit(width)))
-        R = R.withColumn("_b", F.floor(F.col("_t") / F.lit(width)))
+        # bucket key = bucket start, in exact integer arithmetic (ts may be LONG nanos)
+        L = L.withColumn("_b", F.col("_t") - F.pmod(F.col("_t"), F.lit(width)))
+        R = R.withColumn("_b", F.col("_t") - F.pmod(F.col("_t"), F.lit(width)))
         # last right row per (by, bucket): map-side partial aggregation, tiny output
         r_last = (R.groupBy(*keys, "_b")
                   .agg(F.max_by("_r", F.struct("_t", "_seq")).alias("_r"))
@@ -119,7 +120,8 @@ def next_time(df: DataFrame, by: Sequence[str], ts: str, seq: str | None = None,
         res = df.withColumn("_nt", nxt)
     else:
         width = bucket_micros(bucket) * ts_unit_per_us
-        base = df.withColumn("_t", tcol).withColumn("_s", s).withColumn("_b", F.floor(F.col("_t") / F.lit(width)))
+        base = (df.withColumn("_t", tcol).withColumn("_s", s)
+                .withColumn("_b", F.col("_t") - F.pmod(F.col("_t"), F.lit(width))))
         firsts = base.groupBy(*by, "_b").agg(F.min("_t").alias("_f"))
         wb = Window.partitionBy(*by).orderBy("_b")
         nb = firsts.withColumn("_nf", F.lead("_f").over(wb))

@@ -6,7 +6,7 @@ from tickspark.plans.registry import REGISTRY, Query  # noqa: F401
 def load_all():
     """Import every plan module so the registry is complete."""
     import importlib
-    for m in ("notebook", "dashboard", "catalog", "lake", "ingest", "streams"):
+    for m in ("notebook", "dashboard", "catalog", "ingest", "lakejobs", "streams"):
         try:
             importlib.import_module(f"tickspark.plans.{m}")
         except ModuleNotFoundError as e:
