@@ -36,9 +36,10 @@ def fx_base(spark, sf_dir) -> DataFrame:
 def fxd_base(spark, sf_dir) -> DataFrame:
     b = fx_base(spark, sf_dir)
     start = F.lit("2024-01-02 09:30:00").cast("timestamp_ntz")
-    day = F.timestamp_add("DAY", F.floor(F.col("event_id") / 10000).cast("int"), start)
+    # whole days and milliseconds as one microsecond offset (NTZ has no DST)
+    days = F.floor(F.col("event_id") / 10000).cast("int").cast("long")
     ms = (F.pmod(F.col("event_id"), F.lit(10000)) * 2340 + F.pmod(F.col("user_id") * 37, F.lit(997))).cast("int")
-    local = F.timestamp_add("MILLISECOND", ms, day)
+    local = F.timestamp_add("MICROSECOND", days * 86_400_000_000 + ms.cast("long") * 1000, start)
     return b.select("event_id", (local + F.expr("INTERVAL 5 HOURS")).alias("ts"), local.alias("ts_local"),
                     "user_id", "event_type", "value", "k")
 
