@@ -14,7 +14,7 @@ from tickspark.operators import bars, stats
 from tickspark.operators.asof import asof_join
 from tickspark.operators.topk import top_k, top_k_per_group
 from tickspark.plans.registry import oracle, query
-from tickspark.sources.fixtures import fxd_nbbo, fxd_trades
+from tickspark.sources.fixtures import fxd_nbbo, fxd_trades, view
 
 BY = ["symbol", "trade_date"]
 QUOTE_COLS = ["best_bid", "best_ask", "spread", "best_bidsizeshares", "best_asksizeshares"]
@@ -28,12 +28,14 @@ def nbbo(spark, d) -> DataFrame:
     return fxd_nbbo(spark, d)
 
 
+@view
 def valid_nbbo(spark, d) -> DataFrame:
     """F6-filtered NBBO with spread and mid (the notebook's ``nbbo_valid``)."""
     return (nbbo(spark, d).where(nonneg_spread())
             .withColumn("spread", spread()).withColumn("mid_price", mid()))
 
 
+@view
 def asof_trades(spark, d, bucket="1m") -> DataFrame:
     """Each trade with the NBBO in force at its time (same symbol and date)."""
     t = trades(spark, d).select("tr_seqnum", "symbol", "trade_date", "ts_event", "price", "size")
@@ -42,6 +44,7 @@ def asof_trades(spark, d, bucket="1m") -> DataFrame:
                      left_seq="tr_seqnum", right_seq="qu_seqnum", bucket=bucket)
 
 
+@view
 def enriched(spark, d, bucket="1m") -> DataFrame:
     """J4 + J2 + P11 + P12: as-of trades of symbol-days present in the valid NBBO, with deviations."""
     common = valid_nbbo(spark, d).select(*BY).distinct()
@@ -94,6 +97,7 @@ CONS_DBL = ["mean_spread", "median_spread", "std_spread", "min_spread", "max_spr
             "deviation_range"]
 
 
+@view
 def consistency(spark, d) -> DataFrame:
     return stats.symbol_consistency(enriched(spark, d))
 

@@ -7,10 +7,17 @@ ticks into dense 390-minute sessions. The DuckDB twins of these views live in
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Views are pure functions of (session, data dir): build each logical plan once per
+# session, like registering a temp view, instead of re-analysing it for every query.
+view = functools.lru_cache(maxsize=256)
+
 
+@view
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -24,6 +31,7 @@ def _symbol():
     return F.when(n == 5, F.lit("S5.A")).otherwise(F.concat(F.lit("S"), n.cast("string")))
 
 
+@view
 def fx_base(spark, sf_dir) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.select(
@@ -33,6 +41,7 @@ def fx_base(spark, sf_dir) -> DataFrame:
         F.regexp_extract("props", "[0-9]+", 0).cast("int").alias("k"))
 
 
+@view
 def fxd_base(spark, sf_dir) -> DataFrame:
     b = fx_base(spark, sf_dir)
     start = F.lit("2024-01-02 09:30:00").cast("timestamp_ntz")
@@ -79,22 +88,27 @@ def _nbbo_from(base: DataFrame) -> DataFrame:
         F.when(F.pmod("event_id", F.lit(2)) == 0, F.lit("C")).otherwise(F.lit("N")).alias("qu_source"))
 
 
+@view
 def fx_trades(spark, sf_dir) -> DataFrame:
     return _trades_from(fx_base(spark, sf_dir))
 
 
+@view
 def fx_nbbo(spark, sf_dir) -> DataFrame:
     return _nbbo_from(fx_base(spark, sf_dir))
 
 
+@view
 def fxd_trades(spark, sf_dir) -> DataFrame:
     return _trades_from(fxd_base(spark, sf_dir))
 
 
+@view
 def fxd_nbbo(spark, sf_dir) -> DataFrame:
     return _nbbo_from(fxd_base(spark, sf_dir))
 
 
+@view
 def fx_quotes(spark, sf_dir) -> DataFrame:
     q = fx_nbbo(spark, sf_dir)
     return (q.withColumnsRenamed({"best_bid": "bid", "best_ask": "ask",
@@ -102,6 +116,7 @@ def fx_quotes(spark, sf_dir) -> DataFrame:
             .withColumn("qu_cancel", F.when(F.pmod("qu_seqnum", F.lit(29)) == 0, F.lit("C"))))
 
 
+@view
 def fx_catalog(spark, sf_dir) -> DataFrame:
     """Partition catalog ``(source, data_type, trade_date, symbol, n_rows)``."""
     t = fx_trades(spark, sf_dir)
@@ -119,6 +134,7 @@ def fx_catalog(spark, sf_dir) -> DataFrame:
             .unionByName(cat(q.where(F.col("trade_date") < F.lit("2024-01-11").cast("date")), "csv", "nbbo")))
 
 
+@view
 def fx_names(spark, sf_dir) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return (o.groupBy("o_custkey")
@@ -129,6 +145,7 @@ def fx_names(spark, sf_dir) -> DataFrame:
                     "namedt", "nameendt"))
 
 
+@view
 def fx_members(spark, sf_dir) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     return (c.where(F.pmod("c_custkey", F.lit(3)) == 0)
@@ -138,6 +155,7 @@ def fx_members(spark, sf_dir) -> DataFrame:
                     .otherwise(F.lit("1999-12-31").cast("date")).alias("ending")))
 
 
+@view
 def li_trades(spark, sf_dir) -> DataFrame:
     """lineitem × part as large plain trades (daily stamps; for aggregation / lake benchmarks)."""
     li = table(spark, sf_dir, "lineitem")
