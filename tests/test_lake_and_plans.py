@@ -91,3 +91,41 @@ def test_fixture_counts(spark):
     assert q.where(F.col("best_ask") < F.col("best_bid")).count() == 137
     c = fx_catalog(spark, SF_MID)
     assert c.count() == 1213 and c.agg(F.sum("n_rows")).first()[0] == 14553
+
+
+def test_lake_scan_prunes_partitions_columns_and_time(spark):
+    root = scratch_path(spark, "t-lake")
+    rows = [(dt.date(2024, 1, d), s, dt.datetime(2024, 1, d, 15, m), float(m), m)
+            for d in (2, 3) for s in ("A", "B") for m in range(10)]
+    df = spark.createDataFrame(rows, "trade_date date, symbol string, ts_event timestamp_ntz, price double, size int")
+    lake.write_partitioned(df, root, "trades")
+    q = lake.load_trades(spark, root, trade_date="2024-01-02", symbols=["A"],
+                         utc_range=("2024-01-02 15:02:00", "2024-01-02 15:05:00")).select("ts_event", "price")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "trade_date" in plan and "symbol" in plan
+    assert "PushedFilters: [IsNotNull(ts_event), GreaterThanOrEqual(ts_event" in plan
+    assert "ReadSchema: struct<ts_event:timestamp_ntz,price:double>" in plan
+    got = sorted(r["price"] for r in q.collect())
+    assert got == [2.0, 3.0, 4.0, 5.0]
+
+
+def test_lake_read_skips_corrupt_files(spark):
+    import os
+    root = scratch_path(spark, "t-lake")
+    df = spark.createDataFrame([(dt.date(2024, 1, 2), "A", 1.0)] * 5, "trade_date date, symbol string, price double")
+    lake.write_partitioned(df, root, "trades", sort_cols=())
+    part = os.path.join(root.replace("file:", ""), "trades", "trade_date=2024-01-02", "symbol=A")
+    with open(os.path.join(part, "part-99999-junk.parquet"), "wb") as f:
+        f.write(b"not a parquet file")
+    assert lake.read_lake(spark, root, "trades").count() == 5
+
+
+def test_time_bounds_fall_back_to_nbbo(spark):
+    from tickspark.operators.reports import time_bounds
+    sch = "ts_event timestamp_ntz"
+    empty = spark.createDataFrame([], sch)
+    q = spark.createDataFrame([(dt.datetime(2024, 1, 2, 9, 30),), (dt.datetime(2024, 1, 2, 16, 0),)], sch)
+    r = time_bounds(empty, q).first()
+    assert r["min_ts"] == dt.datetime(2024, 1, 2, 9, 30) and r["max_ts"] == dt.datetime(2024, 1, 2, 16, 0)
+    r2 = time_bounds(q.limit(1), q).first()
+    assert r2["min_ts"] == r2["max_ts"] == dt.datetime(2024, 1, 2, 9, 30)

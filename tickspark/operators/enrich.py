@@ -40,7 +40,8 @@ def enrich(df: DataFrame, run_id: str | None = None, ingest_ts: _dt.datetime | N
     }).withColumns({
         "ts_event": ns_to_ts("ts_event_ns"),
         "extract_run_id": F.lit(run_id),
-        "ingest_ts": F.lit(ingest_ts).cast("timestamp_ntz"),
+        # a string literal parses to NTZ without consulting any time zone
+        "ingest_ts": F.lit(ingest_ts.isoformat(sep=" ")).cast("timestamp_ntz"),
     }))
 
 

@@ -52,3 +52,12 @@ def summary_table(trades: DataFrame, nbbo: DataFrame, ts: str = "ts_event") -> D
         F.lit(None).cast(nbbo.schema[ts].dataType).alias("min_ts"),
         F.lit(None).cast(nbbo.schema[ts].dataType).alias("max_ts"))
     return t.unionByName(q).unionByName(v)
+
+
+def time_bounds(trades: DataFrame, nbbo: DataFrame, ts: str = "ts_event") -> DataFrame:
+    """(min_ts, max_ts) of the trades, falling back to the NBBO when there are none.
+    One row; both inputs are reduced by partial aggregation to a single row first."""
+    t = trades.agg(F.min(ts).alias("t_lo"), F.max(ts).alias("t_hi"))
+    q = nbbo.agg(F.min(ts).alias("q_lo"), F.max(ts).alias("q_hi"))
+    return t.select(F.coalesce("t_lo", q.select("q_lo").scalar()).alias("min_ts"),
+                    F.coalesce("t_hi", q.select("q_hi").scalar()).alias("max_ts"))

@@ -85,7 +85,7 @@ def read_lake(spark: SparkSession, root: str, dataset: str, schema=None) -> Data
     return r.parquet(f"{root}/{dataset}")
 
 
-def _prune(df: DataFrame, trade_date=None, symbols=None) -> DataFrame:
+def _prune(df: DataFrame, trade_date=None, symbols=None, utc_range=None) -> DataFrame:
     if trade_date is not None:
         if isinstance(trade_date, (list, tuple)):
             df = df.where(F.col("trade_date").isin([F.lit(d).cast("date") for d in trade_date]))
@@ -93,21 +93,25 @@ def _prune(df: DataFrame, trade_date=None, symbols=None) -> DataFrame:
             df = df.where(F.col("trade_date") == F.lit(trade_date).cast("date"))
     if symbols is not None:
         df = df.where(F.col("symbol").isin([symbols] if isinstance(symbols, str) else list(symbols)))
+    if utc_range is not None:  # on the stored column, so Parquet row groups are skipped
+        lo, hi = utc_range
+        df = df.where(F.col("ts_event").between(F.lit(str(lo)).cast("timestamp_ntz"),
+                                                F.lit(str(hi)).cast("timestamp_ntz")))
     return df
 
 
 def load_trades(spark: SparkSession, root: str, trade_date=None, symbols=None,
-                tz: str = EXCHANGE_TZ, schema=None) -> DataFrame:
+                tz: str = EXCHANGE_TZ, schema=None, utc_range=None) -> DataFrame:
     """Trades of one date (or a list, or all), optional symbols; ``ts_event`` becomes
     exchange-local wall time, the UTC instant is kept as ``ts_event_utc`` (P5)."""
-    df = _prune(read_lake(spark, root, "trades", schema), trade_date, symbols)
+    df = _prune(read_lake(spark, root, "trades", schema), trade_date, symbols, utc_range)
     return df.withColumnRenamed("ts_event", "ts_event_utc").withColumn("ts_event", local_time("ts_event_utc", tz))
 
 
 def load_nbbo(spark: SparkSession, root: str, trade_date=None, symbols=None,
-              tz: str = EXCHANGE_TZ, schema=None) -> DataFrame:
+              tz: str = EXCHANGE_TZ, schema=None, utc_range=None) -> DataFrame:
     """As ``load_trades`` and always (re)computes ``mid_price`` and ``spread``."""
-    df = _prune(read_lake(spark, root, "nbbo", schema), trade_date, symbols)
+    df = _prune(read_lake(spark, root, "nbbo", schema), trade_date, symbols, utc_range)
     return (df.withColumnRenamed("ts_event", "ts_event_utc").withColumn("ts_event", local_time("ts_event_utc", tz))
             .withColumn("mid_price", mid()).withColumn("spread", spread()))
 
