@@ -170,3 +170,20 @@ def test_histogram_edges(spark):
     assert sum(h.values()) == 5 and h[4] == 1 and h[0] == 2               # max lands in the last bin
     eq = spark.createDataFrame([(3.0,)] * 4, "x double")
     assert [(r["bin"], r["count"]) for r in stats.histogram(eq, "x", 10).collect()] == [(0, 4)]
+
+
+def test_quantile_switch_to_sketches(spark):
+    import __spark_entry__ as E
+    from tickspark.functions.quantiles import CONF_KEY
+    q = E.queries()["spread_quantiles"]
+    exact = q(spark, "/root/testdata/sf0.01").first()
+    spark.conf.set(CONF_KEY, "approx")
+    try:
+        plan = q(spark, "/root/testdata/sf0.01")
+        assert "percentile_approx" in plan._jdf.queryExecution().optimizedPlan().toString()
+        approx = plan.first()
+    finally:
+        spark.conf.unset(CONF_KEY)
+    assert approx["n"] == exact["n"]
+    for k in ("median", "p95", "p99"):
+        assert abs(approx[k] - exact[k]) <= 0.011   # within one price tick on the spread grid

@@ -13,11 +13,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickspark.functions.columns import col, mid, pct_dev, price_location
+from tickspark.functions.quantiles import median, percentiles
 
 
-def five_stats(c: str, prefix: str = "", approx: bool = False) -> list[Column]:
+def five_stats(c: str, prefix: str = "", approx: bool | None = None) -> list[Column]:
     """min, max, mean, median, std (sample) of one column."""
-    med = F.percentile_approx(c, 0.5, 10000) if approx else F.median(c)
+    med = median(c, approx)
     return [F.min(c).alias(f"{prefix}min"), F.max(c).alias(f"{prefix}max"),
             F.avg(c).alias(f"{prefix}mean"), med.alias(f"{prefix}median"),
             F.stddev_samp(c).alias(f"{prefix}std")]
@@ -35,11 +36,13 @@ def with_deviation(df: DataFrame, price: str = "price", bid: str = "best_bid",
 
 
 def symbol_consistency(enriched: DataFrame, keys: Sequence[str] = ("symbol",),
-                       approx: bool = False) -> DataFrame:
+                       approx: bool | None = None) -> DataFrame:
     """A27 + P16: per-symbol trade/NBBO consistency metrics (16 aggregates + ratios)."""
     loc = F.col("price_location")
     dev = F.col("price_vs_mid_pct")
-    med = (lambda c: F.percentile_approx(c, 0.5, 10000)) if approx else F.median
+
+    def med(c):
+        return median(c, approx)
     agg = enriched.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_trades"),
         F.sum("size").cast("long").alias("total_volume"),
@@ -74,12 +77,9 @@ def location_mix(enriched: DataFrame) -> DataFrame:
 
 
 def quantiles(df: DataFrame, c: str, probs: Sequence[float] = (0.5, 0.95, 0.99),
-              keys: Sequence[str] = (), approx: bool = False) -> DataFrame:
+              keys: Sequence[str] = (), approx: bool | None = None) -> DataFrame:
     """Mean + linear-interpolated quantiles (exact by default)."""
-    if approx:
-        qs = F.percentile_approx(c, list(probs), 10000)
-    else:
-        qs = F.percentile(c, F.array(*[F.lit(p) for p in probs]))
+    qs = percentiles(c, probs, approx)
     names = [f"p{int(round(p * 100))}" if p != 0.5 else "median" for p in probs]
     out = df.groupBy(*keys).agg(F.avg(c).alias("mean"), F.count(c).alias("n"), qs.alias("_q"))
     return out.select(*keys, "mean", "n", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
@@ -111,7 +111,7 @@ def histogram(df: DataFrame, c: str, bins: int, keys: Sequence[str] = ()) -> Dat
 def boxplot(df: DataFrame, c: str, keys: Sequence[str] = ()) -> DataFrame:
     """Quartiles, 1.5·IQR whiskers (most extreme points inside the fences), outlier count."""
     keys = list(keys)
-    pq = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    pq = percentiles(c, (0.25, 0.5, 0.75))
     j = df.select(*keys, c)
     if keys:
         q = df.groupBy(*keys).agg(pq.alias("_q"))

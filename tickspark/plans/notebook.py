@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tickspark.functions.columns import mid, quality_tier, spread
 from tickspark.functions.filters import crossed, nonneg_spread, regular_trade
+from tickspark.functions.quantiles import median
 from tickspark.operators import bars, stats
 from tickspark.operators.asof import asof_join
 from tickspark.operators.topk import top_k, top_k_per_group
@@ -97,7 +98,6 @@ CONS_DBL = ["mean_spread", "median_spread", "std_spread", "min_spread", "max_spr
             "deviation_range"]
 
 
-@view
 def consistency(spark, d) -> DataFrame:
     return stats.symbol_consistency(enriched(spark, d))
 
@@ -349,8 +349,8 @@ def q_quote_size_stats(spark, d):
     b, a = "best_bidsizeshares", "best_asksizeshares"
     return nbbo(spark, d).agg(
         F.min(b).alias("min_bid_size"), F.max(b).alias("max_bid_size"), F.avg(b).alias("mean_bid_size"),
-        F.median(b).alias("median_bid_size"), F.min(a).alias("min_ask_size"), F.max(a).alias("max_ask_size"),
-        F.avg(a).alias("mean_ask_size"), F.median(a).alias("median_ask_size"))
+        median(b).alias("median_bid_size"), F.min(a).alias("min_ask_size"), F.max(a).alias("max_ask_size"),
+        F.avg(a).alias("mean_ask_size"), median(a).alias("median_ask_size"))
 
 
 @query("summary_table", oracle("""
@@ -379,7 +379,7 @@ def q_top_symbol_nbbo(spark, d):
     # the top-k result has at most 5 rows: a proven bound, so broadcasting it is safe
     q = valid_nbbo(spark, d).join(F.broadcast(top5), "symbol", "left_semi")
     return (q.groupBy("symbol").agg(F.count(F.lit(1)).alias("nbbo_records"), F.avg("spread").alias("avg_spread"),
-                                    F.median("spread").alias("median_spread"), F.avg("mid_price").alias("avg_mid"))
+                                    median("spread").alias("median_spread"), F.avg("mid_price").alias("avg_mid"))
             .withColumn("spread_pct_of_mid", F.try_divide(100 * F.col("avg_spread"), F.col("avg_mid"))))
 
 
@@ -464,9 +464,9 @@ def q_symbol_deep_dive(spark, d, symbol: str = "TSLA"):
         F.count_if(loc == "above_ask").alias("above_ask"),
         (F.count_if(loc == "within_spread") * 100.0 / F.count(F.lit(1))).alias("pct_within_spread"),
         F.avg("price_vs_mid_pct").alias("mean_deviation_pct"),
-        F.median("price_vs_mid_pct").alias("median_deviation_pct"),
+        median("price_vs_mid_pct").alias("median_deviation_pct"),
         F.stddev_samp("price_vs_mid_pct").alias("std_deviation_pct"),
-        F.avg("spread").alias("mean_spread"), F.median("spread").alias("median_spread")))
+        F.avg("spread").alias("mean_spread"), median("spread").alias("median_spread")))
 
 
 @query("symbol_consistency", oracle("select * from cons", CONS_DBL, ctes=CONS), ids="A27, P16, P17")
@@ -487,15 +487,15 @@ from cons""", ["avg_trades", "median_trades", "avg_pct_within", "median_pct_with
 def q_consistency_summary(spark, d):
     c = consistency(spark, d)
     return c.agg(F.count(F.lit(1)).alias("n_symbols"), F.avg("total_trades").alias("avg_trades"),
-                 F.median("total_trades").alias("median_trades"),
+                 median("total_trades").alias("median_trades"),
                  F.avg("pct_within_spread").alias("avg_pct_within"),
-                 F.median("pct_within_spread").alias("median_pct_within"),
+                 median("pct_within_spread").alias("median_pct_within"),
                  F.avg("pct_below_bid").alias("avg_pct_below"), F.avg("pct_above_ask").alias("avg_pct_above"),
                  F.avg("mean_spread").alias("avg_mean_spread"),
-                 F.median("median_spread").alias("median_median_spread"),
+                 median("median_spread").alias("median_median_spread"),
                  F.avg("std_spread").alias("avg_std_spread"),
                  F.avg("mean_abs_deviation_pct").alias("avg_abs_deviation"),
-                 F.median("mean_abs_deviation_pct").alias("median_abs_deviation"))
+                 median("mean_abs_deviation_pct").alias("median_abs_deviation"))
 
 
 CORR_METRICS = ["pct_within_spread", "pct_below_bid", "pct_above_ask", "mean_spread", "spread_cv",
