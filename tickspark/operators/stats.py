@@ -12,7 +12,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickspark.functions.columns import col, mid, pct_dev, price_location
+from tickspark.functions.columns import mid, pct_dev, price_location
 from tickspark.functions.quantiles import median, percentiles
 
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tickspark.operators import catalog as cat
 from tickspark.plans.registry import oracle, query

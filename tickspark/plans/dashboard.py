@@ -5,15 +5,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tickspark.functions.columns import (epoch_micros, local_time, micros_of_day, mid, session_start,
-                                         spread, spread_bps, time_bucket)
+                                         spread_bps, time_bucket)
 from tickspark.functions.filters import min_size, time_range
 from tickspark.operators import bars, downsample as ds
 from tickspark.operators.topk import top_k_per_group
 from tickspark.plans.registry import oracle, query
-from tickspark.sources.fixtures import fx_nbbo, fx_trades, fxd_nbbo, fxd_trades
+from tickspark.sources.fixtures import fx_trades, fxd_nbbo, fxd_trades
 
 PANEL_POINTS = 250  # point budget for the panel queries (a small chart)
 

@@ -13,7 +13,7 @@ from tickspark.functions.filters import crossed, nonneg_spread, regular_trade
 from tickspark.functions.quantiles import median
 from tickspark.operators import bars, stats
 from tickspark.operators.asof import asof_join
-from tickspark.operators.topk import top_k, top_k_per_group
+from tickspark.operators.topk import top_k
 from tickspark.plans.registry import oracle, query
 from tickspark.sources.fixtures import fxd_nbbo, fxd_trades, view
 
