@@ -38,10 +38,18 @@ def test_registry_covers_survey_index():
     assert set(SQL) <= set(QUERIES)
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "float": "FLOAT",
+                 "array<string>": "VARCHAR[]"}
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
     cols, rows = _canon(df.columns, [tuple(r) for r in df.collect()])
+    rel = duck.sql(SQL[name])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == duck_types
     cur = duck.execute(SQL[name])
     dcols, drows = _canon([d[0] for d in cur.description], cur.fetchall())
     assert cols == dcols

@@ -101,7 +101,7 @@ def closest_dates(available: DataFrame, targets: DataFrame, keys: Sequence[str],
     fan = av.withColumn("target_date", F.explode(F.sequence(F.date_sub("avail_date", max_days_away),
                                                             F.date_add("avail_date", max_days_away))))
     j = targets.select(*keys, "target_date").join(fan, [*keys, "target_date"])
-    j = j.withColumn("distance", F.abs(F.datediff("avail_date", "target_date")))
+    j = j.withColumn("distance", F.abs(F.datediff("avail_date", "target_date")).cast("long"))
     return (j.groupBy(*keys, "target_date")
             .agg(F.min_by("avail_date", F.struct(F.col("distance"), -F.unix_date("avail_date"))).alias("closest_date"),
                  F.min("distance").alias("distance")))

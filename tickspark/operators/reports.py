@@ -31,7 +31,7 @@ def code_counts(df: DataFrame, cols: Sequence[str], top: int = 20) -> DataFrame:
         field = F.when(F.col(f"_g_{c}") == 0, F.lit(c)).otherwise(field)
     g = g.select(field.alias("field"), F.coalesce(*[F.col(c) for c in cols]).alias("value"), "count")
     w = Window.partitionBy("field").orderBy(F.desc("count"), "value")
-    return g.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
+    return g.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= top)
 
 
 def summary_table(trades: DataFrame, nbbo: DataFrame, ts: str = "ts_event") -> DataFrame:

@@ -18,7 +18,7 @@ def top_k(df: DataFrame, k: int, order: Sequence, key: str, value: Column, board
     """Tagged global top-k: ``(board, rank, key, value)``."""
     top = df.orderBy(*order).limit(k)
     return top.select(F.lit(board).alias("board"),
-                      F.row_number().over(Window.orderBy(*order)).alias("rank"),
+                      F.row_number().over(Window.orderBy(*order)).cast("long").alias("rank"),
                       F.col(key), value.alias("value"))
 
 
@@ -26,4 +26,4 @@ def top_k_per_group(df: DataFrame, k: int, keys: Sequence[str], order: Sequence,
                     rank_col: str = "rank") -> DataFrame:
     """Rows ranked ``1..k`` within each ``keys`` group."""
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
+    return df.withColumn(rank_col, F.row_number().over(w).cast("long")).where(F.col(rank_col) <= k)

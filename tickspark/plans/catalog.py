@@ -333,7 +333,7 @@ def q_source_coverage_rank(spark, d):
     n_known = req.join(c.select("symbol").distinct(), "symbol", "left_semi").agg(F.count(F.lit(1))).scalar()
     from pyspark.sql import Window
     return (cov.withColumn("has_all", F.col("n_symbols") == n_known)
-            .withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n_symbols"), "source"))))
+            .withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n_symbols"), "source")).cast("long")))
 
 
 # ----------------------------------------------------------------------------- multi-source comparisons

@@ -175,9 +175,9 @@ def q_edge_minutes(spark, d):
     first = tpm.orderBy("minute").limit(10)
     last = tpm.orderBy(F.desc("minute")).limit(10)
     return (first.select(F.lit("first").alias("edge"),
-                         F.row_number().over(Window.orderBy("minute")).alias("rank"), *cols)
+                         F.row_number().over(Window.orderBy("minute")).cast("long").alias("rank"), *cols)
             .unionByName(last.select(F.lit("last").alias("edge"),
-                                     F.row_number().over(Window.orderBy(F.desc("minute"))).alias("rank"), *cols)))
+                                     F.row_number().over(Window.orderBy(F.desc("minute"))).cast("long").alias("rank"), *cols)))
 
 
 @query("peak_minute", oracle("""
@@ -537,7 +537,7 @@ from cons""", ["pct_within_spread"], ctes=CONS), ids="W2")
 def q_quality_rank(spark, d):
     c = consistency(spark, d).select("symbol", "pct_within_spread")
     # one row per symbol: a global ordering of a table bounded by the symbol universe
-    return c.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("pct_within_spread"), "symbol")))
+    return c.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("pct_within_spread"), "symbol")).cast("long"))
 
 
 @query("quality_tier", oracle("""
