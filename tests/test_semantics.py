@@ -187,3 +187,23 @@ def test_quantile_switch_to_sketches(spark):
     assert approx["n"] == exact["n"]
     for k in ("median", "p95", "p99"):
         assert abs(approx[k] - exact[k]) <= 0.011   # within one price tick on the spread grid
+
+
+def test_tw_spread_single_shuffle_equals_lead_formulation(spark):
+    from pyspark.sql import Window as W
+    rows = []
+    for day in (2, 3):
+        base = dt.datetime(2024, 1, day, 9, 30)
+        offs = [0, 0.5, 0.5, 59.999, 60, 61.2, 300, 301, 1800.25, 3599, 23399.9, 23401, 23500]  # after close too
+        for i, o in enumerate(offs):
+            for sym in ("A", "B"):
+                rows.append((sym, dt.date(2024, 1, day), base + dt.timedelta(seconds=o), day * 100 + i,
+                             10.0 + i * 0.01, 10.02 + i * 0.013 + (0.5 if sym == "B" else 0)))
+    rows.append(("C", dt.date(2024, 1, 2), dt.datetime(2024, 1, 2, 16, 5), 1, 10.0, 10.1))  # only after close
+    df = spark.createDataFrame(rows, "symbol string, trade_date date, ts_event timestamp_ntz, qu_seqnum long, "
+                                     "best_bid double, best_ask double")
+    for win in ("1m", "37s", "1h"):
+        a = bars.tw_spread(df, win).withColumn("tw_spread", F.round("tw_spread", 9))
+        b = bars.tw_spread_by_lead(df, win).withColumn("tw_spread", F.round("tw_spread", 9))
+        assert a.count() == b.count(), win
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, win

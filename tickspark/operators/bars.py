@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickspark.functions.columns import (bucket_micros, epoch_micros, from_epoch_micros, mid,
@@ -93,14 +93,69 @@ def bucket_close_quotes(grid: DataFrame, nbbo: DataFrame, window: str = "1m",
 
 def tw_spread(nbbo: DataFrame, window: str = "1m", by: Sequence[str] = ("symbol", "trade_date"),
               ts: str = "ts_event", seq: str = "qu_seqnum", bid: str = "best_bid",
-              ask: str = "best_ask", end_of_day_us: int | None = None,
-              lead_bucket: str | None = "1m") -> DataFrame:
+              ask: str = "best_ask", end_of_day_us: int | None = None) -> DataFrame:
     """Time-weighted spread per (by, bucket).
 
     Each valid quote is in force until the next valid quote of the same ``by`` group;
     the last one until ``end_of_day_us`` local micros of day (default: session close).
-    Intervals crossing bucket edges are split by exploding only the buckets they cover.
+
+    One shuffle on (by, bucket): inside each bucket a ``lead`` gives the in-bucket
+    segments and the bucket aggregate reuses the window's partitioning (no second
+    exchange), so a hot symbol is split by time. What crosses bucket edges is fixed
+    on a one-row-per-bucket table: the head of a bucket is covered by the previous
+    quote bucket's last spread, empty buckets in between are fully covered by it, and
+    the day's last quote stops at the close.
     """
+    from tickspark.functions.columns import SESSION_CLOSE_US
+    eod = SESSION_CLOSE_US if end_of_day_us is None else end_of_day_us
+    w = bucket_micros(window)
+    by = list(by)
+    q = (nbbo.where(nonneg_spread(bid, ask))
+         .select(*by, epoch_micros(ts).alias("_t"), F.col(seq).alias("_q"), spread(bid, ask).alias("_s"),
+                 epoch_micros(F.to_date(ts).cast("timestamp_ntz")).alias("_day")))
+    q = q.withColumn("_b", F.col("_t") - F.pmod("_t", F.lit(w)))
+    inb = Window.partitionBy(*by, "_b").orderBy("_t", "_q")
+    q = q.withColumn("_nt", F.lead("_t").over(inb))
+    seg = F.coalesce(F.col("_nt"), F.col("_b") + F.lit(w)) - F.col("_t")   # last one: to bucket end
+    per_b = q.groupBy(*by, "_b").agg(
+        F.sum(F.col("_s") * seg).alias("_num"), F.sum(seg).alias("_den"),
+        F.min("_t").alias("_first"), F.max("_t").alias("_last"),
+        F.max(F.when(F.col("_nt").isNull(), F.col("_s"))).alias("_ls"),   # spread of the bucket's last quote
+        F.max("_day").alias("_day"))
+    across = Window.partitionBy(*by).orderBy("_b")
+    per_b = (per_b.withColumn("_ps", F.lag("_ls").over(across))
+             .withColumn("_nb", F.lead("_b").over(across))
+             .withColumn("_end", F.greatest(F.col("_day") + F.lit(eod), F.col("_last"))))
+    # the day's last quote bucket: its last segment stops at max(close, last quote)
+    cut = F.when(F.col("_nb").isNull(),
+                 F.least(F.col("_end"), F.col("_b") + F.lit(w)) - (F.col("_b") + F.lit(w))).otherwise(F.lit(0))
+    head = F.when(F.col("_ps").isNotNull(), F.col("_first") - F.col("_b")).otherwise(F.lit(0))
+    heads = per_b.select(
+        *by, "_b",
+        (F.col("_num") + F.col("_ls") * cut + F.coalesce(F.col("_ps"), F.lit(0.0)) * head).alias("_num"),
+        (F.col("_den") + cut + head).alias("_den"))
+    # buckets with no quote of their own, covered by the last quote before them
+    stop = F.coalesce(F.col("_nb"), F.col("_end"))
+    gaps = (per_b.where(stop > F.col("_b") + F.lit(w))
+            .select(*by, "_ls", "_nb", "_end",
+                    F.explode(F.sequence(F.col("_b") + F.lit(w),
+                                         F.coalesce(F.col("_nb") - F.lit(w),
+                                                    F.col("_end") - 1 - F.pmod(F.col("_end") - 1, F.lit(w))),
+                                         F.lit(w))).alias("_b"))
+            .withColumn("_cov", F.least(stop, F.col("_b") + F.lit(w)) - F.col("_b"))
+            .select(*by, "_b", (F.col("_ls") * F.col("_cov")).alias("_num"), F.col("_cov").alias("_den")))
+    return (heads.unionByName(gaps).where(F.col("_den") > 0)
+            .select(*by, from_epoch_micros("_b").alias("time_bucket"),
+                    F.try_divide(F.col("_num"), F.col("_den")).alias("tw_spread"),
+                    F.col("_den").alias("covered_us")))
+
+
+def tw_spread_by_lead(nbbo: DataFrame, window: str = "1m", by: Sequence[str] = ("symbol", "trade_date"),
+                      ts: str = "ts_event", seq: str = "qu_seqnum", bid: str = "best_bid",
+                      ask: str = "best_ask", end_of_day_us: int | None = None,
+                      lead_bucket: str | None = "1m") -> DataFrame:
+    """Reference formulation of ``tw_spread`` (kept for equivalence tests): a global
+    ``lead`` per group, then each interval exploded over the buckets it covers."""
     from tickspark.functions.columns import SESSION_CLOSE_US, day_start
     eod = SESSION_CLOSE_US if end_of_day_us is None else end_of_day_us
     w = bucket_micros(window)
