@@ -207,3 +207,25 @@ def test_tw_spread_single_shuffle_equals_lead_formulation(spark):
         b = bars.tw_spread_by_lead(df, win).withColumn("tw_spread", F.round("tw_spread", 9))
         assert a.count() == b.count(), win
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, win
+
+
+def test_session_bounds_clipped_to_data(spark):
+    from tickspark.functions.columns import session_bounds
+    df = spark.createDataFrame([(ts("2024-01-02 09:45:10"), ts("2024-01-02 17:00:00")),
+                                (ts("2024-01-02 04:00:00"), ts("2024-01-02 12:00:00"))], "lo timestamp_ntz, hi timestamp_ntz")
+    s, e = session_bounds("lo", "hi")
+    got = [(r[0], r[1]) for r in df.select(s, e).collect()]
+    assert got == [(ts("2024-01-02 09:45:10"), ts("2024-01-02 16:00:00")),
+                   (ts("2024-01-02 09:30:00"), ts("2024-01-02 12:00:00"))]
+
+
+def test_default_source_prefers_taq(spark):
+    from tickspark.operators.catalog import source_availability
+    sch = "source string, data_type string, trade_date date, symbol string, n_rows long"
+    d = dt.date(2024, 1, 2)
+    c = spark.createDataFrame([("alpaca", "trades", d, "A", 3), ("taq", "nbbo", d, "A", 2), ("csv", "quotes", d, "A", 1)], sch)
+    got = {r["source"]: (r["available"], r["is_default"]) for r in source_availability(c).collect()}
+    assert got == {"alpaca": (True, False), "taq": (True, True), "csv": (False, False)}
+    c2 = c.where(F.col("source") != "taq")
+    got2 = {r["source"]: r["is_default"] for r in source_availability(c2).collect()}
+    assert got2 == {"alpaca": True, "csv": False}

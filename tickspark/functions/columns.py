@@ -152,3 +152,11 @@ def quality_tier(pct) -> Column:
     p = col(pct)
     return F.when(p > 95, F.lit("green")).when(p > 90, F.lit("orange")).otherwise(F.lit("red"))
 
+
+
+def session_bounds(min_ts, max_ts, open_us: int = SESSION_OPEN_US, minutes: int = SESSION_MINUTES):
+    """The default 09:30 + 390-minute window of the data's date, clipped to the data
+    (``greatest(open, min)``, ``least(open + duration, max)``); returns (start, end)."""
+    start = session_start(min_ts, open_us)
+    end = F.timestamp_add("MINUTE", F.lit(minutes), start)
+    return F.greatest(start, col(min_ts)), F.least(end, col(max_ts))

@@ -113,3 +113,19 @@ def index_members_asof(names: DataFrame, members: DataFrame, asof: str) -> DataF
     m = members.where((F.col("start") <= d) & (F.col("ending").isNull() | (F.col("ending") >= d)))
     n = names.where((F.col("namedt") <= d) & (F.col("nameendt") >= d) & F.col("ticker").isNotNull())
     return n.join(m, "permno").select("ticker").distinct()
+
+
+def source_availability(catalog: DataFrame, dates: DataFrame | None = None,
+                        types: Sequence[str] = ("trades", "nbbo"), preferred: str = "taq") -> DataFrame:
+    """C20: per source, does any (requested) date have trades or NBBO; the default source
+    is the preferred one when available, else the first available by name."""
+    c = present(catalog).where(F.col("data_type").isin(*types))
+    if dates is not None:
+        c = c.join(dates.select("trade_date").distinct(), "trade_date", "left_semi")
+    per = c.groupBy("source").agg(F.count_distinct("trade_date").alias("n_dates"))
+    # one row per known source (bounded by the source registry), available or not
+    per = catalog.select("source").distinct().join(per, "source", "left").fillna(0, ["n_dates"])
+    avail = F.col("n_dates") > 0
+    order = Window.orderBy((~avail).cast("int"), (F.col("source") != preferred).cast("int"), "source")
+    return (per.withColumn("available", avail)
+            .withColumn("is_default", avail & (F.row_number().over(order) == 1)))
