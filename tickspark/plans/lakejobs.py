@@ -22,7 +22,7 @@ def _ticks(spark, d) -> DataFrame:
     return fxd_trades(spark, d).select(*LAKE_COLS)
 
 
-@query("lake_roundtrip", oracle(LAKE_SQL, ["price"]), ids="K1, K3, K7")
+@query("lake_roundtrip", oracle(LAKE_SQL, ["price"]), ids="K1, K3, K7, O1")
 def q_lake_roundtrip(spark, d, compression: str = "zstd"):
     root = scratch_path(spark, "lake")
     lake.write_partitioned(_ticks(spark, d), root, "trades", compression=compression)

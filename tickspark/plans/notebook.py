@@ -107,7 +107,7 @@ def consistency(spark, d) -> DataFrame:
 @query("vwap_1m", oracle("""
 select symbol, date_trunc('minute', ts_event) as time_bucket, sum(price * size) as total_price_volume,
        cast(sum(size) as bigint) as total_volume, sum(price * size) / nullif(sum(size), 0) as vwap
-from fxd_trades group by all""", ["total_price_volume", "vwap"]), ids="A1")
+from fxd_trades group by all""", ["total_price_volume", "vwap"]), ids="A1, P10")
 def q_vwap_1m(spark, d):
     return bars.vwap(trades(spark, d), "1m")
 
@@ -130,7 +130,7 @@ def q_trades_per_minute(spark, d):
 @query("nbbo_per_minute", oracle("""
 select date_trunc('minute', ts_event) as minute, count(*) as nbbo_update_count,
        avg(best_ask - best_bid) as avg_spread, avg((best_bid + best_ask) / 2) as avg_mid
-from fxd_nbbo where best_ask - best_bid >= 0 group by all""", ["avg_spread", "avg_mid"]), ids="A12")
+from fxd_nbbo where best_ask - best_bid >= 0 group by all""", ["avg_spread", "avg_mid"]), ids="A12, F6")
 def q_nbbo_per_minute(spark, d):
     return bars.nbbo_per_bucket(nbbo(spark, d), "1m")
 
