@@ -129,3 +129,29 @@ def test_time_bounds_fall_back_to_nbbo(spark):
     assert r["min_ts"] == dt.datetime(2024, 1, 2, 9, 30) and r["max_ts"] == dt.datetime(2024, 1, 2, 16, 0)
     r2 = time_bounds(q.limit(1), q).first()
     assert r2["min_ts"] == r2["max_ts"] == dt.datetime(2024, 1, 2, 9, 30)
+
+
+def test_lake_to_operators_end_to_end(spark):
+    """The README flow: canonical lake (UTC instants) → load → as-of → consistency."""
+    from tickspark.functions.columns import spread
+    from tickspark.functions.filters import nonneg_spread
+    from tickspark.operators import stats
+    from tickspark.operators.asof import asof_join
+    from tickspark.sources.fixtures import fxd_nbbo, fxd_trades
+    root = scratch_path(spark, "t-e2e")
+    t = fxd_trades(spark, SF_SMALL).select("tr_seqnum", "trade_date", "symbol",
+                                           F.col("ts_event_utc").alias("ts_event"), "price", "size")
+    q = fxd_nbbo(spark, SF_SMALL).select("qu_seqnum", "trade_date", "symbol", F.col("ts_event_utc").alias("ts_event"),
+                                         "best_bid", "best_ask", "best_bidsizeshares", "best_asksizeshares")
+    lake.write_partitioned(t, root, "trades")
+    lake.write_partitioned(q, root, "nbbo")
+    trades = lake.load_trades(spark, root).drop("ts_event_utc")
+    quotes = lake.load_nbbo(spark, root).where(nonneg_spread()).withColumn("spread", spread())
+    enriched = stats.with_deviation(asof_join(
+        trades, quotes, by=["symbol", "trade_date"], left_ts="ts_event",
+        right_cols=["best_bid", "best_ask", "spread"], left_seq="tr_seqnum", right_seq="qu_seqnum"))
+    from tickspark.plans.registry import round_doubles
+    got = round_doubles(stats.symbol_consistency(enriched))
+    want = Q["symbol_consistency"](spark, SF_SMALL)
+    assert got.count() == want.count() == 12
+    assert got.exceptAll(want.select(*got.columns)).count() == 0
