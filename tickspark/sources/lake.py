@@ -30,6 +30,10 @@ def write_partitioned(df: DataFrame, root: str, dataset: str, partition_by_symbo
     overwrite); ``mode="append"`` adds files (K2).
     """
     parts = PARTS_BY_SYMBOL if partition_by_symbol else PARTS_BY_DATE
+    target = f"{root}/{dataset}"
+    if mode == "overwrite" and not path_exists(df.sparkSession, target):
+        # nothing to replace: skip dynamic overwrite's staging and per-partition moves
+        mode = "errorifexists"
     obs = Observation("lake_write")
     sort = [c for c in sort_cols if c in df.columns]
     out = (df.hint("rebalance", *parts)
@@ -39,10 +43,17 @@ def write_partitioned(df: DataFrame, root: str, dataset: str, partition_by_symbo
      .option("compression", compression)
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*parts)
-     .parquet(f"{root}/{dataset}"))
+     .parquet(target))
     return int(obs.get["rows"])
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """One metadata call through the Hadoop file system of ``path``."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def _partition_path(root: str, dataset: str, trade_date, symbol=None) -> str:
     p = f"{root}/{dataset}/trade_date={trade_date}"
     return p if symbol is None else f"{p}/symbol={symbol}"
