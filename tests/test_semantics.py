@@ -229,3 +229,33 @@ def test_default_source_prefers_taq(spark):
     c2 = c.where(F.col("source") != "taq")
     got2 = {r["source"]: r["is_default"] for r in source_availability(c2).collect()}
     assert got2 == {"alpaca": True, "csv": False}
+
+
+def test_asof_right_required_drops_groups_without_quotes(spark):
+    d1 = dt.date(2024, 1, 3)
+    t = spark.createDataFrame([("A", d1, ts("2024-01-03 09:30:00"), 1, 1.0), ("A", d1, ts("2024-01-03 11:00:00"), 2, 1.0),
+                               ("B", d1, ts("2024-01-03 09:31:00"), 3, 1.0)],
+                              "sym string, d date, t timestamp_ntz, seq long, price double")
+    q = spark.createDataFrame([("A", d1, ts("2024-01-03 10:00:00"), 9, 5.0, 6.0),
+                               ("B", dt.date(2024, 1, 2), ts("2024-01-02 10:00:00"), 8, 5.0, 6.0)],
+                              "sym string, d date, t timestamp_ntz, qseq long, bid double, ask double")
+    for b in (None, "1m", "5m"):
+        got = {r["seq"]: r["bid"] for r in asof_join(t, q, ["sym", "d"], "t", right_cols=["bid"], left_seq="seq",
+                                                      right_seq="qseq", bucket=b, right_required=True).collect()}
+        assert got == {1: None, 2: 5.0}, b            # B has quotes only on another date → dropped
+
+
+def test_asof_right_required_equals_semi_join_on_hot_symbol(spark):
+    base = spark.range(0, 12000).select(
+        F.when(F.col("id") % 5 < 3, F.lit("HOT")).otherwise(F.concat(F.lit("C"), (F.col("id") % 7).cast("string"))).alias("sym"),
+        F.lit(dt.date(2024, 1, 2)).alias("d"),
+        F.timestamp_add("MILLISECOND", (F.col("id") * 977) % 23_400_000, F.lit(ts("2024-01-02 09:30:00"))).alias("t"),
+        F.col("id").alias("seq"), (F.col("id") % 13).cast("double").alias("x"))
+    trades = base.where(F.col("seq") % 4 == 0).select("sym", "d", "t", "seq", F.col("x").alias("price"))
+    quotes = (base.where((F.col("seq") % 4 != 0) & (F.col("sym") != "C3"))      # C3 never quoted
+              .select("sym", "d", "t", F.col("seq").alias("qseq"), F.col("x").alias("bid")))
+    args = dict(by=["sym", "d"], left_ts="t", right_cols=["bid", "qseq"], left_seq="seq", right_seq="qseq")
+    want = asof_join(trades, quotes, bucket=None, **args).join(quotes.select("sym", "d").distinct(), ["sym", "d"], "left_semi")
+    for b in (None, "1m"):
+        got = asof_join(trades, quotes, bucket=b, right_required=True, **args)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, b

@@ -41,12 +41,15 @@ def _as_long_time(df: DataFrame, c: str):
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str,
               right_ts: str | None = None, right_cols: Sequence[str] | dict | None = None,
               left_seq: str | None = None, right_seq: str | None = None,
-              bucket: str | int | None = "1m", ts_unit_per_us: int = 1) -> DataFrame:
+              bucket: str | int | None = "1m", ts_unit_per_us: int = 1,
+              right_required: bool = False) -> DataFrame:
     """Backward as-of join of ``right`` onto ``left``.
 
     ``right_cols``: names (or ``{name: alias}``) of right columns to bring over.
     ``bucket``: time-bucket width for the skew-safe plan (``None`` = plain plan).
     ``ts_unit_per_us``: 1000 when the ts columns are LONG nanoseconds.
+    ``right_required``: drop left rows whose ``by`` group has no right row at all (the
+    "present on both sides" restriction), decided inside the same plan — no extra join.
     """
     by = list(by)
     right_ts = right_ts or left_ts
@@ -71,6 +74,8 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str
     if bucket is None:
         U = L.unionByName(R, allowMissingColumns=True)
         part = keys
+        if right_required:  # any right row in the group: same partitioning, no new exchange
+            U = U.withColumn("_keep", F.max(1 - F.col("_side")).over(Window.partitionBy(*keys)))
     else:
         width = bucket_micros(bucket) * ts_unit_per_us
         # bucket key = bucket start, in exact integer arithmetic (ts may be LONG nanos)
@@ -86,17 +91,26 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str
         wk = (Window.partitionBy(*keys).orderBy("_b", "_o")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         carry = (l_buckets.unionByName(r_last, allowMissingColumns=True)
-                 .withColumn("_c", F.last("_r", ignorenulls=True).over(wk))
-                 .where((F.col("_o") == 0) & F.col("_c").isNotNull())
-                 .select(*keys, "_b", F.lit(_MIN_LONG).alias("_t"), F.lit(0).alias("_side"),
-                         F.lit(_MIN_LONG).alias("_seq"), F.col("_c").alias("_r")))
+                 .withColumn("_c", F.last("_r", ignorenulls=True).over(wk)))
+        if right_required:
+            # a carry row (possibly with no quote yet) marks buckets of groups with any right row
+            carry = (carry.withColumn("_anyr", F.max(F.col("_o")).over(Window.partitionBy(*keys)))
+                     .where((F.col("_o") == 0) & (F.col("_anyr") == 1)))
+        else:
+            carry = carry.where((F.col("_o") == 0) & F.col("_c").isNotNull())
+        carry = carry.select(*keys, "_b", F.lit(_MIN_LONG).alias("_t"), F.lit(0).alias("_side"),
+                             F.lit(_MIN_LONG).alias("_seq"), F.col("_c").alias("_r"),
+                             F.lit(1).alias("_keep"))
         U = L.unionByName(R, allowMissingColumns=True).unionByName(carry, allowMissingColumns=True)
         part = keys + ["_b"]
 
     w = (Window.partitionBy(*part).orderBy("_t", "_side", "_seq")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = (U.withColumn("_m", F.last("_r", ignorenulls=True).over(w))
-           .where(F.col("_side") == 1))
+    out = U.withColumn("_m", F.last("_r", ignorenulls=True).over(w))
+    if right_required and bucket is not None:
+        # the carry row sorts first in its bucket, so a running max sees it on every row
+        out = out.withColumn("_keep", F.max("_keep").over(w))
+    out = out.where((F.col("_side") == 1) & (F.col("_keep") == 1) if right_required else (F.col("_side") == 1))
     return out.select(*[F.col("_l")[c].alias(c) for c in lcols],
                       *[F.col("_m")[a].alias(a) for a in right_cols.values()])
 

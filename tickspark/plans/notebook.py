@@ -47,9 +47,12 @@ def asof_trades(spark, d, bucket="1m") -> DataFrame:
 
 @view
 def enriched(spark, d, bucket="1m") -> DataFrame:
-    """J4 + J2 + P11 + P12: as-of trades of symbol-days present in the valid NBBO, with deviations."""
-    common = valid_nbbo(spark, d).select(*BY).distinct()
-    j = asof_trades(spark, d, bucket).join(common, BY, "left_semi")
+    """J4 + J2 + P11 + P12: as-of trades of symbol-days present in the valid NBBO, with deviations.
+    The "present on both sides" rule is evaluated inside the as-of plan (``right_required``)."""
+    t = trades(spark, d).select("tr_seqnum", "symbol", "trade_date", "ts_event", "price", "size")
+    q = valid_nbbo(spark, d).select(*BY, "ts_event", "qu_seqnum", *QUOTE_COLS)
+    j = asof_join(t, q, by=BY, left_ts="ts_event", right_cols=QUOTE_COLS, left_seq="tr_seqnum",
+                  right_seq="qu_seqnum", bucket=bucket, right_required=True)
     return stats.with_deviation(j)
 
 
