@@ -155,3 +155,20 @@ def test_lake_to_operators_end_to_end(spark):
     want = Q["symbol_consistency"](spark, SF_SMALL)
     assert got.count() == want.count() == 12
     assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_streaming_churn_equals_batch_on_closed_windows(spark):
+    from tickspark.operators import bars
+    from tickspark.sources.fixtures import fxd_nbbo
+    from tickspark.streaming import ingest, minute
+    q = fxd_nbbo(spark, SF_SMALL).select("symbol", "ts_event", "qu_seqnum")
+    landing = scratch_path(spark, "t-landing")
+    q.write.parquet(landing)
+    out, ck = scratch_path(spark, "t-out"), scratch_path(spark, "t-ck")
+    src = spark.readStream.schema(q.schema).parquet(landing)
+    ingest.run_to_end(minute.write_append(minute.minute_churn_stream(src), out, ck))
+    s = spark.read.parquet(out)
+    b = bars.churn(q, "1m")
+    wm = q.agg(F.max("ts_event")).first()[0] - dt.timedelta(minutes=2)
+    closed = b.where(F.col("time_bucket") + F.expr("INTERVAL 1 MINUTE") <= F.lit(wm))
+    assert s.exceptAll(closed).count() == 0 and closed.exceptAll(s).count() == 0
