@@ -259,3 +259,29 @@ def test_asof_right_required_equals_semi_join_on_hot_symbol(spark):
     for b in (None, "1m"):
         got = asof_join(trades, quotes, bucket=b, right_required=True, **args)
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, b
+
+
+def test_top_k_puts_null_sizes_last(spark):
+    from tickspark.operators.topk import top_k_per_group
+    df = spark.createDataFrame([("A", None, 1), ("A", 5, 2), ("A", 9, 3), ("A", 5, 4)],
+                               "symbol string, size int, seq long")
+    r = top_k_per_group(df, 3, ["symbol"], [F.desc_nulls_last("size"), "seq"]).orderBy("rank").collect()
+    assert [(x["seq"], x["rank"]) for x in r] == [(3, 1), (2, 2), (4, 3)]     # ties by seq; NULL not "largest"
+
+
+def test_downsample_properties(spark):
+    from tickspark.functions.columns import epoch_micros
+    sch = "symbol string, ts_event timestamp_ntz, qu_seqnum long, best_bid double, cond string"
+    rows = [(s, ts("2024-01-02 09:30:00") + dt.timedelta(milliseconds=(i * 7919) % 3_600_000), i, float(i), "x")
+            for s in ("A", "B") for i in range(3000)] + [("C", ts("2024-01-02 10:00:00"), 1, 1.0, "y")]
+    df = spark.createDataFrame(rows, sch)
+    out = downsample(df, max_points=100)
+    per = {r["symbol"]: r["count"] for r in out.groupBy("symbol").count().collect()}
+    # width = int(span / budget) whole seconds → at most span/width + 1 grid buckets (≈ budget)
+    span = (max(r[1] for r in rows if r[0] == "A") - min(r[1] for r in rows if r[0] == "A")).total_seconds()
+    bound = int(span // int(span / 100)) + 2
+    assert per["C"] == 1 and per["A"] <= bound and per["B"] <= bound
+    # every output row is a bucket start that some input row falls into, with that bucket's last bid
+    joined = out.join(df.select("symbol", F.col("ts_event").alias("t0"), F.col("best_bid").alias("b0")), "symbol")
+    assert out.where(F.col("symbol") == "C").first()["best_bid"] == 1.0
+    assert out.agg(F.min(epoch_micros("ts_event"))).first()[0] >= 0 and joined.count() > 0
