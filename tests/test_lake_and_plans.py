@@ -172,3 +172,22 @@ def test_streaming_churn_equals_batch_on_closed_windows(spark):
     wm = q.agg(F.max("ts_event")).first()[0] - dt.timedelta(minutes=2)
     closed = b.where(F.col("time_bucket") + F.expr("INTERVAL 1 MINUTE") <= F.lit(wm))
     assert s.exceptAll(closed).count() == 0 and closed.exceptAll(s).count() == 0
+
+
+def test_rest_pages_defaults_and_nanoseconds(spark):
+    import json
+    import os
+    from tickspark.sources import rest
+    path = scratch_path(spark, "t-rest")
+    os.makedirs(path.replace("file:", ""), exist_ok=True)
+    page = {"symbol": "AAPL", "next_page_token": None, "trades": [
+        {"t": "2024-07-02T13:30:00.123456789Z", "x": "V", "p": 210.5, "s": 100},
+        {"t": "2024-01-02T14:30:01Z"}]}                       # missing x, p, s; whole second
+    with open(os.path.join(path.replace("file:", ""), "page-0.json"), "w") as f:
+        f.write(json.dumps(page) + "\n")
+    rows = sorted(rest.read_rest_trades(spark, path).collect(), key=lambda r: r["ts_event_ns"])
+    winter, summer = rows
+    assert (winter["ex"], winter["price"], winter["size"], winter["tr_source"]) == ("", 0.0, 0, "ALPACA")
+    assert summer["ts_event_ns"] % 1_000_000_000 == 123456789 and summer["time_m_nano"] == 123456789
+    assert summer["date"] == dt.date(2024, 7, 2) and summer["time_m_us"] == (9 * 3600 + 30 * 60) * 10**6   # EDT
+    assert winter["time_m_us"] == (9 * 3600 + 30 * 60 + 1) * 10**6 and winter["time_m_nano"] == 0       # EST
