@@ -81,7 +81,8 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str
         # bucket key = bucket start, in exact integer arithmetic (ts may be LONG nanos)
         L = L.withColumn("_b", F.col("_t") - F.pmod(F.col("_t"), F.lit(width)))
         R = R.withColumn("_b", F.col("_t") - F.pmod(F.col("_t"), F.lit(width)))
-        # last right row per (by, bucket): map-side partial aggregation, tiny output
+        # last right row per (by, bucket): partial aggregation before the shuffle, one row per
+        # key-bucket (sort-based: max_by over a struct has no hash-aggregation buffer)
         r_last = (R.groupBy(*keys, "_b")
                   .agg(F.max_by("_r", F.struct("_t", "_seq")).alias("_r"))
                   .withColumn("_o", F.lit(1)))
