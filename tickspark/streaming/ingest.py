@@ -27,6 +27,10 @@ def ingest_stream(spark: SparkSession, landing: str, schema: T.StructType, out_p
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     src = r.format(fmt).load(landing)
     df = transform(src) if transform else src
+    if partition_by:
+        # one file per lake partition per micro-batch instead of one per task and partition;
+        # the batch size itself is bounded by ``max_files_per_trigger``
+        df = df.repartition(*partition_by)
     w = (df.writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .partitionBy(*partition_by).outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
