@@ -285,3 +285,39 @@ def test_downsample_properties(spark):
     joined = out.join(df.select("symbol", F.col("ts_event").alias("t0"), F.col("best_bid").alias("b0")), "symbol")
     assert out.where(F.col("symbol") == "C").first()["best_bid"] == 1.0
     assert out.agg(F.min(epoch_micros("ts_event"))).first()[0] >= 0 and joined.count() > 0
+
+
+def test_minute_nbbo_features_equal_composition(spark):
+    """One-pass close NBBO + updates + time-weighted spread == as-of + churn + tw_spread."""
+    rows = []
+    for day in (2, 3):
+        base = dt.datetime(2024, 1, day, 9, 30)
+        offs = [0, 0.5, 0.5, 59.999, 60, 60, 61.2, 120, 300, 301, 1800.25, 3599, 23399.9, 23401, 23500]
+        for i, o in enumerate(offs):
+            for sym in ("A", "B"):
+                b = 10.0 + i * 0.01 + (0.05 if i % 5 == 3 else 0)        # every fifth quote crossed
+                rows.append((sym, dt.date(2024, 1, day), base + dt.timedelta(seconds=o), day * 100 + i,
+                             b, 10.02 + i * 0.023 + (0.5 if sym == "B" else 0)))
+    rows += [("C", dt.date(2024, 1, 2), dt.datetime(2024, 1, 2, 16, 5), 1, 10.0, 10.1),
+             ("D", dt.date(2024, 1, 2), dt.datetime(2024, 1, 2, 10, 0), 1, 10.5, 10.1)]
+    q = spark.createDataFrame(rows, "symbol string, trade_date date, ts_event timestamp_ntz, qu_seqnum long, "
+                                    "best_bid double, best_ask double")
+    tmins = [(s, dt.date(2024, 1, d), dt.datetime(2024, 1, d, 9, 30) + dt.timedelta(minutes=m))
+             for s in "ABCDE" for d in (2, 3) for m in (-5, 0, 1, 2, 3, 7, 29, 30, 59, 60, 389, 390, 395)]
+    tr = spark.createDataFrame(tmins, "symbol string, trade_date date, ts_event timestamp_ntz")
+    for win in ("1m", "37s", "5m"):
+        grid = tr.groupBy("symbol", "trade_date", time_bucket("ts_event", win).alias("time_bucket")) \
+                 .agg(F.count(F.lit(1)).alias("num_trades"))
+        new = bars.minute_nbbo_features(q, grid, win)
+        old = (bars.bucket_close_quotes(grid, q, win)
+               .join(bars.churn(q, win).withColumnRenamed("churn", "quote_updates"), ["symbol", "time_bucket"], "left")
+               .join(bars.tw_spread(q, win).drop("covered_us"), ["symbol", "trade_date", "time_bucket"], "left")
+               .withColumn("quote_updates", F.coalesce("quote_updates", F.lit(0).cast("long"))))
+        cols = old.columns
+
+        def r(df):
+            return df.select(*[F.round(c, 9).alias(c) if t == "double" else F.col(c)
+                               for c, t in df.select(*cols).dtypes])
+        a, b = r(new), r(old)
+        assert a.count() == b.count(), win
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, win

@@ -199,3 +199,84 @@ def lod_choice(window_seconds) -> "F.Column":
     """A44 design rule: >30 min → 1 s table, 2–30 min → 100 ms table, <2 min → raw."""
     s = F.col(window_seconds) if isinstance(window_seconds, str) else window_seconds
     return F.when(s > 1800, F.lit("1s")).when(s >= 120, F.lit("100ms")).otherwise(F.lit("raw"))
+
+
+def minute_nbbo_features(nbbo: DataFrame, grid: DataFrame, window: str = "1m",
+                         by: Sequence[str] = ("symbol", "trade_date"), ts: str = "ts_event",
+                         seq: str = "qu_seqnum", bid: str = "best_bid", ask: str = "best_ask",
+                         end_of_day_us: int | None = None) -> DataFrame:
+    """A41 + J8 + A2 for the buckets of ``grid`` (``by`` + ``time_bucket``) from ONE pass over
+    the quotes: NBBO at the bucket close (last valid quote at or before the bucket end),
+    number of quote updates in the bucket, and the time-weighted spread of the bucket.
+
+    Quotes are shuffled once by (by, bucket). Inside a bucket, valid quotes are ordered
+    first, so ``lead`` gives each valid quote's in-bucket segment, and the bucket's last valid
+    quote and its quotes stamped exactly at the bucket start (which close the previous
+    bucket) are flagged. Per-bucket results are merged with the grid on a small table,
+    where windows carry the last valid quote forward and find the next valid bucket.
+    Same results as ``bucket_close_quotes`` + ``churn`` + ``tw_spread`` on the grid.
+    """
+    from tickspark.functions.columns import SESSION_CLOSE_US
+    eod = SESSION_CLOSE_US if end_of_day_us is None else end_of_day_us
+    w = bucket_micros(window)
+    by = list(by)
+    q = nbbo.select(*by, epoch_micros(ts).alias("_t"), F.col(seq).alias("_q"),
+                    F.col(bid).alias("_bid"), F.col(ask).alias("_ask"),
+                    F.coalesce(nonneg_spread(bid, ask), F.lit(False)).alias("_v"),
+                    epoch_micros(F.to_date(ts).cast("timestamp_ntz")).alias("_day"))
+    q = q.withColumn("_b", F.col("_t") - F.pmod("_t", F.lit(w)))
+    inb = Window.partitionBy(*by, "_b").orderBy(F.desc("_v"), "_t", "_q")
+    nv, nt = F.lead("_v").over(inb), F.lead("_t").over(inb)
+    q = (q.withColumn("_nt", F.when(F.col("_v") & F.coalesce(nv, F.lit(False)), nt))
+         .withColumn("_at0_next", F.coalesce(nv & (nt == F.col("_b")), F.lit(False))))
+    v, last_v = F.col("_v"), F.col("_v") & F.col("_nt").isNull()
+    at0_last = v & (F.col("_t") == F.col("_b")) & ~F.col("_at0_next")
+    spr = F.col("_ask") - F.col("_bid")
+    seg = F.coalesce(F.col("_nt"), F.col("_b") + F.lit(w)) - F.col("_t")
+    per_b = q.groupBy(*by, "_b").agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(v).alias("_nv"),
+        F.sum(F.when(v, spr * seg)).alias("_num"), F.sum(F.when(v, seg)).alias("_den"),
+        F.min(F.when(v, F.col("_t"))).alias("_first"), F.max(F.when(v, F.col("_t"))).alias("_last"),
+        F.max(F.when(last_v, spr)).alias("_ls"), F.max(F.when(last_v, F.col("_bid"))).alias("_lb"),
+        F.max(F.when(last_v, F.col("_ask"))).alias("_la"),
+        F.max(F.when(at0_last, F.col("_bid"))).alias("_zb"), F.max(F.when(at0_last, F.col("_ask"))).alias("_za"),
+        F.max("_day").alias("_day"))
+    g = grid.select(*by, epoch_micros("time_bucket").alias("_b"), *[c for c in grid.columns
+                                                                   if c not in by and c != "time_bucket"])
+    small = g.withColumn("_g", F.lit(True)).unionByName(per_b, allowMissingColumns=True)
+    extra = [c for c in g.columns if c not in by and c != "_b"]
+    small = small.groupBy(*by, "_b").agg(
+        *[F.max(c).alias(c) for c in extra + ["_g", "_n", "_nv", "_num", "_den", "_first", "_last", "_ls",
+                                             "_lb", "_la", "_zb", "_za", "_day"]])
+    fwd = Window.partitionBy(*by).orderBy("_b")
+    before = fwd.rowsBetween(Window.unboundedPreceding, -1)
+    bwd = Window.partitionBy(*by).orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
+    valid_b = F.coalesce(F.col("_nv"), F.lit(0)) > 0
+    end = F.greatest(F.col("_day") + F.lit(eod), F.col("_last"))
+    small = (small
+             .withColumn("_pq", F.last(F.when(valid_b, F.struct(F.col("_lb").alias("b"), F.col("_la").alias("a"),
+                                                                 F.col("_ls").alias("s"), end.alias("e"))),
+                                       ignorenulls=True).over(before))
+             .withColumn("_nb", F.last(F.when(valid_b, F.col("_b")), ignorenulls=True).over(bwd))
+             .withColumn("_nx", F.lead(F.struct("_b", "_zb", "_za")).over(fwd)))
+    # NBBO at the close: a quote stamped exactly at the bucket end, else this bucket's last, else carried
+    at_end = (F.col("_nx._b") == F.col("_b") + F.lit(w)) & F.col("_nx._zb").isNotNull()
+    close_b = F.when(at_end, F.col("_nx._zb")).when(valid_b, F.col("_lb")).otherwise(F.col("_pq.b"))
+    close_a = F.when(at_end, F.col("_nx._za")).when(valid_b, F.col("_la")).otherwise(F.col("_pq.a"))
+    # time-weighted spread: own segments (+ head covered by the previous quote, − tail after the
+    # day's last quote) for buckets with valid quotes; carried spread over the covered part otherwise
+    cut = F.when(F.col("_nb").isNull(), F.least(end, F.col("_b") + F.lit(w)) - (F.col("_b") + F.lit(w))) \
+        .otherwise(F.lit(0))
+    head = F.when(F.col("_pq").isNotNull(), F.col("_first") - F.col("_b")).otherwise(F.lit(0))
+    num_v = F.col("_num") + F.col("_ls") * cut + F.coalesce(F.col("_pq.s"), F.lit(0.0)) * head
+    den_v = F.col("_den") + cut + head
+    cov_g = F.least(F.coalesce(F.col("_nb"), F.col("_pq.e")), F.col("_b") + F.lit(w)) - F.col("_b")
+    num = F.when(valid_b, num_v).otherwise(F.col("_pq.s") * cov_g)
+    den = F.when(valid_b, den_v).otherwise(cov_g)
+    return (small.where(F.col("_g"))
+            .select(*by, from_epoch_micros("_b").alias("time_bucket"), *extra,
+                    close_b.alias("close_bid"), close_a.alias("close_ask"),
+                    F.coalesce(F.col("_n"), F.lit(0).cast("long")).alias("quote_updates"),
+                    F.when(den > 0, F.try_divide(num, den)).alias("tw_spread"))
+            .withColumn("close_mid", mid("close_bid", "close_ask"))
+            .withColumn("close_spread", spread("close_bid", "close_ask")))

@@ -102,14 +102,10 @@ def q_bars_1m_nbbo(spark, d):
     t, q = fxd_trades(spark, d), fxd_nbbo(spark, d)
     grid = (t.groupBy("symbol", "trade_date", time_bucket("ts_event", "1m").alias("time_bucket"))
             .agg(F.count(F.lit(1)).alias("num_trades")))
-    close = bars.bucket_close_quotes(grid, q, "1m")
-    updates = bars.churn(q, "1m").withColumnRenamed("churn", "quote_updates")
-    tw = bars.tw_spread(q, "1m").drop("covered_us")
-    return (close.join(updates, ["symbol", "time_bucket"], "left")
-            .join(tw, ["symbol", "trade_date", "time_bucket"], "left")
-            .select("symbol", "trade_date", "time_bucket", "num_trades", "close_bid", "close_ask", "close_mid",
-                    "close_spread", F.coalesce("quote_updates", F.lit(0).cast("long")).alias("quote_updates"),
-                    "tw_spread"))
+    # one pass over the quotes for close NBBO, update count and time-weighted spread
+    f = bars.minute_nbbo_features(q, grid, "1m")
+    return f.select("symbol", "trade_date", "time_bucket", "num_trades", "close_bid", "close_ask", "close_mid",
+                    "close_spread", "quote_updates", "tw_spread")
 
 
 @query("lod_quotes_1s", oracle("""
