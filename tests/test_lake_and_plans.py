@@ -127,7 +127,7 @@ def test_time_bounds_fall_back_to_nbbo(spark):
     q = spark.createDataFrame([(dt.datetime(2024, 1, 2, 9, 30),), (dt.datetime(2024, 1, 2, 16, 0),)], sch)
     r = time_bounds(empty, q).first()
     assert r["min_ts"] == dt.datetime(2024, 1, 2, 9, 30) and r["max_ts"] == dt.datetime(2024, 1, 2, 16, 0)
-    r2 = time_bounds(q.limit(1), q).first()
+    r2 = time_bounds(q.where(F.col("ts_event") == dt.datetime(2024, 1, 2, 9, 30)), q).first()
     assert r2["min_ts"] == r2["max_ts"] == dt.datetime(2024, 1, 2, 9, 30)
 
 
