@@ -321,3 +321,18 @@ def test_minute_nbbo_features_equal_composition(spark):
         a, b = r(new), r(old)
         assert a.count() == b.count(), win
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, win
+
+
+def test_session_edges(spark):
+    from tickspark.functions.filters import in_session, in_session_half_open
+    df = spark.createDataFrame([(ts("2024-01-02 09:29:59.999999"),), (ts("2024-01-02 09:30:00"),),
+                                (ts("2024-01-02 15:59:59.999999"),), (ts("2024-01-02 16:00:00"),),
+                                (ts("2024-01-02 16:00:00.000001"),)], "ts_event timestamp_ntz")
+    got = [(r[0], r[1]) for r in df.select(in_session(), in_session_half_open()).collect()]
+    assert got == [(False, False), (True, True), (True, True), (True, False), (False, False)]
+
+
+def test_lod_choice_rule(spark):
+    df = spark.createDataFrame([(60.0,), (119.0,), (120.0,), (1800.0,), (1801.0,)], "s double")
+    got = [r[0] for r in df.select(bars.lod_choice("s")).collect()]
+    assert got == ["raw", "raw", "100ms", "100ms", "1s"]
