@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from tickspark.llm.common import stored
 
 BLOCK_CHARS = 65_536
-BUCKET_ROWS = 4_096
+BUCKET_ROWS = 512
 #: The period is the least power of two with this many slots per source.
 SLOTS_PER_SOURCE = 32
 MAX_SOURCES = 65_536
