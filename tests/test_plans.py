@@ -47,21 +47,3 @@ def test_per_group_top_k_limits_before_shuffle(spark):
 def test_flagship_has_no_join(spark):
     p = plan_of(spark, "symbol_consistency")
     assert "Join" not in p
-
-
-QUANTILE_QUERIES = ["spread_quantiles", "symbol_consistency", "consistency_summary", "symbol_deep_dive",
-                    "spread_boxplot", "deviation_stats", "price_stats", "size_stats", "spread_stats", "mid_stats",
-                    "quote_size_stats", "top_symbol_nbbo", "metric_corr", "quality_counts"]
-
-
-def test_quantile_reports_run_with_sketches(spark):
-    from tickspark.functions.quantiles import CONF_KEY
-    spark.conf.set(CONF_KEY, "approx")
-    try:
-        for name in QUANTILE_QUERIES:
-            df = Q[name](spark, SF_SMALL)
-            exact_free = df._jdf.queryExecution().optimizedPlan().toString()
-            assert "percentile(" not in exact_free and "median(" not in exact_free, name
-            assert df.count() >= 1, name
-    finally:
-        spark.conf.unset(CONF_KEY)

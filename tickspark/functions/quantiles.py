@@ -1,34 +1,24 @@
-"""Median / percentile with a session-wide exact-or-approximate switch.
+"""Exact median and percentiles with linear interpolation.
 
-Exact ``median``/``percentile`` (the reference's semantics: linear interpolation)
-keep a value→count map per group, which is fine on price grids but unbounded for
-continuous values in one hot group. Setting ``spark.tickspark.quantiles=approx``
-switches every report to ``percentile_approx`` — fixed-size, mergeable sketches.
+Both keep a value→count map per group: small on price grids. A caller may pass
+``approx=True`` for a fixed-size, mergeable sketch instead; nothing else does.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CONF_KEY = "spark.tickspark.quantiles"
 ACCURACY = 10000
 
 
-def approx_enabled(approx: bool | None = None) -> bool:
-    if approx is not None:
-        return approx
-    s = SparkSession.getActiveSession()
-    return bool(s) and s.conf.get(CONF_KEY, "exact") == "approx"
-
-
 def median(c, approx: bool | None = None) -> Column:
-    return F.percentile_approx(c, 0.5, ACCURACY) if approx_enabled(approx) else F.median(c)
+    return F.percentile_approx(c, 0.5, ACCURACY) if approx else F.median(c)
 
 
 def percentiles(c, probs: Sequence[float], approx: bool | None = None) -> Column:
-    if approx_enabled(approx):
+    if approx:
         return F.percentile_approx(c, list(probs), ACCURACY)
     return F.percentile(c, F.array(*[F.lit(p) for p in probs]))

@@ -17,6 +17,7 @@ Spark has no public as-of join, so it is composed from DataFrame operations:
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -47,7 +48,10 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str
 
     ``right_cols``: names (or ``{name: alias}``) of right columns to bring over.
     ``bucket``: time-bucket width for the skew-safe plan (``None`` = plain plan).
-    ``ts_unit_per_us``: 1000 when the ts columns are LONG nanoseconds.
+    ``ts_unit_per_us``: 1000 when the ts columns are LONG nanoseconds; join ticks on
+    those, or a quote up to a microsecond later can be taken for an earlier one.
+    A NULL key or time matches nothing; such left rows keep NULLs. The ``by`` columns
+    come straight from the window keys, so filters on them reach every scan.
     ``right_required``: drop left rows whose ``by`` group has no right row at all (the
     "present on both sides" restriction), decided inside the same plan — no extra join.
     """
@@ -58,12 +62,14 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str
     if not isinstance(right_cols, dict):
         right_cols = {c: c for c in right_cols}
     lcols = left.columns
+    carried = [c for c in lcols if c not in by]
+    right = right.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*by, right_ts)]))
 
     L = left.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)],
                     _as_long_time(left, left_ts).alias("_t"),
                     F.lit(1).alias("_side"),
                     (F.col(left_seq).cast("long") if left_seq else F.lit(0).cast("long")).alias("_seq"),
-                    F.struct(*lcols).alias("_l"))
+                    F.struct(*carried).alias("_l"))
     R = right.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)],
                      _as_long_time(right, right_ts).alias("_t"),
                      F.lit(0).alias("_side"),
@@ -112,7 +118,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str
         # the carry row sorts first in its bucket, so a running max sees it on every row
         out = out.withColumn("_keep", F.max("_keep").over(w))
     out = out.where((F.col("_side") == 1) & (F.col("_keep") == 1) if right_required else (F.col("_side") == 1))
-    return out.select(*[F.col("_l")[c].alias(c) for c in lcols],
+    return out.select(*[F.col(f"_k{by.index(c)}").alias(c) if c in by else F.col("_l")[c].alias(c) for c in lcols],
                       *[F.col("_m")[a].alias(a) for a in right_cols.values()])
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 DATA_TYPES = ["trades", "quotes", "nbbo"]
@@ -38,8 +39,10 @@ def catalog_from_lake(spark, root: str, source: str) -> DataFrame:
     for dtype in DATA_TYPES:
         try:
             df = spark.read.parquet(f"{root}/{dtype}")
-        except Exception:  # noqa: BLE001 — a missing type directory means no partitions
-            continue
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue  # a missing type directory means no partitions
         c = (df.groupBy("trade_date", "symbol").agg(F.count(F.lit(1)).alias("n_rows"))
              .select(F.lit(source).alias("source"), F.lit(dtype).alias("data_type"), "trade_date", "symbol", "n_rows"))
         out = c if out is None else out.unionByName(c)

@@ -3,7 +3,8 @@
 The reference decides by row count at run time; here the decision is data: one
 stats row per group (count, min, max → bucket width) is joined back, so there is
 no driver action and every symbol gets its own width in the same job. Groups
-within budget pass through unchanged (each row is its own bucket).
+within budget go around the aggregate unchanged. The join is null-safe, and each
+group's row is repeated per salt, so ticks never meet on the symbol alone.
 """
 
 from __future__ import annotations
@@ -53,6 +54,20 @@ def _group_widths(df: DataFrame, keys, ts, max_points, data_type, start, end) ->
                      .otherwise(bucket_width_us(secs, mp)).alias("_w"))
 
 
+SALTS = 32
+
+
+def _with_widths(df: DataFrame, widths: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Joins each group's ``_w`` to its rows, a hot group over SALTS tasks."""
+    right = widths.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], "_w",
+                          F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_gs"))
+    left = df.withColumn("_s", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+    cond = left["_s"] == right["_gs"]
+    for i, k in enumerate(keys):
+        cond = cond & left[k].eqNullSafe(right[f"_g{i}"])
+    return left.join(right, cond).select(*[left[c] for c in df.columns], "_w")
+
+
 def downsample(df: DataFrame, ts: str = "ts_event", keys: Sequence[str] = ("symbol",),
                seq: str = "qu_seqnum", max_points: int | None = None, data_type: str = "nbbo",
                start=None, end=None, last_types=(T.IntegerType, T.LongType, T.DoubleType, T.FloatType)) -> DataFrame:
@@ -62,10 +77,9 @@ def downsample(df: DataFrame, ts: str = "ts_event", keys: Sequence[str] = ("symb
     """
     keys = list(keys)
     widths = _group_widths(df, keys, ts, max_points, data_type, start, end)
-    j = df.join(widths, keys)  # one row per group: small; AQE broadcasts it when it is
+    j = _with_widths(df, widths, keys)
     us = epoch_micros(ts)
-    bucket = F.when(F.col("_w") == 0, us).otherwise(us - F.pmod(us, F.col("_w")))
-    own = F.when(F.col("_w") == 0, F.col(seq))  # pass-through rows stay distinct
+    bucket = us - F.pmod(us, F.col("_w"))
     order = F.struct(F.col(ts), F.col(seq))
     aggs = []
     for f in df.schema.fields:
@@ -73,9 +87,9 @@ def downsample(df: DataFrame, ts: str = "ts_event", keys: Sequence[str] = ("symb
             continue
         fn = F.max_by if isinstance(f.dataType, tuple(last_types)) else F.min_by
         aggs.append(fn(f.name, order).alias(f.name))
-    out = (j.groupBy(*keys, bucket.alias("_bk"), own.alias("_own")).agg(*aggs)
-           .withColumn(ts, from_epoch_micros("_bk")).drop("_bk", "_own"))
-    return out.select(*df.columns)
+    out = (j.where("_w > 0").groupBy(*keys, bucket.alias("_bk")).agg(*aggs)
+           .withColumn(ts, from_epoch_micros("_bk")).drop("_bk"))
+    return out.select(*df.columns).unionByName(j.where("_w = 0").select(*df.columns))
 
 
 def envelope(df: DataFrame, value_cols: Sequence[str], ts: str = "ts_event",
@@ -86,7 +100,7 @@ def envelope(df: DataFrame, value_cols: Sequence[str], ts: str = "ts_event",
     widths = _group_widths(df, keys, ts, max_points, data_type, None, None)
     us = epoch_micros(ts)
     w = F.when(F.col("_w") == 0, F.lit(1)).otherwise(F.col("_w"))
-    j = df.join(widths, keys).withColumn("_bk", us - F.pmod(us, w))
+    j = _with_widths(df, widths, keys).withColumn("_bk", us - F.pmod(us, w))
     aggs = [F.count(F.lit(1)).alias("n")]
     for c in value_cols:
         aggs += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]

@@ -85,6 +85,15 @@ def quantiles(df: DataFrame, c: str, probs: Sequence[float] = (0.5, 0.95, 0.99),
     return out.select(*keys, "mean", "n", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
 
+def _join_null_safe(rows: DataFrame, per_key: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join in which a NULL key is a group like any other."""
+    right = per_key.withColumnsRenamed({k: f"_g_{k}" for k in keys})
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & rows[k].eqNullSafe(right[f"_g_{k}"])
+    return rows.join(right, cond).drop(*[f"_g_{k}" for k in keys])
+
+
 def histogram(df: DataFrame, c: str, bins: int, keys: Sequence[str] = ()) -> DataFrame:
     """Equal-width bins over [min, max]; the last bin is closed; all-equal → one bin.
 
@@ -94,7 +103,7 @@ def histogram(df: DataFrame, c: str, bins: int, keys: Sequence[str] = ()) -> Dat
     j = df.where(F.col(c).isNotNull()).select(*keys, c)
     if keys:
         bounds = df.groupBy(*keys).agg(F.min(c).alias("_lo"), F.max(c).alias("_hi"))
-        j = j.join(bounds, keys)
+        j = _join_null_safe(j, bounds, keys)
     else:  # global bounds as one merged scalar subquery (one partial aggregate)
         j = j.withColumns({"_lo": df.agg(F.min(c)).scalar(), "_hi": df.agg(F.max(c)).scalar()})
     width = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
@@ -115,7 +124,7 @@ def boxplot(df: DataFrame, c: str, keys: Sequence[str] = ()) -> DataFrame:
     j = df.select(*keys, c)
     if keys:
         q = df.groupBy(*keys).agg(pq.alias("_q"))
-        j = j.join(q, keys)
+        j = _join_null_safe(j, q, keys)
     else:  # quartiles as one scalar subquery
         j = j.withColumn("_q", df.agg(pq).scalar())
     j = j.withColumns({"q1": F.col("_q")[0], "median": F.col("_q")[1], "q3": F.col("_q")[2]}).drop("_q")

@@ -123,9 +123,9 @@ select source, data_type, symbol, target_date, avail_date as closest_date, dista
         from (select distinct source, data_type, symbol from fx_catalog) k, days) tg
   join (select distinct source, data_type, symbol, trade_date as avail_date from fx_catalog where n_rows > 0) av
     on tg.source = av.source and tg.data_type = av.data_type and tg.symbol = av.symbol
-   and abs(av.avail_date - tg.target_date) <= 3) x
+   and abs(av.avail_date - tg.target_date) <= 30) x
 where rn = 1""", ctes=REQ), ids="C8")
-def q_closest_date(spark, d, max_days_away: int = 3):
+def q_closest_date(spark, d, max_days_away: int = 30):
     c = fx_catalog(spark, d)
     lo, hi = _bounds(spark, d)
     keys = ["source", "data_type", "symbol"]

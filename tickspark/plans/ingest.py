@@ -170,7 +170,7 @@ def _land_pages(df: DataFrame, seq: str, rec, key: str, path: str) -> None:
 REST_TRADES_SQL = f"""
 select symbol as sym_root, trade_date as date, ({MOD_SQL} // 1000000) * 1000000 as time_m_us,
        cast((epoch_us(ts_event_utc) % 1000000) * 1000 + tr_seqnum % 1000 as int) as time_m_nano,
-       ex, price, size, 'ALPACA' as tr_source, {NS_SQL} as ts_event_ns, {NS_SQL} as ts_event_ns_from_parts
+       ex, price, size::bigint as size, 'ALPACA' as tr_source, {NS_SQL} as ts_event_ns, {NS_SQL} as ts_event_ns_from_parts
 from fx_trades"""
 
 
@@ -189,8 +189,9 @@ def q_rest_trades_normalize(spark, d):
 @query("rest_quotes_normalize", oracle(f"""
 select symbol as sym_root, trade_date as date, ({MOD_SQL} // 1000000) * 1000000 as time_m_us,
        cast((epoch_us(ts_event_utc) % 1000000) * 1000 + qu_seqnum % 1000 as int) as time_m_nano,
-       best_bid, best_bidsizeshares as best_bidsiz, best_ask, best_asksizeshares as best_asksiz,
-       upper(qu_cond) as best_bidex, qu_source as best_askex, best_bidsizeshares, best_asksizeshares,
+       best_bid, best_bidsizeshares::bigint as best_bidsiz, best_ask, best_asksizeshares::bigint as best_asksiz,
+       upper(qu_cond) as best_bidex, qu_source as best_askex, best_bidsizeshares::bigint as best_bidsizeshares,
+       best_asksizeshares::bigint as best_asksizeshares,
        'ALPACA' as qu_source_tag, epoch_us(ts_event_utc) * 1000 + qu_seqnum % 1000 as ts_event_ns
 from fx_nbbo""", ["best_bid", "best_ask"]), ids="S14")
 def q_rest_quotes_normalize(spark, d):

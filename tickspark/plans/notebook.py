@@ -406,10 +406,11 @@ def q_asof_trades_nbbo(spark, d):
 select tr_seqnum, symbol, trade_date, ts_event, price, size, best_bid, best_ask, spread,
        best_bidsizeshares, best_asksizeshares, (best_bid + best_ask) / 2 as mid_price,
        price_vs_bid_pct, price_vs_ask_pct, price_vs_mid_pct, price_location, best_bid is not null as has_quote
-from enr""", ["price", "best_bid", "best_ask", "spread", "mid_price", "price_vs_bid_pct", "price_vs_ask_pct",
-              "price_vs_mid_pct"], ctes=ENR), ids="J3")
+from every""", ["price", "best_bid", "best_ask", "spread", "mid_price", "price_vs_bid_pct", "price_vs_ask_pct",
+              "price_vs_mid_pct"], ctes=ENR | {"every": ENR["enr"].partition("where exists")[0]}), ids="J3")
 def q_enriched_trades(spark, d):
-    e = enriched(spark, d)
+    """Every trade, also of symbol-days without a valid quote."""
+    e = stats.with_deviation(asof_trades(spark, d))
     return e.select("tr_seqnum", "symbol", "trade_date", "ts_event", "price", "size", "best_bid", "best_ask",
                     "spread", "best_bidsizeshares", "best_asksizeshares", mid().alias("mid_price"),
                     "price_vs_bid_pct", "price_vs_ask_pct", "price_vs_mid_pct", "price_location",

@@ -50,7 +50,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
-            # Unset: only the case in local tests. Set our own once per session.
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            # Unset in one process: executors share its disk. Set our own once per session.
             root = tempfile.mkdtemp(prefix="tickspark-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

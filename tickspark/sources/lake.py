@@ -4,8 +4,8 @@ Write side (K1–K7): one distributed write per call; ``rebalance`` on the parti
 keys lets AQE split a hot (date, symbol) into several files instead of one
 straggler task; rows are sorted by time inside files so row-group min/max stats
 prune time-range filters; Spark's commit protocol makes the publish atomic.
-Read side (S1–S5): partition pruning on ``trade_date``/``symbol``; unreadable
-files are skipped (``ignoreCorruptFiles``).
+Read side (S1–S5): partition pruning on ``trade_date``/``symbol``; an
+unreadable file fails the job unless the caller asks to skip such files.
 """
 
 from __future__ import annotations
@@ -54,9 +54,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
-def _partition_path(root: str, dataset: str, trade_date, symbol=None) -> str:
+def _partition_path(spark: SparkSession, root: str, dataset: str, trade_date, symbol=None) -> str:
+    """The directory of a partition, with the escapes that the writer gives its value."""
     p = f"{root}/{dataset}/trade_date={trade_date}"
-    return p if symbol is None else f"{p}/symbol={symbol}"
+    if symbol is None:
+        return p
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return f"{p}/symbol={escape(symbol)}"
 
 
 def delete_partitions(spark: SparkSession, root: str, dataset: str, keys: DataFrame) -> int:
@@ -70,7 +74,7 @@ def delete_partitions(spark: SparkSession, root: str, dataset: str, keys: DataFr
     has_symbol = "symbol" in keys.columns
     for r in keys.distinct().toLocalIterator():
         path = jvm.org.apache.hadoop.fs.Path(
-            _partition_path(root, dataset, r["trade_date"], r["symbol"] if has_symbol else None))
+            _partition_path(spark, root, dataset, r["trade_date"], r["symbol"] if has_symbol else None))
         fs = path.getFileSystem(conf)
         if fs.exists(path):
             fs.delete(path, True)
@@ -82,15 +86,20 @@ def overwrite_partitions(spark: SparkSession, df: DataFrame, requested: DataFram
                          dataset: str, **kw) -> int:
     """K6: replace exactly the requested (trade_date, symbol) partitions with ``df``'s rows.
 
-    Requested keys without new rows are deleted first, then the new rows are written
-    with dynamic partition overwrite; untouched partitions stay as they are."""
-    empty = requested.join(df.select("trade_date", "symbol").distinct(), ["trade_date", "symbol"], "left_anti")
-    delete_partitions(spark, root, dataset, empty)
-    return write_partitioned(df, root, dataset, mode="overwrite", **kw)
+    The new rows are written first, with dynamic partition overwrite; then requested
+    keys without new rows are removed, so a failed write loses nothing. Untouched
+    partitions stay as they are."""
+    full = requested.sparkSession.createDataFrame(
+        requested.join(df.select("trade_date", "symbol").distinct(), ["trade_date", "symbol"], "left_anti").collect(),
+        requested.select("trade_date", "symbol").schema)
+    n = write_partitioned(df, root, dataset, mode="overwrite", **kw)
+    delete_partitions(spark, root, dataset, full)
+    return n
 
 
-def read_lake(spark: SparkSession, root: str, dataset: str, schema=None) -> DataFrame:
-    r = spark.read.option("ignoreCorruptFiles", "true").option("basePath", f"{root}/{dataset}")
+def read_lake(spark: SparkSession, root: str, dataset: str, schema=None, skip_corrupt: bool = False) -> DataFrame:
+    """A bad file fails the job unless ``skip_corrupt`` asks to leave it out."""
+    r = spark.read.option("ignoreCorruptFiles", str(skip_corrupt).lower()).option("basePath", f"{root}/{dataset}")
     if schema is not None:
         r = r.schema(schema)
     return r.parquet(f"{root}/{dataset}")

@@ -18,7 +18,13 @@ def wider(a: T.DataType, b: T.DataType) -> T.DataType:
     ra = next((i for i, t in enumerate(_RANK) if isinstance(a, t)), None)
     rb = next((i for i, t in enumerate(_RANK) if isinstance(b, t)), None)
     if ra is not None and rb is not None:
+        whole, real = _RANK.index(T.IntegerType), _RANK.index(T.FloatType)
+        if min(ra, rb) in (whole, whole + 1) and max(ra, rb) == real:
+            return T.DoubleType()  # FLOAT holds 24 bits: INT and LONG values would change
         return a if ra >= rb else b
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+        scale = max(a.scale, b.scale)
+        return T.DecimalType(min(38, max(a.precision - a.scale, b.precision - b.scale) + scale), scale)
     if isinstance(a, T.DecimalType) or isinstance(b, T.DecimalType):
         return T.DoubleType()
     if isinstance(a, (T.DateType,)) and isinstance(b, (T.TimestampType, T.TimestampNTZType)):
@@ -47,11 +53,11 @@ def union_sources(frames: dict[str, DataFrame], common_only: bool = True) -> Dat
     return reduce(lambda a, b: a.unionByName(b), out)
 
 
-def read_sources(spark, roots: dict[str, str], dataset: str, schema=None) -> DataFrame:
+def read_sources(spark, roots: dict[str, str], dataset: str, schema=None, skip_corrupt: bool = False) -> DataFrame:
     """Read ``{root}/{dataset}`` of every registered source into one tagged table."""
     frames = {}
     for name, root in roots.items():
-        r = spark.read.option("ignoreCorruptFiles", "true")
+        r = spark.read.option("ignoreCorruptFiles", str(skip_corrupt).lower())
         if schema is not None:
             r = r.schema(schema)
         frames[name] = r.parquet(f"{root}/{dataset}")

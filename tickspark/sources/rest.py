@@ -15,10 +15,10 @@ from tickspark.functions.columns import epoch_micros
 from tickspark.operators.enrich import decompose_utc
 
 TRADE_REC = T.StructType([T.StructField("t", T.StringType()), T.StructField("x", T.StringType()),
-                          T.StructField("p", T.DoubleType()), T.StructField("s", T.IntegerType())])
+                          T.StructField("p", T.DoubleType()), T.StructField("s", T.LongType())])
 QUOTE_REC = T.StructType([T.StructField("t", T.StringType()), T.StructField("bp", T.DoubleType()),
-                          T.StructField("bs", T.IntegerType()), T.StructField("ap", T.DoubleType()),
-                          T.StructField("as", T.IntegerType()), T.StructField("bx", T.StringType()),
+                          T.StructField("bs", T.LongType()), T.StructField("ap", T.DoubleType()),
+                          T.StructField("as", T.LongType()), T.StructField("bx", T.StringType()),
                           T.StructField("ax", T.StringType())])
 TRADES_PAGE = T.StructType([T.StructField("symbol", T.StringType()),
                             T.StructField("trades", T.ArrayType(TRADE_REC)),
@@ -54,7 +54,7 @@ def read_rest_trades(spark: SparkSession, path: str, source: str = "alpaca") ->
         F.lit(None).cast("string").alias("sym_suffix"),
         F.coalesce(F.col("r.x"), F.lit("")).alias("ex"),
         F.coalesce(F.col("r.p"), F.lit(0.0)).alias("price"),
-        F.coalesce(F.col("r.s"), F.lit(0)).alias("size"),
+        F.coalesce(F.col("r.s"), F.lit(0).cast("long")).alias("size"),
         F.lit(TAG).alias("tr_source"), "ts_event_ns", F.lit(source).alias("source"))
 
 
