@@ -172,12 +172,21 @@ def _batch(rows, types, names):
 def _by_join(src: DataFrame, items: DataFrame, seed: int) -> DataFrame:
     """The same pairs with the window index joined by shuffles: item windows that no
     document has and document windows that no item has never meet a text."""
-    def windows(batches):
+    def windows(sizes):
+        def run(batches):
+            for batch in batches:
+                rows = batch.column(0).to_pylist()
+                for k, own in hashed_words(batch.column(1)):
+                    found = [_windows(own, n) for n in sizes] if sizes else [shingles(own, seed)]
+                    keys = np.unique(np.concatenate(found)).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array([rows[k]] * len(keys), pa.int64())], ["key", "at"])
+
+        return run
+
+    def sizes_below(batches):
         for batch in batches:
-            rows = batch.column(0).to_pylist()
-            for k, own in hashed_words(batch.column(1)):
-                keys = np.unique(shingles(own, seed)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array([rows[k]] * len(keys), pa.int64())], ["key", "at"])
+            found = {min(seed, len(w)) for _, w in hashed_words(batch.column(0))} - {0}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.int32())], ["n"])
 
     def tile_pairs(batches):
         for batch in batches:
@@ -188,8 +197,10 @@ def _by_join(src: DataFrame, items: DataFrame, seed: int) -> DataFrame:
             yield _batch(out, [pa.int64()] * 6, ["row", "doc_id", "item_id", "tiled_words", "item_words", "n_tiles"])
 
     numbered = items.withColumn("item", F.monotonically_increasing_id())
-    left = src.select("row", "text").mapInArrow(windows, "key long, at long").withColumnRenamed("at", "row")
-    right = numbered.select("item", "text").mapInArrow(windows, "key long, at long").withColumnRenamed("at", "item")
+    # Items below the seed length match whole: documents show windows of those few lengths too.
+    sizes = [r.n for r in items.select("text").mapInArrow(sizes_below, "n int").distinct().collect()] or [seed]
+    left = src.select("row", "text").mapInArrow(windows(sizes), "key long, at long").withColumnRenamed("at", "row")
+    right = numbered.select("item", "text").mapInArrow(windows(None), "key long, at long").withColumnRenamed("at", "item")
     pairs = left.join(right, "key").select("row", "item").distinct()
     joined = (pairs.join(src, "row").join(numbered.withColumnRenamed("text", "item_text"), "item")
               .select("row", "doc_id", "item_id", "text", "item_text"))

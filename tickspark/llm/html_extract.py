@@ -69,6 +69,8 @@ LABELLED = [
     (22, 0.0, 6, 0.0, 30, 0.0, 0, 0, 0, 1), (14, 0.0, 50, 0.0, 14, 0.0, 0, 0, 0, 1), (120, 0.1, 1, 1.0, 2, 1.0, 0, 0, 0, 1),
     (6, 0.0, 60, 0.0, 60, 0.0, 0, 0, 0, 1), (8, 0.0, 45, 0.0, 25, 0.0, 0, 0, 0, 1), (5, 0.0, 70, 0.0, 40, 0.0, 0, 0, 0, 1),
     (7, 0.0, 2, 1.0, 45, 0.0, 0, 0, 1, 1), (9, 0.0, 3, 1.0, 60, 0.0, 0, 0, 1, 1), (4, 0.0, 40, 0.0, 50, 0.0, 0, 0, 1, 1),
+    (45, 0.0, 45, 0.0, 2, 1.0, 0, 0, 0, 1), (60, 0.0, 50, 0.0, 0, 0.0, 0, 0, 0, 1), (80, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1),
+    (40, 0.0, 2, 1.0, 40, 0.0, 0, 0, 0, 1), (25, 0.0, 30, 0.0, 1, 1.0, 0, 0, 0, 1), (50, 0.0, 2, 1.0, 3, 1.0, 0, 0, 0, 1),
     (5, 0.0, 4, 1.0, 3, 1.0, 0, 0, 1, 0), (3, 0.0, 3, 1.0, 3, 1.0, 0, 0, 0, 0), (2, 0.0, 1, 1.0, 5, 0.0, 0, 0, 0, 0),
     (2, 1.0, 2, 1.0, 2, 1.0, 0, 0, 0, 0), (1, 1.0, 0, 0.0, 1, 1.0, 0, 0, 0, 0), (10, 0.9, 3, 1.0, 3, 1.0, 0, 0, 0, 0),
     (4, 0.0, 0, 0.0, 3, 1.0, 0, 0, 0, 0), (3, 0.0, 40, 0.0, 0, 0.0, 0, 0, 0, 0), (6, 0.5, 50, 0.0, 2, 1.0, 0, 0, 0, 0),

@@ -104,12 +104,9 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, id_col: s
     run = F.sum("__size").over(inside.rowsBetween(W.unboundedPreceding, 0)) - F.col("__size")
     placed = rows.withColumn("__run", run).join(offsets, ["__source", "__bucket"]).withColumn("__start", F.col("__before") + F.col("__run"))
     block = F.floor(F.col("__start") / block_chars)
-    share = F.create_map(*[F.lit(x) for s, a in whole.items() for x in (s, a)])[F.col("__source")] if len(whole) <= 64 else None
-    cut = placed.withColumn("__block", block)
-    if share is None:
-        cut = cut.join(F.broadcast(table.select("__source", F.col("__weight").alias("__a")).distinct()), "__source")
-    else:
-        cut = cut.withColumn("__a", share.cast("long"))
+    # One row per source, at most MAX_SOURCES.
+    counts = F.broadcast(spark.createDataFrame(sorted(whole.items()), "__source string, __a long"))
+    cut = placed.withColumn("__block", block).join(counts, "__source")
     # The period's table has slots_per_source rows for each of at most MAX_SOURCES sources.
     cut = cut.withColumn("__nth", F.col("__block") % F.col("__a")).join(F.broadcast(table), ["__source", "__nth"])
     turn = F.floor(F.col("__block") / F.col("__weight")) * period
