@@ -179,14 +179,14 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sketched = stored(made.join(reps.select(F.col("rep").alias("row")), "row", "left_semi").where("size > 0")
                       .select("row", "size", "sketches"), "omh-sketches")
     spread = sketched.select("row", F.explode("sketches").alias("bucket"))
-    led = spread.join(_ends(spread, 1).where("n > 1"), "bucket")
+    led = stored(spread.join(_ends(spread, 1).where("n > 1"), "bucket").select("row", "bucket", "ends"), "omh-buckets")
     met = (led.select("row", F.explode(F.array_distinct(F.transform("ends", lambda e: e["row"]))).alias("other")).where("row <> other")
            .groupBy("row", "other").agg(F.count("*").alias("n")))
     best = (met.groupBy("row").agg(F.max(F.struct("n", F.xxhash64("row", "other"), "other"))["other"].alias("other"))
             .select(F.least("row", "other").alias("a"), F.greatest("row", "other").alias("b")).distinct())
     first = stored(_verified(src, best, size, band, least), "omh-links")
     label = components(first)
-    classed = stored(spread.join(label, "row", "left").select("row", "bucket", F.coalesce("class", "row").alias("class")), "omh-buckets")
+    classed = led.select("row", "bucket").join(label, "row", "left").withColumn("class", F.coalesce("class", "row"))
     mixed = _ends(classed, ORDERS).where("lowest <> highest")
     apart = F.filter("ends", lambda e: e["class"] != F.col("class"))
     pairs = (classed.join(mixed, "bucket").select("row", F.explode(F.array_distinct(F.transform(apart, lambda e: e["row"]))).alias("other"))
@@ -217,7 +217,7 @@ def _ends(members: DataFrame, orders: int) -> DataFrame:
 
 def _verified(src: DataFrame, pairs: DataFrame, size: int, band: float, least: float) -> DataFrame:
     """The (a, b) pairs whose texts align; only texts in a pair are shuffled on."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+    ids = pairs.select(F.col("a").alias("row")).distinct().union(pairs.select("b").distinct()).distinct()
     words = src.select("row", "text").join(ids, "row", "left_semi").mapInArrow(_words, "row long, words binary")
     words = stored(words, "omh-words")
     one, two = (words.select(F.col("row").alias(x), F.col("words").alias(f"w{x}")) for x in "ab")
