@@ -9,9 +9,11 @@ order, so two texts share a sketch only where they agree in content and in order
    in random orders of its own lead it, so a text meets other texts in other buckets
    and pairs grow with the members, never with their square. First each text is
    paired with the leader it meets most often.
-3. Then each is paired with the leaders that are of another class yet. A pair that
-   shares fewer than ``min_shared`` of all sketches is left out (at similarity 0.8
-   that happens about once in 80,000 pairs).
+3. Then texts meet in finer buckets of two equal neighbouring sketches, where only the
+   closer ones of a large group do, and each is paired with the first and last members
+   in ORDERS random orders that are of another class yet. A pair that shares fewer than
+   ``min_shared`` of all sketches is left out (at similarity 0.8 that happens about once
+   in 80,000 pairs).
 4. Pairs are verified by alignment: the longest common subsequence of the a and b
    distinct shingles inside a diagonal band, m, gives m / (a + b - m) >= 0.8.
 5. Classes are the connected components of verified pairs.
@@ -179,14 +181,16 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sketched = stored(made.join(reps.select(F.col("rep").alias("row")), "row", "left_semi").where("size > 0")
                       .select("row", "size", "sketches"), "omh-sketches")
     spread = sketched.select("row", F.explode("sketches").alias("bucket"))
-    led = stored(spread.join(_ends(spread, 1).where("n > 1"), "bucket").select("row", "bucket", "ends"), "omh-buckets")
+    led = stored(spread.join(_ends(spread, 1).where("n > 1"), "bucket").select("row", "ends"), "omh-buckets")
     met = (led.select("row", F.explode(F.array_distinct(F.transform("ends", lambda e: e["row"]))).alias("other")).where("row <> other")
            .groupBy("row", "other").agg(F.count("*").alias("n")))
     best = (met.groupBy("row").agg(F.max(F.struct("n", F.xxhash64("row", "other"), "other"))["other"].alias("other"))
             .select(F.least("row", "other").alias("a"), F.greatest("row", "other").alias("b")).distinct())
     first = stored(_verified(src, best, size, band, least), "omh-links")
     label = components(first)
-    classed = led.select("row", "bucket").join(label, "row", "left").withColumn("class", F.coalesce("class", "row"))
+    fine = F.transform("sketches", lambda s, k: F.xxhash64(s, F.get("sketches", (k + 1) % F.size("sketches"))))
+    close = sketched.join(led.select("row").distinct(), "row", "left_semi").select("row", F.explode(fine).alias("bucket"))
+    classed = stored(close.join(label, "row", "left").withColumn("class", F.coalesce("class", "row")), "omh-fine")
     mixed = _ends(classed, ORDERS).where("lowest <> highest")
     apart = F.filter("ends", lambda e: e["class"] != F.col("class"))
     pairs = (classed.join(mixed, "bucket").select("row", F.explode(F.array_distinct(F.transform(apart, lambda e: e["row"]))).alias("other"))
