@@ -13,7 +13,8 @@ order, so two texts share a sketch only where they agree in content and in order
    closer ones of a large group do, and each is paired with the first and last members
    in ORDERS random orders that are of another class yet. A pair that shares fewer than
    ``min_shared`` of all sketches is left out (at similarity 0.8 that happens about once
-   in 80,000 pairs).
+   in 80,000 pairs). One byte of each sketch travels with the members, so most of those
+   pairs are never made; equal sketches have equal bytes, so none is lost by it.
 4. Pairs are verified by alignment: the longest common subsequence of the a and b
    distinct shingles inside a diagonal band, m, gives m / (a + b - m) >= 0.8.
 5. Classes are the connected components of verified pairs.
@@ -189,10 +190,14 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     first = stored(_verified(src, best, size, band, least), "omh-links")
     label = components(first)
     fine = F.transform("sketches", lambda s, k: F.xxhash64(s, F.get("sketches", (k + 1) % F.size("sketches"))))
-    close = sketched.join(led.select("row").distinct(), "row", "left_semi").select("row", F.explode(fine).alias("bucket"))
+    marks = F.transform("sketches", lambda s: F.shiftright(s, 56).cast("tinyint"))
+    close = (sketched.join(led.select("row").distinct(), "row", "left_semi")
+             .select("row", "size", marks.alias("marks"), F.explode(fine).alias("bucket")))
     classed = stored(close.join(label, "row", "left").withColumn("class", F.coalesce("class", "row")), "omh-fine")
     mixed = _ends(classed, ORDERS).where("lowest <> highest")
-    apart = F.filter("ends", lambda e: e["class"] != F.col("class"))
+    agree = lambda e: F.aggregate(F.zip_with(e["marks"], "marks", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+    apart = F.filter("ends", lambda e: (e["class"] != F.col("class")) & (agree(e) >= min_shared)
+                     & (F.least(e["size"], "size") >= least * F.greatest(e["size"], "size")))
     pairs = (classed.join(mixed, "bucket").select("row", F.explode(F.array_distinct(F.transform(apart, lambda e: e["row"]))).alias("other"))
              .select(F.least("row", "other").alias("a"), F.greatest("row", "other").alias("b")).distinct())
     one, two = (sketched.select(F.col("row").alias(x), F.col("size").alias(f"n{x}"), F.col("sketches").alias(f"s{x}")) for x in "ab")
@@ -211,12 +216,15 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def _ends(members: DataFrame, orders: int) -> DataFrame:
     """Per bucket: n, the least and greatest class, and ``ends``: its first and last
-    members in ``orders`` random orders. A member without a class is one of its own."""
+    members in ``orders`` random orders, with what the members carry. A member without
+    a class is one of its own."""
     label = F.col("class") if "class" in members.columns else F.col("row")
-    turns = [F.struct(F.xxhash64("row", "bucket", F.lit(k)).alias("h"), F.col("row"), label.alias("class")) for k in range(orders)]
+    carried = ["row", "class", *(c for c in ("size", "marks") if c in members.columns)]
+    turns = [F.struct(F.xxhash64("row", "bucket", F.lit(k)).alias("h"), F.col("row"), label.alias("class"), *carried[2:])
+             for k in range(orders)]
     return members.groupBy("bucket").agg(
         F.count("*").alias("n"), F.min(label).alias("lowest"), F.max(label).alias("highest"),
-        F.array(*(F.struct(end(t)["row"].alias("row"), end(t)["class"].alias("class")) for t in turns for end in (F.min, F.max))).alias("ends"))
+        F.array(*(F.struct(*(end(t)[c].alias(c) for c in carried)) for t in turns for end in (F.min, F.max))).alias("ends"))
 
 
 def _verified(src: DataFrame, pairs: DataFrame, size: int, band: float, least: float) -> DataFrame:
