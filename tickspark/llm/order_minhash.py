@@ -187,7 +187,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
            .groupBy("row", "other").agg(F.count("*").alias("n")))
     best = (met.groupBy("row").agg(F.max(F.struct("n", F.xxhash64("row", "other"), "other"))["other"].alias("other"))
             .select(F.least("row", "other").alias("a"), F.greatest("row", "other").alias("b")).distinct())
-    first = stored(_verified(src, best, size, band, least), "omh-links")
+    first = stored(_verified(src, stored(best, "omh-best"), size, band, least), "omh-links")
     label = components(first)
     fine = F.transform("sketches", lambda s, k: F.xxhash64(s, F.get("sketches", (k + 1) % F.size("sketches"))))
     marks = F.transform("sketches", lambda s: F.shiftright(s, 56).cast("tinyint"))
