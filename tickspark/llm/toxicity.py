@@ -161,8 +161,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, may_learn: Column | None
     sample = stored(labelled_sample(docs, labels, may_learn, id_col, text_col, label_col, max_labelled).coalesce(8), "tox-sample")
     lexicon = learn_lexicon(sample.where("part < 0.5"))
     features = _features(lexicon)
+    # Dealt and sorted by the hash of the id: split candidates are the same in every run.
     model_rows = stored(sample.where("part >= 0.5").select(
-        array_to_vector(features("text")).alias("__tox_x"), F.col("label").cast("double").alias("y"), "part").coalesce(4), "tox-rows")
+        array_to_vector(features("text")).alias("__tox_x"), F.col("label").cast("double").alias("y"), "part")
+        .repartition(4, "part").sortWithinPartitions("part", "y"), "tox-rows")
     tree_rows = model_rows.where("part < 0.85")
     n1, n0 = tree_rows.agg(F.count_if(F.col("y") == 1), F.count_if(F.col("y") == 0)).first()
     if not n1 or not n0:
