@@ -113,3 +113,15 @@ def test_widening_keeps_values(spark):
 def test_rest_sizes_beyond_int(spark, tmp_path):
     (tmp_path / "page.json").write_text('{"symbol":"A","trades":[{"t":"2024-01-02T14:30:00Z","x":"V","p":1.5,"s":3000000000}]}\n')
     assert [r.size for r in rest.read_rest_trades(spark, str(tmp_path)).collect()] == [3_000_000_000]
+
+
+def test_csv_columns_are_taken_by_header_name(spark, tmp_path):
+    from pyspark.sql.types import StructType
+
+    from tickspark.sources.csv import read_csv_drops
+
+    (tmp_path / "trades_20240502.csv").write_text("price,sym_root,size,extra\n10.5,AAA,7,x\nbad,BBB,8,y\n")
+    schema = StructType.fromDDL("sym_root string, size int, price double, ex string")
+    got = read_csv_drops(spark, str(tmp_path), schema)
+    rows = sorted((r.sym_root, r.size, r.price, r.ex, str(r.file_date)) for r in got.collect())
+    assert rows == [("AAA", 7, 10.5, None, "2024-05-02"), ("BBB", 8, None, None, "2024-05-02")]

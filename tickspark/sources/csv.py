@@ -1,6 +1,6 @@
 """CSV drops (S6–S8): ``{prefix}_YYYYMMDD.csv`` files with a header row.
 
-One splittable scan with an explicit all-text schema reads every drop at once;
+One splittable scan of text columns, named by the header, reads every drop at once;
 the trade date comes from the file path (``_metadata.file_path``), so there is no
 per-file loop and no count pass. Bad values become NULL through ``try_cast``
 (the reference's "errors → null" inference).
@@ -17,13 +17,18 @@ DATE_IN_NAME = r"_(\d{8})\.csv"
 
 def read_csv_drops(spark: SparkSession, path: str, schema: T.StructType,
                    date_pattern: str = DATE_IN_NAME) -> DataFrame:
-    """Read all CSV drops under ``path`` (files or directories) with ``schema``;
-    adds ``file_date`` parsed from the file name and ``source_file``."""
-    df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+    """Read all CSV drops under ``path`` (files or directories); the columns of ``schema``
+    are taken by header name, in any order, and those a drop lacks are NULL. Adds
+    ``file_date`` parsed from the file name and ``source_file``. Drops of one call share
+    one header: a file with another one fails the job instead of shifting columns."""
+    df = (spark.read.option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
           .option("recursiveFileLookup", "true").csv(path))
+    have = {c.strip().lower(): c for c in df.columns}
+    picked = [(F.col(f"`{have[f.name.lower()]}`").try_cast(f.dataType) if f.name.lower() in have
+               else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields]
     fp = F.col("_metadata.file_path")
-    return (df.withColumn("source_file", fp)
-            .withColumn("file_date", F.to_date(F.regexp_extract(fp, date_pattern, 1), "yyyyMMdd")))
+    return df.select(*picked, fp.alias("source_file"),
+                     F.to_date(F.regexp_extract(fp, date_pattern, 1), "yyyyMMdd").alias("file_date"))
 
 
 def write_csv_drops(df: DataFrame, root: str, prefix: str, date_col: str = "trade_date") -> None:
