@@ -145,7 +145,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, may_learn: Column, id_co
            .groupBy(id_col).agg(F.max(F.when(F.col("label") > 0, 1).otherwise(0)).alias("label")))
     spread = F.pmod(F.xxhash64(id_col, F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
     share = min(1.0, max_labelled / max(1, ids.count()))
-    chosen = ids.where(spread < share).limit(max_labelled)  # a limit only against hash luck
+    # The limit is only against hash luck, and in the order of the hash: the same rows in every run.
+    chosen = ids.where(spread < share).orderBy(spread, id_col).limit(max_labelled)
     text = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text"))
     part = F.pmod(F.xxhash64(id_col, F.lit(23)), F.lit(1 << 30)) / float(1 << 30)
     return text.join(F.broadcast(chosen), id_col).groupBy(id_col).agg(
@@ -161,11 +162,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, may_learn: Column | None
     sample = stored(labelled_sample(docs, labels, may_learn, id_col, text_col, label_col, max_labelled).coalesce(8), "tox-sample")
     lexicon = learn_lexicon(sample.where("part < 0.5"))
     features = _features(lexicon)
-    # Dealt and sorted by the hash of the id: split candidates are the same in every run.
     model_rows = stored(sample.where("part >= 0.5").select(
         array_to_vector(features("text")).alias("__tox_x"), F.col("label").cast("double").alias("y"), "part")
         .repartition(4, "part").sortWithinPartitions("part", "y"), "tox-rows")
-    tree_rows = model_rows.where("part < 0.85")
+    # At most max_labelled rows, summed in one order: equal gains fall alike on any cluster.
+    tree_rows = model_rows.where("part < 0.85").coalesce(1).sortWithinPartitions("part", "y")
     n1, n0 = tree_rows.agg(F.count_if(F.col("y") == 1), F.count_if(F.col("y") == 0)).first()
     if not n1 or not n0:
         share = sample.agg(F.coalesce(F.avg("label"), F.lit(0.0))).first()[0]
