@@ -1,8 +1,8 @@
 """Operator 6: quality rules on tokeniser fertility.
 
 A public vocabulary with byte fallback tokenises every word of a text (pieces never
-cross white space, so a word's pieces do not depend on its neighbours and are kept
-per task). Characters per token, the share of byte-fallback tokens and the entropy
+cross white space, so a word's pieces do not depend on its neighbours and each word
+of a few megabytes of texts is tokenised once). Characters per token, the share of byte-fallback tokens and the entropy
 of the token ids are measured per text. Per language, over all texts that pass the base rules, the median of each measure and
 the quartiles of its distance from the median (times the root of the word count, as
 the distance of sound texts shrinks with their length) give a band; texts outside it
@@ -23,6 +23,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -38,31 +39,29 @@ MARGIN = {"chars_per_token": 0.05, "byte_share": 0.02, "token_entropy": 1.0}
 #: Bins per unit of each measure.
 BINS = {"chars_per_token": 200, "byte_share": 2000, "token_entropy": 100}
 BROADCAST_BANDS = 10_000
-_SPACE = "\t\n\x0b\x0c\r "
 _LINE_WORD = re.compile(r"[^\x20\x09-\x0D]")
-_KEPT_WORDS = 300_000
+_STEP = 1 << 23
 
 
 class Pieces:
-    """Token ids of words, kept while there are not too many."""
+    """Token ids of words under a public vocabulary."""
 
     def __init__(self, model_file: str):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=model_file)
         self.is_byte = np.array([self.model.is_byte(i) or self.model.is_unknown(i) for i in range(self.model.get_piece_size())])
-        self.known: dict[bytes, np.ndarray] = {}
 
     def of(self, words: list[bytes]) -> list[np.ndarray]:
-        known = self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if len(known) + len(new) > _KEPT_WORDS:
-            known.clear()
-            new = list(dict.fromkeys(words))
-        if new:
-            got = self.model.encode([w.decode() for w in new], num_threads=1)
-            known.update(zip(new, (np.array(x, np.int32) for x in got)))
-        return [known[w] for w in words]
+        """Token ids of each word."""
+        tokens, sizes = self.joined([w.decode() for w in words])
+        return np.split(tokens, np.cumsum(sizes)[:-1])
+
+    def joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(token ids of all words in order, number of tokens of each word)."""
+        got = self.model.encode(words, num_threads=1)
+        sizes = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter(chain.from_iterable(got), np.int64, int(sizes.sum())), sizes
 
 
 def repeated_window_words(ids: np.ndarray) -> int:
@@ -83,31 +82,54 @@ def repeated_window_words(ids: np.ndarray) -> int:
     return int(hit.sum())
 
 
-def measure(text: str | None, pieces: Pieces) -> tuple:
+def duplicate_lines(text: str) -> int:
+    """Lines with a word that equal an earlier line."""
+    lines = text.split("\n")
+    if len(lines) == len(set(lines)):
+        return 0
+    lines = [line for line in lines if _LINE_WORD.search(line)]
+    return len(lines) - len(set(lines))
+
+
+def measure_all(texts: pa.Array, pieces: Pieces) -> list[tuple]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, then the three
-    fertility measures (null without words) and the number of tokens."""
-    text = text or ""
-    words = text.encode().split()
-    lines = [line for line in text.split("\n") if _LINE_WORD.search(line)]
-    symbols = sum(map(text.count, SYMBOLS))
-    if not words:
-        return 0, 0, symbols, 0, 0, None, None, None, 0
-    chars = len(text) - sum(map(text.count, _SPACE))
-    at: dict[bytes, int] = {}
-    ids = np.fromiter((at.setdefault(w, len(at)) for w in words), np.int64, len(words))
-    per_word = np.bincount(ids)
-    own = pieces.of(list(at))
-    sizes = np.fromiter(map(len, own), np.int64, len(own))
-    flat = np.concatenate(own)
-    weight = np.repeat(per_word, sizes)
-    total = int(weight.sum())
-    if not total:
-        return len(words), chars, symbols, len(lines) - len(set(lines)), repeated_window_words(ids), None, None, None, 0
-    mass = np.bincount(flat, weight)
-    mass = mass[mass > 0] / total
-    entropy = float(-(mass * np.log2(mass)).sum())
-    return (len(words), chars, symbols, len(lines) - len(set(lines)), repeated_window_words(ids), chars / total,
-            float(weight[pieces.is_byte[flat]].sum() / total), entropy, total)
+    fertility measures (null without words) and the number of tokens, of each text.
+
+    The words of all the texts are told apart once, and each is tokenised once.
+    """
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    split = pc.ascii_split_whitespace(texts)
+    words = split.flatten()
+    real = pc.not_equal(words, "")
+    bounds = np.concatenate([[0], np.cumsum(np.asarray(real).astype(np.int64))])[
+        np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])]
+    words = words.filter(real)
+    chars = np.concatenate([[0], np.cumsum(pc.utf8_length(words).to_numpy(zero_copy_only=False))])
+    coded = words.dictionary_encode()
+    ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    tokens, sizes = pieces.joined(coded.dictionary.to_pylist())
+    first = np.cumsum(sizes) - sizes
+    symbols = pc.count_substring_regex(texts, f"[{SYMBOLS}]").to_pylist()
+    out = []
+    for k, text in enumerate(texts.to_pylist()):
+        own = ids[bounds[k]:bounds[k + 1]]
+        base = (len(own), int(chars[bounds[k + 1]] - chars[bounds[k]]), symbols[k], duplicate_lines(text), repeated_window_words(own))
+        many = sizes[own]
+        total = int(many.sum())
+        if not total:
+            out.append((*base, None, None, None, 0))
+            continue
+        all_tokens = tokens[np.repeat(first[own] - (np.cumsum(many) - many), many) + np.arange(total)]
+        mass = np.bincount(all_tokens)
+        mass = mass[mass > 0] / total
+        entropy = float(-(mass * np.log2(mass)).sum())
+        out.append((*base, base[1] / total, float(pieces.is_byte[all_tokens].sum() / total), entropy, total))
+    return out
+
+
+def measure(text: str | None, pieces: Pieces) -> tuple:
+    """The measures of one text."""
+    return measure_all(pa.array([text], pa.large_string()), pieces)[0]
 
 
 _COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "chars_per_token", "byte_share",
@@ -127,12 +149,16 @@ def measure_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         if not kept:
             kept.append(Pieces(path))
         for batch in batches:
-            texts = batch.column(2)
-            for lo in range(0, batch.num_rows, 2000):
-                rows = [measure(t, kept[0]) for t in texts.slice(lo, 2000).to_pylist()]
-                cols = [pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, 2000), batch.column(1).slice(lo, 2000), *cols],
-                                                 ["doc_id", "lang", *_COLUMNS])
+            # Whole texts, as many at once as have _STEP bytes; a longer one is worked on alone.
+            upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            lo = 0
+            while lo < batch.num_rows:
+                before = upto[lo - 1] if lo else 0
+                n = max(1, int(np.searchsorted(upto, before + _STEP, "right")) - lo)
+                part = batch.slice(lo, n)
+                cols = [pa.array(c, t) for c, t in zip(zip(*measure_all(part.column(2), kept[0])), _TYPES)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *cols], ["doc_id", "lang", *_COLUMNS])
+                lo += n
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"),
                       F.col(text_col).cast("string").alias("text"))
