@@ -76,6 +76,17 @@ def test_classes_equal_brute_force(docs_of):
             assert (rows[i].class_row == rows[j].class_row) == (find(i) == find(j)), (i, j)
 
 
+def test_repeated_passages_are_one_class(docs_of):
+    rng = random.Random(4)
+    texts = []
+    for _ in range(12):
+        passage = " ".join(f"w{rng.getrandbits(24)}" for _ in range(60))
+        texts += [passage, " ".join([passage] * 3), " ".join([passage] * 10)]
+    rows = {r.doc_id: r.class_row for r in near_classes(docs_of(texts)).collect()}
+    assert [len({rows[k] for k in range(g, g + 3)}) for g in range(0, 36, 3)] == [1] * 12
+    assert len(set(rows.values())) == 12
+
+
 def test_keep_one_and_empty_table(docs_of):
     docs = docs_of(["a b c d e f", "A b c d e f.", None, "", "g h"], ids=[5, 5, None, 7, 8])
     kept = keep_one(docs)

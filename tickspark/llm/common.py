@@ -119,19 +119,3 @@ def shingles(words: np.ndarray, size: int) -> np.ndarray:
         for k in range(size):
             out = out * np.uint64(_MULT) + words[k:k + len(out)]
     return mix64(out)
-
-
-def numbered(hashes: np.ndarray) -> np.ndarray:
-    """Hashes of (value, how often it has occurred before): all different in one text."""
-    order = np.argsort(hashes, kind="stable")
-    ranked = hashes[order]
-    first = np.ones(len(ranked), bool)
-    first[1:] = ranked[1:] != ranked[:-1]
-    if first.all():
-        return hashes
-    at = np.arange(len(ranked))
-    nth = at - np.maximum.accumulate(np.where(first, at, 0))
-    out = np.empty_like(hashes)
-    with np.errstate(over="ignore"):
-        out[order] = np.where(nth > 0, mix64(ranked + nth.astype(np.uint64) * np.uint64(_MULT)), ranked)
-    return out

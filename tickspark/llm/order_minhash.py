@@ -1,8 +1,9 @@
 """Operator 7: near-duplicate classes by Order MinHash and banded alignment.
 
-A text is its sequence of five-word shingles, each labelled with its occurrence
-number. One sketch takes the few shingles of least hash and keeps them in text
-order, so two texts share a sketch only where they agree in content and in order.
+A text is its sequence of distinct five-word shingles, at their first places: the
+sequence that is aligned in the end, so repeating a passage changes neither. One sketch
+takes the few shingles of least hash and keeps them in text order, so two texts share a
+sketch only where they agree in content and in order.
 
 1. Equal word sequences fall together under one representative.
 2. Representatives with an equal sketch meet in a bucket, whose first and last members
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickspark.llm.common import hashed_words, mix64, numbered, shingles, stored
+from tickspark.llm.common import hashed_words, mix64, shingles, stored
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -42,7 +43,7 @@ _SEEDS = mix64(np.arange(1, 1025, dtype=np.uint64) * np.uint64(0xD1342543DE82EF9
 
 
 def sketch(keys: np.ndarray, sketches: int, per_sketch: int) -> np.ndarray:
-    """Order-MinHash values of labelled shingle hashes (all different) in text order."""
+    """Order-MinHash values of distinct shingle hashes in text order."""
     n = len(keys)
     out = np.empty(sketches, np.uint64)
     step = max(1, (1 << 19) // max(n, 1))
@@ -107,13 +108,12 @@ def _sketch_rows(size, sketches, per_sketch):
         for batch in batches:
             keys, high, low, counts = [], [], [], []
             for _, words in hashed_words(batch.column(2)):
-                whole = shingles(words, size)
-                own = numbered(whole)
+                own = distinct(shingles(words, size))
                 with np.errstate(over="ignore"):
                     place = mix64(words ^ (np.arange(len(words), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
                     high.append(int(place.sum(dtype=np.uint64).view(np.int64)))
                     low.append(int(mix64(place * np.uint64(0xC2B2AE3D27D4EB4F)).sum(dtype=np.uint64).view(np.int64)))
-                counts.append(len(np.unique(whole)))
+                counts.append(len(own))
                 keys.append(sketch(own, sketches, per_sketch).view(np.int64) if len(own) else np.zeros(0, np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             flat = pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))
