@@ -87,6 +87,41 @@ def test_repeated_passages_are_one_class(docs_of):
     assert len(set(rows.values())) == 12
 
 
+def test_close_pairs_inside_a_large_family(docs_of):
+    """300 texts of 30 slots with two fillings, mostly 0.6 alike, so no shingle belongs to few
+    texts; every second is a copy of the one before with five slots turned."""
+    rng = random.Random(6)
+
+    def text(slots):
+        return " ".join(f"{'ab'[slots[k // 10]] if k % 10 == 5 else 'w'}{k}" for k in range(300))
+
+    texts = []
+    for _ in range(150):
+        slots = [rng.randrange(2) for _ in range(30)]
+        turned = rng.sample(range(30), 5)
+        texts += [text(slots), text([s ^ (k in turned) for k, s in enumerate(slots)])]
+    rows = {r.doc_id: r.class_row for r in near_classes(docs_of(texts)).collect()}
+    words = [np.array([hash(w) & 0xFFFFFFFF for w in t.split()], np.uint64) for t in texts]
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if similarity(words[i], words[j], 5) >= 0.8:
+                parent[find(i)] = find(j)
+    groups = {}
+    for i in range(len(texts)):
+        groups.setdefault(find(i), set()).add(i)
+    got = {}
+    for i, c in rows.items():
+        got.setdefault(c, set()).add(i)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, groups.values()))
+
+
 def test_keep_one_and_empty_table(docs_of):
     docs = docs_of(["a b c d e f", "A b c d e f.", None, "", "g h"], ids=[5, 5, None, 7, 8])
     kept = keep_one(docs)

@@ -16,9 +16,14 @@ sketch only where they agree in content and in order.
    ``min_shared`` of all sketches is left out (at similarity 0.8 that happens about once
    in 80,000 pairs). One byte of each sketch travels with the members, so most of those
    pairs are never made; equal sketches have equal bytes, so none is lost by it.
-4. Pairs are verified by alignment: the longest common subsequence of the a and b
+4. What leaders may have missed is searched exactly: rows that share ``min_shared`` or
+   more buckets with other classes meet on their rarest shingles. At similarity 0.8 two
+   texts have a shingle in common among the rarest fifth of each, whatever the order of
+   rarity (prefix filter), so no pair of two such rows is lost, however large their group.
+5. Pairs are verified by alignment: the longest common subsequence of the a and b
    distinct shingles inside a diagonal band, m, gives m / (a + b - m) >= 0.8.
-5. Classes are the connected components of verified pairs.
+6. Classes are the connected components of verified pairs. ``n_links`` counts the
+   verified pairs that were tried: texts of one class are not all aligned with each other.
 
 Defined cases: a null text or one without words is like all such texts: they form one
 class of empty texts; a text under five words is one shingle; repeated rows and equal
@@ -27,6 +32,8 @@ ids are told apart by a row number; empty tables give empty results.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,6 +45,7 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 SKETCHES, PER_SKETCH, MIN_SHARED = 24, 3, 3
 ORDERS = 2
+SLOTS = 1 << 20  # counters of how often a shingle occurs, which order shingles by rarity
 BAND = 0.25  # of the longer text: how far apart matching positions may lie
 _SEEDS = mix64(np.arange(1, 1025, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 
@@ -148,6 +156,60 @@ def _verify(size, band, least):
     return run
 
 
+def _tally(size):
+    """(slot, n): how many texts have a shingle of that slot."""
+    def run(batches):
+        total = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for found in batch.column(1):
+                own = distinct(shingles(np.frombuffer(found.as_buffer(), np.uint32).astype(np.uint64), size))
+                total += 0 if not len(own) else np.bincount((own % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+        slots = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int32)), pa.array(total[slots])], ["slot", "n"])
+
+    return run
+
+
+def _rarest(size, least, often):
+    """(row, key, at, size): the shingles of the prefix that some other text may have,
+    with their place in the text's order of rarity."""
+    def run(batches):
+        for batch in batches:
+            rows, keys, at, sizes = ([np.zeros(0, np.int64)] for _ in range(4))
+            for row, found in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = distinct(shingles(np.frombuffer(found.as_buffer(), np.uint32).astype(np.uint64), size))
+                n = often[(own % np.uint64(SLOTS)).astype(np.int64)]
+                order = np.lexsort((own, n))[:len(own) - math.ceil(least * len(own) - 1e-9) + 1]
+                place = np.flatnonzero(n[order] > 1)
+                rows.append(np.full(len(place), row))
+                keys.append(own[order[place]].view(np.int64))
+                at.append(place)
+                sizes.append(np.full(len(place), len(own)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (rows, keys, at, sizes)], ["row", "key", "at", "size"])
+
+    return run
+
+
+def _unmet(words: DataFrame, classed: DataFrame, size: int, least: float) -> DataFrame:
+    """(a, b): all pairs of different classes among ``words`` whose prefixes meet and
+    whose sizes and places allow the similarity."""
+    tally = words.mapInArrow(_tally(size), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(SLOTS, np.int32)
+    often[tally["slot"].to_numpy()] = np.minimum(tally["n"].to_numpy(), (1 << 31) - 1)
+    keyed = stored(words.mapInArrow(_rarest(size, least, often), "row long, key long, at long, size long").join(classed, "row"), "omh-rare")
+    # Of two classes at a key, one is not its most frequent: those rows meet all others.
+    usual = keyed.groupBy("key").agg(F.min("class").alias("lowest"), F.max("class").alias("highest"), F.mode("class").alias("usual"))
+    met = stored(keyed.join(usual.where("lowest <> highest").select("key", "usual"), "key"), "omh-met")
+    x, y = met.where("class <> usual").alias("x"), met.alias("y")
+    c = F.col
+    both = c("x.size") + c("y.size")
+    return (x.join(y, (c("x.key") == c("y.key")) & (c("x.class") != c("y.class"))
+                   & ((c("y.class") == c("y.usual")) | (c("x.row") < c("y.row")))
+                   & (F.least("x.size", "y.size") >= least * F.greatest("x.size", "y.size") - 1e-9)
+                   & (F.least(c("x.size") - c("x.at"), c("y.size") - c("y.at")) >= least / (1 + least) * both - 1e-9))
+            .select(F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b")).distinct())
+
+
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """(row, class) of every row in (a, b) edges; the class is the least row reached.
 
@@ -206,9 +268,22 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                   .where(shared >= min_shared).select("a", "b"), "omh-pairs")
     links = first.unionByName(stored(_verified(src, rest, size, band, least), "omh-links"))
     label = components(links)
+    # Exactly: rows that share enough buckets with rows of another class.
+    seen = spread.join(label, "row", "left").withColumn("class", F.coalesce("class", "row"))
+    mixed = seen.groupBy("bucket").agg(F.min("class").alias("lowest"), F.max("class").alias("highest")).where("lowest <> highest")
+    left = stored(seen.join(mixed.select("bucket"), "bucket", "left_semi").groupBy("row", "class").agg(F.count("*").alias("n"))
+                  .where(F.col("n") >= min_shared).select("row", "class"), "omh-open")
+    words = stored(src.select("row", "text").join(left.select("row"), "row", "left_semi").mapInArrow(_words, "row long, words binary"), "omh-words")
+    late = stored(_aligned_pairs(words, stored(_unmet(words, left, size, least), "omh-pairs"), size, band, least), "omh-links")
+    links = links.unionByName(late)
+    # Only classes are joined further, not rows.
+    ends = left.select(F.col("row").alias("a"), F.col("class").alias("ca")), left.select(F.col("row").alias("b"), F.col("class").alias("cb"))
+    merged = components(late.join(ends[0], "a").join(ends[1], "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+    merged = merged.select(F.col("row").alias("class_row"), F.col("class").alias("into"))
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
     named = (reps.join(label.withColumnRenamed("row", "rep"), "rep", "left").join(degree, "rep", "left")
              .select("high", "low", F.coalesce("class", "rep").alias("class_row"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    named = named.join(merged, "class_row", "left").withColumn("class_row", F.coalesce("into", "class_row")).drop("into")
     named = named.join(reps.select(F.col("rep").alias("class_row"), F.col("rep_id").alias("class_id")), "class_row")
     return made.select("row", "doc_id", "high", "low").join(named, ["high", "low"]).select(
         "row", "doc_id", "class_row", "class_id", "n_links")
@@ -231,7 +306,11 @@ def _verified(src: DataFrame, pairs: DataFrame, size: int, band: float, least: f
     """The (a, b) pairs whose texts align; only texts in a pair are shuffled on."""
     ids = pairs.select(F.col("a").alias("row")).distinct().union(pairs.select("b").distinct()).distinct()
     words = src.select("row", "text").join(ids, "row", "left_semi").mapInArrow(_words, "row long, words binary")
-    words = stored(words, "omh-words")
+    return _aligned_pairs(stored(words, "omh-words"), pairs, size, band, least)
+
+
+def _aligned_pairs(words: DataFrame, pairs: DataFrame, size: int, band: float, least: float) -> DataFrame:
+    """The (a, b) pairs whose words align."""
     one, two = (words.select(F.col("row").alias(x), F.col("words").alias(f"w{x}")) for x in "ab")
     return pairs.join(one, "a").join(two, "b").select("a", "b", "wa", "wb").mapInArrow(_verify(size, band, least), "a long, b long")
 
