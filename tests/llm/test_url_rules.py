@@ -4,7 +4,7 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
-from tickspark.llm.url_rules import host_of, judge_urls, mine_rules, path_of, seed_urls, url_tokens
+from tickspark.llm.url_rules import ORDINARY, UNWANTED, host_of, judge_urls, mine_rules, path_of, seed_urls, url_tokens
 
 URLS = {
     "https://WWW.a.Example.NET/en/1?x#y": ("www.a.example.net", "/en/1", "example.net/en/", "allow"),
@@ -46,3 +46,16 @@ def test_mined_rules_equal_brute_force(spark):
                 want[combo] = sum(have) / len(have)
     got = {frozenset(r.antecedent): r.confidence for r in mine_rules(df).collect()}
     assert got == want and got
+
+
+def test_every_seed_name_has_its_verdict(spark):
+    names = UNWANTED + ORDINARY
+    pages = spark.createDataFrame([(i, f"http://blog.{n}.example.org/de/1") for i, n in enumerate(names)], "page_id long, url string")
+    got = {names[r.page_id]: r.verdict for r in judge_urls(pages, [seed_urls(spark)]).collect()}
+    assert got == {**dict.fromkeys(UNWANTED, "block"), **dict.fromkeys(ORDINARY, "allow")}
+
+
+def test_a_rare_token_of_a_long_table_is_mined(spark):
+    rows = [(f"http://fine{'abcdefgh'[i % 8]}.com/", 0) for i in range(2000)] + [("http://bad.com/", 1)] * 8
+    assert [["h:bad"]] == [r.antecedent for r in mine_rules(spark.createDataFrame(rows, "url string, label int"))
+                           .where("size(antecedent) = 1").collect()]

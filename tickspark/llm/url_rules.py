@@ -21,18 +21,20 @@ from tickspark.llm.common import stored
 
 #: Listed rules (verdict, host, path prefix); the longest that fits decides.
 LISTED = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-MIN_SUPPORT, MIN_CONFIDENCE, MIN_COUNT, MAX_LENGTH = 0.01, 0.8, 8, 3
+MIN_SUPPORT, MIN_CONFIDENCE, MIN_COUNT, MAX_LENGTH = 0.0, 0.8, 8, 3
 BROADCAST_RULES = 20_000
 #: Small labelled table of URLs: token pairs that name unwanted sites, and ordinary
 #: ones. Fixed values; ``seed_urls`` sets them into a few URL shapes.
-UNWANTED = ("spam-farm", "cheap-pills", "casino-win", "free-bets", "ads-track", "adult-x", "online-casino", "cheap-viagra",
+UNWANTED = ("spam-mailer", "cheap-meds", "casino-royal", "bets-bonus", "ads-popup", "adult-dating", "online-casino", "cheap-viagra",
             "free-porn", "adult-cams", "win-jackpot", "sports-bets", "payday-loans", "replica-watches", "buy-followers",
             "spam-links", "ads-click", "track-pixel", "pills-store", "poker-bonus")
 ORDINARY = ("daily-news", "city-library", "open-science", "river-museum", "green-garden", "maths-notes", "history-online",
             "town-council", "bird-watchers", "free-software", "win-chess", "music-school", "online-courses", "book-store",
             "farm-shop", "adult-education", "track-cycling", "village-links", "health-journal", "travel-diary")
+#: At least MIN_COUNT shapes, so that every name alone reaches the support.
 _SHAPES = ("https://www.{}.example.com/en/1", "http://{}.example.org/de/2.html", "https://m.{}.example.net/fr/3?page=2",
-           "https://blog.{}.example.com/es/4/")
+           "https://blog.{}.example.com/es/4/", "http://{}.example.net/it/5", "https://shop.{}.example.org/pt/6",
+           "https://www.{}.example.org/nl/7.html", "http://news.{}.example.com/pl/8/")
 
 
 def host_of(url: Column) -> Column:
@@ -70,7 +72,8 @@ def seed_urls(spark: SparkSession) -> DataFrame:
 def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
                min_count: int = MIN_COUNT, max_length: int = MAX_LENGTH) -> DataFrame:
     """(antecedent, support, confidence) of mined rules that imply ``block``, from
-    (url, label) rows. Tokens rarer than the support are left out before mining."""
+    (url, label) rows. Tokens in fewer than ``min_count`` rows are left out before mining,
+    however many rows there are; ``min_support`` asks for a share of the rows besides."""
     items = labelled.where("url is not null and label is not null").select(
         url_tokens(host_of(F.col("url")), path_of(F.col("url"))).alias("items"), "label")
     rows = items.withColumn("items", F.when(F.col("label") > 0, F.array_append("items", F.lit("=block"))).otherwise(F.col("items")))
