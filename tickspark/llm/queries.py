@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickspark.llm import (chat_format, decontaminate, fertility, html_extract, lattice_lm, order_minhash, pfair_mix, token_shards,
-                           toxicity, url_rules)
+from tickspark.llm import (chat_format, decontaminate, fertility, html_extract, lattice_lm, merkle, order_minhash, pfair_mix,
+                           token_shards, toxicity, url_rules)
 from tickspark.llm.common import id_bucket, table
 from tickspark.session import scratch_path
 
@@ -65,14 +65,34 @@ def op10_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "source", *(F.col(f"__{c}").alias(c) for c in ("block", "release", "deadline", "slot", "weight", "start")))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proved = merkle.manifest(table(spark, sf_dir, "documents"), tampered=id_bucket(F.col("doc_id"), 2) == 0)
+    return proved.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 def queries() -> dict:
     found = (op1_lattice_lm, op2_toxicity, op3_html_text, op4_decontaminate, op5_url_rules, op6_fertility, op7_order_minhash,
-             op8_chat_format, op9_token_shards, op10_pfair_mix)
+             op8_chat_format, op9_token_shards, op10_pfair_mix, op12_merkle_manifest)
     return {f.__name__: f for f in found}
 
 
 _SPACE = "[ \\t\\n\\x0B\\f\\r]+"
 
+
+
+def _crc32(value: str) -> str:
+    """DuckDB SQL of the unsigned crc32 of a value as ASCII text, bit by bit."""
+    chars = f"list_transform(string_split({value}::varchar, ''), lambda c: unicode(c)::bigint)"
+    bit = "lambda x, y: xor(x >> 1, 3988292384 * (x & 1))"
+    byte = f"lambda s, b: list_reduce(list_prepend(xor(s, b), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]), {bit})"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {chars}), {byte}), 4294967295)"
+
+
+def _leaf(text: str) -> str:
+    pieces = (f"coalesce(octet_length(encode({c}::varchar)) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars", text))
+    return f"sha256({' || '.join(pieces)})"
+
+
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES = {
     "op8_chat_format": r"""
@@ -94,6 +114,47 @@ select conv_id, count(*) as n_turns,
   sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
   sum(length(piece))::bigint as formatted_chars
 from pieces group by conv_id""",
+    "op12_merkle_manifest": f"""
+with recursive docs as (
+  select *, case when {_crc32('doc_id')} % 2 = 0 then replace(text, chr(10), '') else text end as shown from documents),
+base as (
+  select doc_id, source, {_leaf('text')} as leaf, {_leaf('shown')} as shown from docs),
+placed as (
+  select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as idx,
+    count(*) over (partition by source) as n from base),
+up(source, lvl, idx, h, n) as (
+  select source, 0, idx, leaf, n from placed
+  union all
+  select source, lvl + 1, idx // 3, sha256(string_agg(h, '' order by idx)), (n + 2) // 3
+  from up where n > 1 group by source, lvl, n, idx // 3),
+subs as (select source, h as subroot, lvl as height, row_number() over (order by source nulls first) - 1 as k, count(*) over () as n
+  from up where n = 1),
+over_subs(lvl, idx, h, n) as (
+  select 0, k, subroot, n from subs
+  union all
+  select lvl + 1, idx // 3, sha256(string_agg(h, '' order by idx)), (n + 2) // 3 from over_subs where n > 1 group by lvl, n, idx // 3),
+sib as (
+  select a.source, a.lvl, a.idx, coalesce(string_agg(b.h, '' order by b.idx) filter (b.idx < a.idx), '') as l,
+    coalesce(string_agg(b.h, '' order by b.idx) filter (b.idx > a.idx), '') as r
+  from up a join up b on a.source is not distinct from b.source and a.lvl = b.lvl and a.idx // 3 = b.idx // 3
+  where a.n > 1 group by a.source, a.lvl, a.idx),
+over_sib as (
+  select a.lvl, a.idx, coalesce(string_agg(b.h, '' order by b.idx) filter (b.idx < a.idx), '') as l,
+    coalesce(string_agg(b.h, '' order by b.idx) filter (b.idx > a.idx), '') as r
+  from over_subs a join over_subs b on a.lvl = b.lvl and a.idx // 3 = b.idx // 3 where a.n > 1 group by a.lvl, a.idx),
+walk(doc_id, source, leaf, lvl, idx, proof, folded) as (
+  select doc_id, source, leaf, 0, idx, '', shown from placed
+  union all
+  select w.doc_id, w.source, w.leaf, w.lvl + 1, w.idx // 3, w.proof || s.l || s.r, sha256(s.l || w.folded || s.r)
+  from walk w join sib s on w.source is not distinct from s.source and w.lvl = s.lvl and w.idx = s.idx),
+top(doc_id, leaf, subroot, lvl, idx, proof, folded) as (
+  select w.doc_id, w.leaf, s.subroot, 0, s.k, w.proof, w.folded
+  from walk w join subs s on w.source is not distinct from s.source and w.lvl = s.height
+  union all
+  select t.doc_id, t.leaf, t.subroot, t.lvl + 1, t.idx // 3, t.proof || s.l || s.r, sha256(s.l || t.folded || s.r)
+  from top t join over_sib s on t.lvl = s.lvl and t.idx = s.idx)
+select t.doc_id, t.leaf, t.subroot, o.h as root, sha256(t.proof) as proof_sha256, t.folded as folded_root, t.folded = o.h as verified
+from top t join over_subs o on o.n = 1 and t.lvl = o.lvl""",
 }
 
 
