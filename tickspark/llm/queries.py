@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickspark.llm import (chat_format, decontaminate, fertility, html_extract, lattice_lm, merkle, order_minhash, pfair_mix,
-                           token_shards, toxicity, url_rules)
+                           prefix_trie, token_shards, toxicity, url_rules)
 from tickspark.llm.common import id_bucket, table
 from tickspark.session import scratch_path
 
@@ -65,6 +65,11 @@ def op10_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "source", *(F.col(f"__{c}").alias(c) for c in ("block", "release", "deadline", "slot", "weight", "start")))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv_id")
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"), opener=conv - conv % 100, head=id_bucket(conv, 6), most=5)
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     proved = merkle.manifest(table(spark, sf_dir, "documents"), tampered=id_bucket(F.col("doc_id"), 2) == 0)
     return proved.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
@@ -72,7 +77,7 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     found = (op1_lattice_lm, op2_toxicity, op3_html_text, op4_decontaminate, op5_url_rules, op6_fertility, op7_order_minhash,
-             op8_chat_format, op9_token_shards, op10_pfair_mix, op12_merkle_manifest)
+             op8_chat_format, op9_token_shards, op10_pfair_mix, op11_prefix_trie, op12_merkle_manifest)
     return {f.__name__: f for f in found}
 
 
@@ -114,6 +119,37 @@ select conv_id, count(*) as n_turns,
   sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
   sum(length(piece))::bigint as formatted_chars
 from pieces group by conv_id""",
+    "op11_prefix_trie": f"""
+with own as (
+  select conv_id, coalesce(text, '') as text, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as turn_md5,
+    turn from conversations where conv_id is not null),
+placed as (select *, row_number() over (partition by conv_id order by turn nulls first, turn_md5) - 1 as pos from own),
+convs as (select conv_id, {_crc32('conv_id')} % 6 as h, conv_id - conv_id % 100 as opener from placed where pos = 0),
+joined as (
+  select c.conv_id, 0 as part, p.pos, p.text, p.turn_md5 from convs c join placed p on p.conv_id = c.opener and p.pos < c.h
+  union all
+  select c.conv_id, 1, p.pos, p.text, p.turn_md5 from convs c join placed p on p.conv_id = c.conv_id and p.pos >= c.h),
+members as (
+  select conv_id, 0 as depth, '' as key, null as parent_key, 0 as chars from convs
+  union all
+  select conv_id, depth, key, coalesce(lag(key) over (partition by conv_id order by depth), '') as parent_key, chars from (
+    select conv_id, row_number() over w as depth, string_agg(turn_md5, '') over w as key, length(text) as chars
+    from joined window w as (partition by conv_id order by part, pos))),
+nodes as (
+  select depth, key, min(parent_key) as parent_key, min(conv_id) as conv_id, count(*) as n_convs, max(chars) as chars
+  from members group by depth, key),
+kids as (select depth - 1 as depth, parent_key as key, count(*) as n_children from nodes where depth > 0 group by 1, 2),
+below as (
+  select m.depth, m.key, sum((u.n_convs - 1) * u.chars)::bigint as saved_tokens, count(*) filter (k.n_children is null) as n_leaves
+  from nodes u left join kids k on u.depth = k.depth and u.key = k.key
+  join members m on m.conv_id = u.conv_id and m.depth <= u.depth group by m.depth, m.key),
+lasts as (select conv_id, max(depth) as depth, max_by(key, depth) as key from members group by conv_id),
+ends as (select depth, key, sha256(string_agg(conv_id::varchar, ',' order by conv_id)) as ends_sha256 from lasts group by depth, key)
+select n.conv_id, n.depth::bigint as depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(k.n_children, 0)::bigint as n_children,
+  b.n_leaves, b.saved_tokens, coalesce(e.ends_sha256, sha256('')) as ends_sha256
+from nodes n left join nodes p on p.depth = n.depth - 1 and p.key = n.parent_key
+left join kids k on k.depth = n.depth and k.key = n.key join below b on b.depth = n.depth and b.key = n.key
+left join ends e on e.depth = n.depth and e.key = n.key""",
     "op12_merkle_manifest": f"""
 with recursive docs as (
   select *, case when {_crc32('doc_id')} % 2 = 0 then replace(text, chr(10), '') else text end as shown from documents),
