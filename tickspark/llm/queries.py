@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickspark.llm import (chat_format, decontaminate, fertility, html_extract, lattice_lm, merkle, order_minhash, pfair_mix,
-                           prefix_trie, token_shards, toxicity, url_rules)
+                           prefix_trie, quality_mil, token_shards, toxicity, url_rules)
 from tickspark.llm.common import id_bucket, table
 from tickspark.session import scratch_path
 
@@ -75,9 +75,16 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proved.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op13_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_bucket(F.col("doc_id"), 5) == 0
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality_mil.score_quality(docs, table(spark, sf_dir, "labels"), may_learn=~held_out, score_col="score")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality_mil.THRESHOLD).cast("int").alias("predicted"))
+
+
 def queries() -> dict:
     found = (op1_lattice_lm, op2_toxicity, op3_html_text, op4_decontaminate, op5_url_rules, op6_fertility, op7_order_minhash,
-             op8_chat_format, op9_token_shards, op10_pfair_mix, op11_prefix_trie, op12_merkle_manifest)
+             op8_chat_format, op9_token_shards, op10_pfair_mix, op11_prefix_trie, op12_merkle_manifest, op13_quality_mil)
     return {f.__name__: f for f in found}
 
 
