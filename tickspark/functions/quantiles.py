@@ -1,8 +1,4 @@
-"""Exact median and percentiles with linear interpolation.
-
-Both keep a value→count map per group: small on price grids. A caller may pass
-``approx=True`` for a fixed-size, mergeable sketch instead; nothing else does.
-"""
+"""Ranks and interpolation of exact quantiles, as column expressions."""
 
 from __future__ import annotations
 
@@ -11,14 +7,30 @@ from typing import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ACCURACY = 10000
 
+def wanted_ranks(n: Column, probs: Sequence[float]) -> Column:
+    """The distinct 0-based ranks that linear interpolation of ``probs`` over n rows needs."""
+    at = [(n - 1) * F.lit(float(p)) for p in probs]
+    return F.array_distinct(F.array(*(f(a).cast("long") for a in at for f in (F.floor, F.ceil))))
+
+
+def interpolate(n: Column, probs: Sequence[float], value) -> Column:
+    """One value per probability; ``value(rank)`` is the value of a 0-based rank."""
+    out = []
+    for p in probs:
+        at = (n - 1) * F.lit(float(p))
+        low, part = F.floor(at).cast("long"), at - F.floor(at)
+        # No rank above is read where the position is a whole one: infinities stay as they are.
+        out.append(F.when(part == 0, value(low)).otherwise(value(low) * (1 - part) + value(low + 1) * part))
+    return F.array(*out)
 
-def median(c, approx: bool | None = None) -> Column:
-    return F.percentile_approx(c, 0.5, ACCURACY) if approx else F.median(c)
 
+def magnitude(x: Column) -> Column:
+    """A non-decreasing LONG of a DOUBLE: sign and 1/64 powers of two. At most 2**18 values.
 
-def percentiles(c, probs: Sequence[float], approx: bool | None = None) -> Column:
-    if approx:
-        return F.percentile_approx(c, list(probs), ACCURACY)
-    return F.percentile(c, F.array(*[F.lit(p) for p in probs]))
+    Minus infinity is first, plus infinity last but for NaN, as Spark orders them.
+    """
+    step = F.floor((F.log2(F.abs(x)) + 1100) * 64).cast("long") + 1
+    edge = F.lit(1 << 20).cast("long")
+    return (F.when(F.isnan(x), edge + 1).when(x == float("inf"), edge).when(x == float("-inf"), -edge)
+            .when(x == 0, F.lit(0).cast("long")).when(x > 0, step).otherwise(-step))

@@ -1,8 +1,8 @@
 """Profiles, distributions and per-symbol consistency.
 
-All statistics are single ``agg`` passes: Spark aggregates partially on each map
-task and merges after the shuffle. Exact ``median``/``percentile`` keep value→count
-maps per group; pass ``approx=True`` to use ``percentile_approx`` at very large scale.
+All statistics but quantiles are single ``agg`` passes: Spark aggregates partially on
+each map task and merges after the shuffle. Quantiles are exact and found by rank
+selection (``operators/quantiles.py``), so no group's values meet in one task's map.
 """
 
 from __future__ import annotations
@@ -13,15 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickspark.functions.columns import mid, pct_dev, price_location
-from tickspark.functions.quantiles import median, percentiles
+from tickspark.operators.quantiles import exact_quantiles, with_quantiles
 
 
-def five_stats(c: str, prefix: str = "", approx: bool | None = None) -> list[Column]:
-    """min, max, mean, median, std (sample) of one column."""
-    med = median(c, approx)
-    return [F.min(c).alias(f"{prefix}min"), F.max(c).alias(f"{prefix}max"),
-            F.avg(c).alias(f"{prefix}mean"), med.alias(f"{prefix}median"),
-            F.stddev_samp(c).alias(f"{prefix}std")]
+def describe(df: DataFrame, c: str, keys: Sequence[str] = ()) -> DataFrame:
+    """min, max, mean, median, std (sample) of one column, per group of ``keys``."""
+    rest = df.groupBy(*keys).agg(F.min(c).alias("min"), F.max(c).alias("max"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"))
+    return with_quantiles(rest, df, {c: "median"}, keys=keys).select(*keys, "min", "max", "mean", "median", "std")
 
 
 def with_deviation(df: DataFrame, price: str = "price", bid: str = "best_bid",
@@ -35,14 +33,10 @@ def with_deviation(df: DataFrame, price: str = "price", bid: str = "best_bid",
     })
 
 
-def symbol_consistency(enriched: DataFrame, keys: Sequence[str] = ("symbol",),
-                       approx: bool | None = None) -> DataFrame:
+def symbol_consistency(enriched: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """A27 + P16: per-symbol trade/NBBO consistency metrics (16 aggregates + ratios)."""
     loc = F.col("price_location")
     dev = F.col("price_vs_mid_pct")
-
-    def med(c):
-        return median(c, approx)
     agg = enriched.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_trades"),
         F.sum("size").cast("long").alias("total_volume"),
@@ -50,7 +44,6 @@ def symbol_consistency(enriched: DataFrame, keys: Sequence[str] = ("symbol",),
         F.count_if(loc == "below_bid").alias("below_bid_count"),
         F.count_if(loc == "above_ask").alias("above_ask_count"),
         F.avg("spread").alias("mean_spread"),
-        med("spread").alias("median_spread"),
         F.stddev_samp("spread").alias("std_spread"),
         F.min("spread").alias("min_spread"),
         F.max("spread").alias("max_spread"),
@@ -60,7 +53,7 @@ def symbol_consistency(enriched: DataFrame, keys: Sequence[str] = ("symbol",),
         F.max(dev).alias("max_price_deviation_pct"),
         F.avg(F.abs(dev)).alias("mean_abs_deviation_pct"),
         F.max(F.abs(dev)).alias("max_abs_deviation_pct"))
-    return agg.withColumns({
+    return with_quantiles(agg, enriched, {"spread": "median_spread"}, keys=keys).withColumns({
         "pct_within_spread": F.try_divide(F.col("within_spread_count") * 100.0, F.col("total_trades")),
         "pct_below_bid": F.try_divide(F.col("below_bid_count") * 100.0, F.col("total_trades")),
         "pct_above_ask": F.try_divide(F.col("above_ask_count") * 100.0, F.col("total_trades")),
@@ -76,13 +69,12 @@ def location_mix(enriched: DataFrame) -> DataFrame:
             .withColumn("percentage", F.col("count") * 100.0 / F.sum("count").over(Window.partitionBy())))
 
 
-def quantiles(df: DataFrame, c: str, probs: Sequence[float] = (0.5, 0.95, 0.99),
-              keys: Sequence[str] = (), approx: bool | None = None) -> DataFrame:
-    """Mean + linear-interpolated quantiles (exact by default)."""
-    qs = percentiles(c, probs, approx)
+def quantiles(df: DataFrame, c: str, probs: Sequence[float] = (0.5, 0.95, 0.99), keys: Sequence[str] = ()) -> DataFrame:
+    """Mean, count and exact linear-interpolated quantiles."""
     names = [f"p{int(round(p * 100))}" if p != 0.5 else "median" for p in probs]
-    out = df.groupBy(*keys).agg(F.avg(c).alias("mean"), F.count(c).alias("n"), qs.alias("_q"))
-    return out.select(*keys, "mean", "n", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    base = df.groupBy(*keys).agg(F.avg(c).alias("mean"), F.count(c).alias("n"))
+    out = with_quantiles(base, df, {c: "_qs"}, [*probs, probs[0]] if len(probs) == 1 else probs, keys)
+    return out.select(*keys, "mean", "n", *[F.col("_qs")[i].alias(n) for i, n in enumerate(names)])
 
 
 def _join_null_safe(rows: DataFrame, per_key: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -120,13 +112,12 @@ def histogram(df: DataFrame, c: str, bins: int, keys: Sequence[str] = ()) -> Dat
 def boxplot(df: DataFrame, c: str, keys: Sequence[str] = ()) -> DataFrame:
     """Quartiles, 1.5·IQR whiskers (most extreme points inside the fences), outlier count."""
     keys = list(keys)
-    pq = percentiles(c, (0.25, 0.5, 0.75))
     j = df.select(*keys, c)
+    quartiles = exact_quantiles(df, [c], (0.25, 0.5, 0.75), keys).withColumnRenamed(c, "_q")
     if keys:
-        q = df.groupBy(*keys).agg(pq.alias("_q"))
-        j = _join_null_safe(j, q, keys)
+        j = _join_null_safe(j, quartiles, keys)
     else:  # quartiles as one scalar subquery
-        j = j.withColumn("_q", df.agg(pq).scalar())
+        j = j.withColumn("_q", quartiles.scalar())
     j = j.withColumns({"q1": F.col("_q")[0], "median": F.col("_q")[1], "q3": F.col("_q")[2]}).drop("_q")
     j = j.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("lo_fence", F.col("q1") - 1.5 * F.col("iqr")) \

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from tickspark.functions.columns import mid, quality_tier, spread
 from tickspark.functions.filters import crossed, nonneg_spread, regular_trade
-from tickspark.functions.quantiles import median
 from tickspark.operators import bars, stats
 from tickspark.operators.asof import asof_join
+from tickspark.operators.quantiles import with_quantiles
 from tickspark.operators.topk import top_k
 from tickspark.plans.registry import oracle, query
 from tickspark.sources.fixtures import fxd_nbbo, fxd_trades, view
@@ -230,29 +230,29 @@ def _five_sql(x, name, src, where=""):
 @query("price_stats", oracle(_five_sql("price", "price", "fxd_trades"),
                              ["min_price", "max_price", "mean_price", "median_price", "std_price"]), ids="A6")
 def q_price_stats(spark, d):
-    return trades(spark, d).agg(*stats.five_stats("price", ""))\
-        .toDF("min_price", "max_price", "mean_price", "median_price", "std_price")
+    return stats.describe(trades(spark, d), "price").toDF(
+        "min_price", "max_price", "mean_price", "median_price", "std_price")
 
 
 @query("size_stats", oracle(_five_sql("size", "size", "fxd_trades"),
                             ["mean_size", "median_size", "std_size"]), ids="A7")
 def q_size_stats(spark, d):
-    return trades(spark, d).agg(*stats.five_stats("size", ""))\
-        .toDF("min_size", "max_size", "mean_size", "median_size", "std_size")
+    return stats.describe(trades(spark, d), "size").toDF(
+        "min_size", "max_size", "mean_size", "median_size", "std_size")
 
 
 @query("spread_stats", oracle(_five_sql("best_ask - best_bid", "spread", "fxd_nbbo"),
                               ["min_spread", "max_spread", "mean_spread", "median_spread", "std_spread"]), ids="A9")
 def q_spread_stats(spark, d):
-    return nbbo(spark, d).withColumn("spread", spread()).agg(*stats.five_stats("spread", ""))\
-        .toDF("min_spread", "max_spread", "mean_spread", "median_spread", "std_spread")
+    return stats.describe(nbbo(spark, d).withColumn("spread", spread()), "spread").toDF(
+        "min_spread", "max_spread", "mean_spread", "median_spread", "std_spread")
 
 
 @query("mid_stats", oracle(_five_sql("(best_bid + best_ask) / 2", "mid", "fxd_nbbo"),
                            ["min_mid", "max_mid", "mean_mid", "median_mid", "std_mid"]), ids="A10")
 def q_mid_stats(spark, d):
-    return nbbo(spark, d).withColumn("mid_price", mid()).agg(*stats.five_stats("mid_price", ""))\
-        .toDF("min_mid", "max_mid", "mean_mid", "median_mid", "std_mid")
+    return stats.describe(nbbo(spark, d).withColumn("mid_price", mid()), "mid_price").toDF(
+        "min_mid", "max_mid", "mean_mid", "median_mid", "std_mid")
 
 
 @query("nbbo_counts", oracle("""
@@ -350,10 +350,10 @@ select min(best_bidsizeshares) as min_bid_size, max(best_bidsizeshares) as max_b
 from fxd_nbbo""", ["mean_bid_size", "median_bid_size", "mean_ask_size", "median_ask_size"]), ids="A21")
 def q_quote_size_stats(spark, d):
     b, a = "best_bidsizeshares", "best_asksizeshares"
-    return nbbo(spark, d).agg(
+    rest = nbbo(spark, d).agg(
         F.min(b).alias("min_bid_size"), F.max(b).alias("max_bid_size"), F.avg(b).alias("mean_bid_size"),
-        median(b).alias("median_bid_size"), F.min(a).alias("min_ask_size"), F.max(a).alias("max_ask_size"),
-        F.avg(a).alias("mean_ask_size"), median(a).alias("median_ask_size"))
+        F.min(a).alias("min_ask_size"), F.max(a).alias("max_ask_size"), F.avg(a).alias("mean_ask_size"))
+    return with_quantiles(rest, nbbo(spark, d), {b: "median_bid_size", a: "median_ask_size"})
 
 
 @query("summary_table", oracle("""
@@ -381,8 +381,9 @@ def q_top_symbol_nbbo(spark, d):
             .orderBy(F.desc("v"), "symbol").limit(5).select("symbol"))
     # the top-k result has at most 5 rows: a proven bound, so broadcasting it is safe
     q = valid_nbbo(spark, d).join(F.broadcast(top5), "symbol", "left_semi")
-    return (q.groupBy("symbol").agg(F.count(F.lit(1)).alias("nbbo_records"), F.avg("spread").alias("avg_spread"),
-                                    median("spread").alias("median_spread"), F.avg("mid_price").alias("avg_mid"))
+    rest = q.groupBy("symbol").agg(F.count(F.lit(1)).alias("nbbo_records"), F.avg("spread").alias("avg_spread"),
+                                   F.avg("mid_price").alias("avg_mid"))
+    return (with_quantiles(rest, q, {"spread": "median_spread"}, keys=["symbol"])
             .withColumn("spread_pct_of_mid", F.try_divide(100 * F.col("avg_spread"), F.col("avg_mid"))))
 
 
@@ -442,8 +443,8 @@ def q_price_location_mix(spark, d):
 @query("deviation_stats", oracle(_five_sql("price_vs_mid_pct", "pct", "enr"),
                                  ["min_pct", "max_pct", "mean_pct", "median_pct", "std_pct"], ctes=ENR), ids="A25")
 def q_deviation_stats(spark, d):
-    return enriched(spark, d).agg(*stats.five_stats("price_vs_mid_pct", ""))\
-        .toDF("min_pct", "max_pct", "mean_pct", "median_pct", "std_pct")
+    return stats.describe(enriched(spark, d), "price_vs_mid_pct").toDF(
+        "min_pct", "max_pct", "mean_pct", "median_pct", "std_pct")
 
 
 @query("symbol_deep_dive", oracle("""
@@ -461,16 +462,17 @@ def q_symbol_deep_dive(spark, d, symbol: str = "TSLA"):
     e = enriched(spark, d)
     pick = e.agg(F.coalesce(F.max(F.when(F.col("symbol") == symbol, F.col("symbol"))), F.min("symbol"))).scalar()
     loc = F.col("price_location")
-    return (e.where(F.col("symbol") == pick).groupBy("symbol").agg(
+    one = e.where(F.col("symbol") == pick)
+    rest = one.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("n_trades"),
         F.count_if(loc == "within_spread").alias("within_spread"),
         F.count_if(loc == "below_bid").alias("below_bid"),
         F.count_if(loc == "above_ask").alias("above_ask"),
         (F.count_if(loc == "within_spread") * 100.0 / F.count(F.lit(1))).alias("pct_within_spread"),
         F.avg("price_vs_mid_pct").alias("mean_deviation_pct"),
-        median("price_vs_mid_pct").alias("median_deviation_pct"),
         F.stddev_samp("price_vs_mid_pct").alias("std_deviation_pct"),
-        F.avg("spread").alias("mean_spread"), median("spread").alias("median_spread")))
+        F.avg("spread").alias("mean_spread"))
+    return with_quantiles(rest, one, {"price_vs_mid_pct": "median_deviation_pct", "spread": "median_spread"}, keys=["symbol"])
 
 
 @query("symbol_consistency", oracle("select * from cons", CONS_DBL, ctes=CONS), ids="A27, P16, P17")
@@ -490,6 +492,7 @@ from cons""", ["avg_trades", "median_trades", "avg_pct_within", "median_pct_with
                "avg_abs_deviation", "median_abs_deviation"], ctes=CONS), ids="A28")
 def q_consistency_summary(spark, d):
     c = consistency(spark, d)
+    median = F.median  # over one row per symbol: a map bounded by the symbol universe
     return c.agg(F.count(F.lit(1)).alias("n_symbols"), F.avg("total_trades").alias("avg_trades"),
                  median("total_trades").alias("median_trades"),
                  F.avg("pct_within_spread").alias("avg_pct_within"),
