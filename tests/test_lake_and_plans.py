@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
@@ -47,18 +48,17 @@ def test_stream_ingest_rerun_is_noop(spark):
     landing = scratch_path(spark, "t-landing")
     spark.range(100).select(F.col("id").cast("string").alias("v"), F.lit("2024-01-02").alias("trade_date"),
                             F.lit("A").alias("symbol")).write.option("header", True).csv(landing)
-    out, ck = scratch_path(spark, "t-out"), scratch_path(spark, "t-ck")
+    root, ck = scratch_path(spark, "t-out"), scratch_path(spark, "t-ck")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in ("v", "trade_date", "symbol")])
     for _ in range(2):
-        ingest.run_to_end(ingest.ingest_stream(spark, landing, schema, out, ck))
-    assert spark.read.parquet(out).count() == 100
+        ingest.run_to_end(ingest.ingest_stream(spark, landing, schema, root, "trades", ck))
+    assert lake.read_lake(spark, root, "trades").count() == 100
 
 
-def test_streaming_vwap_equals_batch_on_closed_windows(spark):
+def test_streaming_vwap_equals_batch(spark):
     s = Q["stream_vwap_1m"](spark, SF_SMALL)
     b = Q["vwap_1m"](spark, SF_SMALL)
-    assert s.exceptAll(b).count() == 0
-    assert b.count() - s.count() <= 12 * 3      # only the still-open windows are missing
+    assert s.exceptAll(b).count() == 0 and b.exceptAll(s).count() == 0
 
 
 def test_location_counts_add_up(spark):
@@ -109,7 +109,7 @@ def test_lake_scan_prunes_partitions_columns_and_time(spark):
     assert got == [2.0, 3.0, 4.0, 5.0]
 
 
-def test_lake_read_skips_corrupt_files(spark):
+def test_lake_read_skips_corrupt_files_only_on_request(spark):
     import os
     root = scratch_path(spark, "t-lake")
     df = spark.createDataFrame([(dt.date(2024, 1, 2), "A", 1.0)] * 5, "trade_date date, symbol string, price double")
@@ -117,7 +117,9 @@ def test_lake_read_skips_corrupt_files(spark):
     part = os.path.join(root.replace("file:", ""), "trades", "trade_date=2024-01-02", "symbol=A")
     with open(os.path.join(part, "part-99999-junk.parquet"), "wb") as f:
         f.write(b"not a parquet file")
-    assert lake.read_lake(spark, root, "trades").count() == 5
+    assert lake.read_lake(spark, root, "trades", skip_corrupt=True).count() == 5
+    with pytest.raises(Exception, match="not a Parquet file"):
+        lake.read_lake(spark, root, "trades").count()
 
 
 def test_time_bounds_fall_back_to_nbbo(spark):

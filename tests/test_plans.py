@@ -44,6 +44,10 @@ def test_per_group_top_k_limits_before_shuffle(spark):
     assert "WindowGroupLimit" in p
 
 
-def test_flagship_has_no_join(spark):
+def test_flagship_joins_one_row_per_symbol_and_sorts_no_whole_group(spark):
+    """The ticks meet in the as-of's windows only; what is joined are totals and medians per symbol,
+    both read from partial sums per (symbol, spread)."""
     p = plan_of(spark, "symbol_consistency")
-    assert "Join" not in p
+    assert "percentile(" not in p and "median(" not in p
+    scans = [line for line in p.splitlines() if "FileScan" in line]
+    assert scans and all("consistency-" in line for line in scans)

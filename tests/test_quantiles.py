@@ -25,7 +25,8 @@ def plain(values, p):
     return v[low] if at == low else v[low] * (1 - (at - low)) + v[low + 1] * (at - low)
 
 
-def test_groups_columns_nulls_and_ties(spark):
+@pytest.mark.parametrize("one_task", [1 << 22, 0])
+def test_groups_columns_nulls_and_ties(spark, one_task):
     rng = random.Random(8)
     rows = []
     for _ in range(4000):
@@ -34,7 +35,7 @@ def test_groups_columns_nulls_and_ties(spark):
                      rng.randint(0, 5)))
     rows += [("none", None, None), ("one", 5.0, 7)]
     df = spark.createDataFrame(rows, "g string, x double, k int").repartition(5)
-    got = {r.g: r for r in exact_quantiles(df, ["x", "k"], PROBS, ["g"]).collect()}
+    got = {r.g: r for r in exact_quantiles(df, ["x", "k"], PROBS, ["g"], one_task).collect()}
     assert set(got) == {None, "a", "hot", "one"}
     for g, r in got.items():
         for c, i in (("x", 1), ("k", 2)):
@@ -48,8 +49,9 @@ def test_groups_columns_nulls_and_ties(spark):
     [-3.0] * 9, [2.0 ** k for k in range(-1000, 1000, 7)]])
 def test_odd_values(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x double").repartition(3)
-    (row,) = exact_quantiles(df, ["x"], (0.0, 0.5, 1.0)).collect()
-    assert all(same(a, plain(values, p)) for a, p in zip(row.x, (0.0, 0.5, 1.0)))
+    for one_task in (1 << 22, 0):
+        (row,) = exact_quantiles(df, ["x"], (0.0, 0.5, 1.0), one_task=one_task).collect()
+        assert all(same(a, plain(values, p)) for a, p in zip(row.x, (0.0, 0.5, 1.0)))
 
 
 def test_magnitudes_never_fall(spark):
@@ -73,3 +75,24 @@ def test_no_map_of_a_whole_group_in_the_plan(spark):
     df = spark.range(1000).select((F.col("id") % 97).cast("double").alias("x"))
     plan = stats.describe(df, "x")._jdf.queryExecution().executedPlan().toString().lower()
     assert not any(word in plan for word in ("percentile(", "median(", "cartesian", "nestedloop"))
+
+
+@pytest.mark.parametrize("one_task", [1 << 22, 0])
+def test_consistency_from_partial_sums(spark, one_task, monkeypatch):
+    from tickspark.operators import quantiles
+    monkeypatch.setattr(quantiles.quantiles_of_counts, "__defaults__", ((), one_task, ()))
+    rng = random.Random(4)
+    rows = [(rng.choice(["A", "B", None]), rng.choice([None, 0.01, 0.02, 0.05]), rng.choice([None, rng.gauss(0, 0.1)]),
+             rng.choice(["within_spread", "below_bid", "above_ask"]), rng.randint(1, 9)) for _ in range(500)] + [("one", 0.5, 0.1, "below_bid", 3)]
+    df = spark.createDataFrame(rows, "symbol string, spread double, price_vs_mid_pct double, price_location string, size int")
+    for r in stats.symbol_consistency(df).collect():
+        own = [row for row in rows if row[0] == r.symbol]
+        spreads, devs = [row[1] for row in own if row[1] is not None], [row[2] for row in own if row[2] is not None]
+        assert r.total_trades == len(own) and r.total_volume == sum(row[4] for row in own)
+        assert r.median_spread == pytest.approx(np.median(spreads)) and r.mean_spread == pytest.approx(np.mean(spreads))
+        assert r.mean_abs_deviation_pct == pytest.approx(np.mean(np.abs(devs))) and r.max_price_deviation_pct == max(devs)
+        assert r.below_bid_count == sum(row[3] == "below_bid" for row in own)
+        if len(own) == 1:
+            assert r.std_spread is None and r.std_price_deviation_pct is None
+        else:
+            assert r.std_spread == pytest.approx(np.std(spreads, ddof=1)) and r.std_price_deviation_pct == pytest.approx(np.std(devs, ddof=1))

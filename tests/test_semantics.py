@@ -107,7 +107,7 @@ def test_vwap_zero_volume_is_null_and_std_single_row(spark):
                                "symbol string, ts_event timestamp_ntz, price double, size int")
     got = {r["symbol"]: r["vwap"] for r in bars.vwap(df, "1m").collect()}
     assert got["A"] is None and got["B"] == 5.0
-    s = df.groupBy("symbol").agg(*stats.five_stats("price")).collect()
+    s = stats.describe(df, "price", keys=["symbol"]).collect()
     assert all(r["std"] is None for r in s)
 
 
@@ -172,23 +172,6 @@ def test_histogram_edges(spark):
     assert [(r["bin"], r["count"]) for r in stats.histogram(eq, "x", 10).collect()] == [(0, 4)]
 
 
-def test_quantile_switch_to_sketches(spark):
-    import __spark_entry__ as E
-    from tickspark.functions.quantiles import CONF_KEY
-    q = E.queries()["spread_quantiles"]
-    exact = q(spark, "/root/testdata/sf0.01").first()
-    spark.conf.set(CONF_KEY, "approx")
-    try:
-        plan = q(spark, "/root/testdata/sf0.01")
-        assert "percentile_approx" in plan._jdf.queryExecution().optimizedPlan().toString()
-        approx = plan.first()
-    finally:
-        spark.conf.unset(CONF_KEY)
-    assert approx["n"] == exact["n"]
-    for k in ("median", "p95", "p99"):
-        assert abs(approx[k] - exact[k]) <= 0.011   # within one price tick on the spread grid
-
-
 def test_tw_spread_single_shuffle_equals_lead_formulation(spark):
     from pyspark.sql import Window as W
     rows = []

@@ -204,11 +204,16 @@ def lod_choice(window_seconds) -> "F.Column":
 def minute_nbbo_features(nbbo: DataFrame, grid: DataFrame, window: str = "1m",
                          by: Sequence[str] = ("symbol", "trade_date"), ts: str = "ts_event",
                          seq: str = "qu_seqnum", bid: str = "best_bid", ask: str = "best_ask",
-                         end_of_day_us: int | None = None) -> DataFrame:
+                         end_of_day_us: int | None = None, fill: bool = False) -> DataFrame:
     """A41 + J8 + A2 for the buckets of ``grid`` (``by`` + ``time_bucket``) from ONE pass over
     the quotes: NBBO at the bucket close (last valid quote at or before the bucket end),
     number of quote updates in the bucket, and the time-weighted spread of the bucket.
 
+    ``fill``: one row per bucket from the first to the last of a ``by`` group that holds a
+    row of ``grid`` or a quote; buckets that ``grid`` lacks have NULL in its other columns.
+    The state is carried on the buckets that hold something, and each of them generates
+    the empty ones after it: no window runs over the dense grid.
+
     Quotes are shuffled once by (by, bucket). Inside a bucket, valid quotes are ordered
     first, so ``lead`` gives each valid quote's in-bucket segment, and the bucket's last valid
     quote and its quotes stamped exactly at the bucket start (which close the previous
@@ -259,24 +264,34 @@ def minute_nbbo_features(nbbo: DataFrame, grid: DataFrame, window: str = "1m",
                                        ignorenulls=True).over(before))
              .withColumn("_nb", F.last(F.when(valid_b, F.col("_b")), ignorenulls=True).over(bwd))
              .withColumn("_nx", F.lead(F.struct("_b", "_zb", "_za")).over(fwd)))
+    # an empty bucket is covered by the last valid quote at the end of the bucket that generates it
+    own = F.struct(F.col("_lb").alias("b"), F.col("_la").alias("a"), F.col("_ls").alias("s"), end.alias("e"))
+    small = small.withColumns({"_valid": valid_b, "_end": end, "_own": F.when(valid_b, own).otherwise(F.col("_pq"))})
+    if fill:
+        after = F.greatest(F.coalesce(F.col("_nx._b") - F.lit(w), F.col("_b")), F.col("_b"))
+        small = small.withColumn("_m", F.explode(F.sequence(F.col("_b"), after, F.lit(w))))
+        gap = F.col("_m") > F.col("_b")
+        small = small.withColumns({"_pq": F.when(gap, F.col("_own")).otherwise(F.col("_pq")), "_valid": F.col("_valid") & ~gap,
+                                   "_n": F.when(~gap, F.col("_n")), **{c: F.when(~gap, F.col(c)) for c in extra}})
+    else:
+        small = small.where(F.col("_g")).withColumn("_m", F.col("_b"))
+    valid_b, end, at = F.col("_valid"), F.col("_end"), F.col("_m")
     # NBBO at the close: a quote stamped exactly at the bucket end, else this bucket's last, else carried
-    at_end = (F.col("_nx._b") == F.col("_b") + F.lit(w)) & F.col("_nx._zb").isNotNull()
+    at_end = (F.col("_nx._b") == at + F.lit(w)) & F.col("_nx._zb").isNotNull()
     close_b = F.when(at_end, F.col("_nx._zb")).when(valid_b, F.col("_lb")).otherwise(F.col("_pq.b"))
     close_a = F.when(at_end, F.col("_nx._za")).when(valid_b, F.col("_la")).otherwise(F.col("_pq.a"))
     # time-weighted spread: own segments (+ head covered by the previous quote, − tail after the
     # day's last quote) for buckets with valid quotes; carried spread over the covered part otherwise
-    cut = F.when(F.col("_nb").isNull(), F.least(end, F.col("_b") + F.lit(w)) - (F.col("_b") + F.lit(w))) \
-        .otherwise(F.lit(0))
-    head = F.when(F.col("_pq").isNotNull(), F.col("_first") - F.col("_b")).otherwise(F.lit(0))
+    cut = F.when(F.col("_nb").isNull(), F.least(end, at + F.lit(w)) - (at + F.lit(w))).otherwise(F.lit(0))
+    head = F.when(F.col("_pq").isNotNull(), F.col("_first") - at).otherwise(F.lit(0))
     num_v = F.col("_num") + F.col("_ls") * cut + F.coalesce(F.col("_pq.s"), F.lit(0.0)) * head
     den_v = F.col("_den") + cut + head
-    cov_g = F.least(F.coalesce(F.col("_nb"), F.col("_pq.e")), F.col("_b") + F.lit(w)) - F.col("_b")
+    cov_g = F.least(F.coalesce(F.col("_nb"), F.col("_pq.e")), at + F.lit(w)) - at
     num = F.when(valid_b, num_v).otherwise(F.col("_pq.s") * cov_g)
     den = F.when(valid_b, den_v).otherwise(cov_g)
-    return (small.where(F.col("_g"))
-            .select(*by, from_epoch_micros("_b").alias("time_bucket"), *extra,
-                    close_b.alias("close_bid"), close_a.alias("close_ask"),
-                    F.coalesce(F.col("_n"), F.lit(0).cast("long")).alias("quote_updates"),
-                    F.when(den > 0, F.try_divide(num, den)).alias("tw_spread"))
+    return (small.select(*by, from_epoch_micros("_m").alias("time_bucket"), *extra,
+                         close_b.alias("close_bid"), close_a.alias("close_ask"),
+                         F.coalesce(F.col("_n"), F.lit(0).cast("long")).alias("quote_updates"),
+                         F.when(den > 0, F.try_divide(num, den)).alias("tw_spread"))
             .withColumn("close_mid", mid("close_bid", "close_ask"))
             .withColumn("close_spread", spread("close_bid", "close_ask")))

@@ -9,15 +9,19 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tickspark.functions.columns import mid, pct_dev, price_location
-from tickspark.operators.quantiles import exact_quantiles, with_quantiles
+from tickspark.operators.quantiles import counts_of, exact_quantiles, quantiles_of_counts, with_quantiles
+from tickspark.session import stored
 
 
-def describe(df: DataFrame, c: str, keys: Sequence[str] = ()) -> DataFrame:
-    """min, max, mean, median, std (sample) of one column, per group of ``keys``."""
+def describe(df: DataFrame, c: str, keys: Sequence[str] = (), once: bool = False) -> DataFrame:
+    """min, max, mean, median, std (sample) of one column, per group of ``keys``.
+
+    ``once``: ``df`` is costly (a join, say); its columns are written and read twice."""
+    df = stored(df.select(*keys, c), "described") if once else df
     rest = df.groupBy(*keys).agg(F.min(c).alias("min"), F.max(c).alias("max"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"))
     return with_quantiles(rest, df, {c: "median"}, keys=keys).select(*keys, "min", "max", "mean", "median", "std")
 
@@ -34,26 +38,35 @@ def with_deviation(df: DataFrame, price: str = "price", bid: str = "best_bid",
 
 
 def symbol_consistency(enriched: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
-    """A27 + P16: per-symbol trade/NBBO consistency metrics (16 aggregates + ratios)."""
-    loc = F.col("price_location")
-    dev = F.col("price_vs_mid_pct")
-    agg = enriched.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("total_trades"),
-        F.sum("size").cast("long").alias("total_volume"),
-        F.count_if(loc == "within_spread").alias("within_spread_count"),
-        F.count_if(loc == "below_bid").alias("below_bid_count"),
-        F.count_if(loc == "above_ask").alias("above_ask_count"),
-        F.avg("spread").alias("mean_spread"),
-        F.stddev_samp("spread").alias("std_spread"),
-        F.min("spread").alias("min_spread"),
-        F.max("spread").alias("max_spread"),
-        F.avg(dev).alias("mean_price_deviation_pct"),
-        F.stddev_samp(dev).alias("std_price_deviation_pct"),
-        F.min(dev).alias("min_price_deviation_pct"),
-        F.max(dev).alias("max_price_deviation_pct"),
-        F.avg(F.abs(dev)).alias("mean_abs_deviation_pct"),
-        F.max(F.abs(dev)).alias("max_abs_deviation_pct"))
-    return with_quantiles(agg, enriched, {"spread": "median_spread"}, keys=keys).withColumns({
+    """A27 + P16: per-symbol trade/NBBO consistency metrics (16 aggregates + ratios).
+
+    The trades are read once, into partial sums per (key, spread): on a price grid a few
+    rows a symbol. They are written, and the totals as well as the exact median spread
+    come from them. Deviations are centred on zero, so their squares can be summed as
+    they are.
+    """
+    loc, dev = F.col("price_location"), F.col("price_vs_mid_pct")
+    seen = Observation("consistency")
+    part = stored(enriched.groupBy(*keys, "spread").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("size").cast("long").alias("_volume"),
+        *(F.count_if(loc == name).alias(f"_{name}") for name in ("within_spread", "below_bid", "above_ask")),
+        F.count(dev).alias("_nd"), F.sum(dev).alias("_d"), F.sum(dev * dev).alias("_dd"), F.min(dev).alias("_min"), F.max(dev).alias("_max"),
+        F.sum(F.abs(dev)).alias("_abs"), F.max(F.abs(dev)).alias("_maxabs"))
+        .observe(seen, F.count(F.lit(1)).alias("rows")), "consistency")
+    spread, n = F.col("spread"), F.when(F.col("spread").isNotNull(), F.col("_n"))
+    totals = [
+        F.sum("_n").alias("total_trades"), F.sum("_volume").alias("total_volume"),
+        *(F.sum(f"_{name}").alias(f"{name}_count") for name in ("within_spread", "below_bid", "above_ask")),
+        F.try_divide(F.sum(spread * n), F.sum(n)).alias("mean_spread"),
+        _std(F.sum(n), F.sum(spread * n), F.sum(spread * spread * n)).alias("std_spread"),
+        F.min("spread").alias("min_spread"), F.max("spread").alias("max_spread"),
+        F.try_divide(F.sum("_d"), F.sum("_nd")).alias("mean_price_deviation_pct"),
+        _std(F.sum("_nd"), F.sum("_d"), F.sum("_dd")).alias("std_price_deviation_pct"),
+        F.min("_min").alias("min_price_deviation_pct"), F.max("_max").alias("max_price_deviation_pct"),
+        F.try_divide(F.sum("_abs"), F.sum("_nd")).alias("mean_abs_deviation_pct"), F.max("_maxabs").alias("max_abs_deviation_pct")]
+    counts = part.withColumns({"_c": F.lit(0), "_x": spread.cast("double")})
+    agg = quantiles_of_counts(counts, int(seen.get["rows"]), 1, (0.5,), keys, also=totals)
+    return agg.withColumn("median_spread", F.element_at("_q0", 1)).drop("_q0").withColumns({
         "pct_within_spread": F.try_divide(F.col("within_spread_count") * 100.0, F.col("total_trades")),
         "pct_below_bid": F.try_divide(F.col("below_bid_count") * 100.0, F.col("total_trades")),
         "pct_above_ask": F.try_divide(F.col("above_ask_count") * 100.0, F.col("total_trades")),
@@ -63,6 +76,11 @@ def symbol_consistency(enriched: DataFrame, keys: Sequence[str] = ("symbol",)) -
     })
 
 
+def _std(n: Column, total: Column, squares: Column) -> Column:
+    """Sample deviation from sums; NULL for one row, as ``stddev_samp``."""
+    return F.when(n > 1, F.sqrt(F.greatest(squares - total * total / n, F.lit(0.0)) / (n - 1)))
+
+
 def location_mix(enriched: DataFrame) -> DataFrame:
     """Count and share of each price location (share via a total window)."""
     return (enriched.groupBy("price_location").agg(F.count(F.lit(1)).alias("count"))
@@ -70,10 +88,13 @@ def location_mix(enriched: DataFrame) -> DataFrame:
 
 
 def quantiles(df: DataFrame, c: str, probs: Sequence[float] = (0.5, 0.95, 0.99), keys: Sequence[str] = ()) -> DataFrame:
-    """Mean, count and exact linear-interpolated quantiles."""
+    """Mean, count and exact linear-interpolated quantiles; groups without values have no row."""
     names = [f"p{int(round(p * 100))}" if p != 0.5 else "median" for p in probs]
-    base = df.groupBy(*keys).agg(F.avg(c).alias("mean"), F.count(c).alias("n"))
-    out = with_quantiles(base, df, {c: "_qs"}, [*probs, probs[0]] if len(probs) == 1 else probs, keys)
+    counts, distinct = counts_of(df, [c], keys)
+    total = F.sum("_n")
+    out = quantiles_of_counts(counts, distinct, 1, probs, keys, also=[
+        F.try_divide(F.sum(F.col("_x") * F.col("_n")), total).alias("mean"), F.coalesce(total, F.lit(0)).alias("n")])
+    out = out.withColumnRenamed("_q0", "_qs")
     return out.select(*keys, "mean", "n", *[F.col("_qs")[i].alias(n) for i, n in enumerate(names)])
 
 

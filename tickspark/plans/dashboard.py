@@ -14,7 +14,7 @@ from tickspark.operators.topk import top_k_per_group
 from tickspark.plans.registry import oracle, query
 from tickspark.sources.fixtures import fx_trades, fxd_nbbo, fxd_trades
 
-PANEL_POINTS = 250  # point budget for the panel queries (a small chart)
+SMALL_CHART = 250  # an explicit point budget, as a caller with a small chart gives it
 
 
 # ----------------------------------------------------------------------------- oracle helpers
@@ -28,6 +28,13 @@ def _widths_sql(src: str, mp: str) -> str:
                           {mp} as mp from {src} group by symbol) s0) s1"""
 
 
+def _budget_sql(data_type: str) -> str:
+    """The adaptive budget over a group's own span, as SQL on min and max of the time."""
+    secs = "((epoch_us(max(ts_event)) - epoch_us(min(ts_event))) / 1e6)"
+    steps = " ".join(f"when {secs} < {limit} then {points}" for limit, points in ds.BUDGET_STEPS)
+    return f"(case {steps} else {ds.BUDGET_DEFAULT} end * {ds.TRADES_MULTIPLIER if data_type == 'trades' else 1})"
+
+
 def _ds_sql(src: str, seq: str, last_cols: list[str], first_cols: list[str], mp: str, p: str = "") -> dict:
     aggs = [f"last({c} order by ts_event, {seq}) as {c}" for c in last_cols]
     aggs += [f"first({c} order by ts_event, {seq}) as {c}" for c in first_cols]
@@ -82,8 +89,14 @@ _BARS_NBBO = dict(_TW, **{
     "bars": """select symbol, trade_date, date_trunc('minute', ts_event) as time_bucket, count(*) as num_trades
                from fxd_trades group by all""",
     "qv2": """select symbol, trade_date, ts_event, best_bid, best_ask from fxd_nbbo where best_ask - best_bid >= 0""",
+    "edges": """select symbol, trade_date, min(m) as lo, max(m) as hi
+                from (select symbol, trade_date, date_trunc('minute', ts_event) as m from fxd_trades
+                      union all select symbol, trade_date, date_trunc('minute', ts_event) from fxd_nbbo) e group by all""",
+    "grid": """select g.symbol, g.trade_date, g.time_bucket, coalesce(b.num_trades, 0) as num_trades
+               from (select symbol, trade_date, unnest(generate_series(lo, hi, interval 1 minute)) as time_bucket from edges) g
+               left join bars b on g.symbol = b.symbol and g.trade_date = b.trade_date and g.time_bucket = b.time_bucket""",
     "cl": """select b.*, q.best_bid as close_bid, q.best_ask as close_ask
-             from (select *, time_bucket + interval 1 minute as _close from bars) b
+             from (select *, time_bucket + interval 1 minute as _close from grid) b
              asof left join qv2 q on b.symbol = q.symbol and b.trade_date = q.trade_date and b._close >= q.ts_event""",
     "cu": """select symbol, date_trunc('minute', ts_event) as time_bucket, count(*) as quote_updates
              from fxd_nbbo group by all""",
@@ -102,9 +115,11 @@ def q_bars_1m_nbbo(spark, d):
     t, q = fxd_trades(spark, d), fxd_nbbo(spark, d)
     grid = (t.groupBy("symbol", "trade_date", time_bucket("ts_event", "1m").alias("time_bucket"))
             .agg(F.count(F.lit(1)).alias("num_trades")))
-    # one pass over the quotes for close NBBO, update count and time-weighted spread
-    f = bars.minute_nbbo_features(q, grid, "1m")
-    return f.select("symbol", "trade_date", "time_bucket", "num_trades", "close_bid", "close_ask", "close_mid",
+    # one pass over the quotes for close NBBO, update count and time-weighted spread, on every
+    # minute between a symbol-day's first and last tick
+    f = bars.minute_nbbo_features(q, grid, "1m", fill=True)
+    return f.select("symbol", "trade_date", "time_bucket",
+                    F.coalesce("num_trades", F.lit(0).cast("long")).alias("num_trades"), "close_bid", "close_ask", "close_mid",
                     "close_spread", "quote_updates", "tw_spread")
 
 
@@ -133,10 +148,19 @@ def _nbbo_panel(spark, d) -> DataFrame:
 
 @query("downsample_nbbo", oracle(f"select symbol, ts_event, {', '.join(NBBO_LAST + NBBO_FIRST)} from dsq",
                                  ["best_bid", "best_ask"],
-                                 ctes=_ds_sql("fxd_nbbo", "qu_seqnum", NBBO_LAST, NBBO_FIRST, str(PANEL_POINTS))),
-       ids="A3")
+                                 ctes=_ds_sql("fxd_nbbo", "qu_seqnum", NBBO_LAST, NBBO_FIRST, _budget_sql("nbbo"))),
+       ids="A3, A4")
 def q_downsample_nbbo(spark, d):
-    return ds.downsample(_nbbo_panel(spark, d), "ts_event", ["symbol"], "qu_seqnum", max_points=PANEL_POINTS)
+    return ds.downsample(_nbbo_panel(spark, d), "ts_event", ["symbol"], "qu_seqnum")
+
+
+@query("downsample_nbbo_small", oracle(f"select symbol, ts_event, {', '.join(NBBO_LAST + NBBO_FIRST)} from dsq",
+                                       ["best_bid", "best_ask"],
+                                       ctes=_ds_sql("fxd_nbbo", "qu_seqnum", NBBO_LAST, NBBO_FIRST, str(SMALL_CHART))),
+       ids="A3")
+def q_downsample_nbbo_small(spark, d):
+    """The same panel for a caller who asks for at most SMALL_CHART points a symbol."""
+    return ds.downsample(_nbbo_panel(spark, d), "ts_event", ["symbol"], "qu_seqnum", max_points=SMALL_CHART)
 
 
 _ADAPT = """case when secs < 30 then 5000 when secs < 120 then 10000 when secs < 600 then 15000
@@ -159,22 +183,31 @@ def q_adaptive_points(spark, d):
     return u.withColumn("max_points", ds.adaptive_max_points("total_seconds", "data_type"))
 
 
-@query("downsample_envelope", oracle(f"""
+_ENVELOPE_SQL = """
 select symbol, count(*) as n, min(best_bid) as min_best_bid, max(best_bid) as max_best_bid,
        min(best_ask) as min_best_ask, max(best_ask) as max_best_ask,
        make_timestamp(epoch_us(ts_event) - epoch_us(ts_event) % (case when w = 0 then 1 else w end)) as time_bucket
-from fxd_nbbo join wd using (symbol) group by symbol, time_bucket""",
-                                     ["min_best_bid", "max_best_bid", "min_best_ask", "max_best_ask"],
-                                     ctes={"wd": _widths_sql("fxd_nbbo", str(PANEL_POINTS))}), ids="A45")
+from fxd_nbbo join wd using (symbol) group by symbol, time_bucket"""
+_ENVELOPE_DBL = ["min_best_bid", "max_best_bid", "min_best_ask", "max_best_ask"]
+
+
+@query("downsample_envelope", oracle(_ENVELOPE_SQL, _ENVELOPE_DBL, ctes={"wd": _widths_sql("fxd_nbbo", _budget_sql("nbbo"))}),
+       ids="A45, A4")
 def q_downsample_envelope(spark, d):
-    return ds.envelope(fxd_nbbo(spark, d), ["best_bid", "best_ask"], max_points=PANEL_POINTS)
+    return ds.envelope(fxd_nbbo(spark, d), ["best_bid", "best_ask"])
+
+
+@query("downsample_envelope_small", oracle(_ENVELOPE_SQL, _ENVELOPE_DBL, ctes={"wd": _widths_sql("fxd_nbbo", str(SMALL_CHART))}),
+       ids="A45")
+def q_downsample_envelope_small(spark, d):
+    return ds.envelope(fxd_nbbo(spark, d), ["best_bid", "best_ask"], max_points=SMALL_CHART)
 
 
 _SPREAD_DS = {
     "sb": """select symbol, ts_event, qu_seqnum,
                     (best_ask - best_bid) / nullif((best_bid + best_ask) / 2, 0) * 10000 as spread_bps from fxd_nbbo""",
 }
-_SPREAD_DS.update(_ds_sql("sb", "qu_seqnum", ["qu_seqnum", "spread_bps"], [], str(PANEL_POINTS)))
+_SPREAD_DS.update(_ds_sql("sb", "qu_seqnum", ["qu_seqnum", "spread_bps"], [], _budget_sql("nbbo")))
 
 
 @query("spread_timeline", oracle("""
@@ -185,7 +218,7 @@ select symbol, 'churn', date_trunc('minute', ts_event), cast(count(*) as double)
 def q_spread_timeline(spark, d):
     q = fxd_nbbo(spark, d)
     sb = q.select("symbol", "ts_event", "qu_seqnum", spread_bps().alias("spread_bps"))
-    dsq = ds.downsample(sb, "ts_event", ["symbol"], "qu_seqnum", max_points=PANEL_POINTS)
+    dsq = ds.downsample(sb, "ts_event", ["symbol"], "qu_seqnum")
     ch = bars.churn(q, "1m")
     return (dsq.select("symbol", F.lit("spread_bps").alias("series"), F.col("ts_event").alias("ts"),
                        F.col("spread_bps").alias("value"))
@@ -200,8 +233,8 @@ def q_spread_bps(spark, d):
     return fxd_nbbo(spark, d).select("qu_seqnum", "symbol", "ts_event", spread_bps().alias("spread_bps"))
 
 
-_PANEL = _ds_sql("fxd_trades", "tr_seqnum", ["tr_seqnum", "price", "size"], [], str(2 * PANEL_POINTS), p="t_")
-_PANEL.update(_ds_sql("fxd_nbbo", "qu_seqnum", ["qu_seqnum", "best_bid", "best_ask"], [], str(PANEL_POINTS)))
+_PANEL = _ds_sql("fxd_trades", "tr_seqnum", ["tr_seqnum", "price", "size"], [], _budget_sql("trades"), p="t_")
+_PANEL.update(_ds_sql("fxd_nbbo", "qu_seqnum", ["qu_seqnum", "best_bid", "best_ask"], [], _budget_sql("nbbo")))
 
 
 @query("price_panel_series", oracle("""
@@ -214,19 +247,18 @@ union all select symbol, 'vwap', date_trunc('minute', ts_event), sum(price * siz
 def q_price_panel_series(spark, d):
     t, q = fxd_trades(spark, d), fxd_nbbo(spark, d)
     td = ds.downsample(t.select("symbol", "ts_event", "tr_seqnum", "price", "size").where(min_size("size", 0)),
-                       "ts_event", ["symbol"], "tr_seqnum", max_points=2 * PANEL_POINTS, data_type="trades")
+                       "ts_event", ["symbol"], "tr_seqnum", data_type="trades")
     qd = ds.downsample(q.select("symbol", "ts_event", "qu_seqnum", "best_bid", "best_ask"),
-                       "ts_event", ["symbol"], "qu_seqnum", max_points=PANEL_POINTS)
+                       "ts_event", ["symbol"], "qu_seqnum")
     vw = bars.vwap(t, "1m")
     none = F.lit(None).cast("long")
+    # bid, ask and mid come from one downsampling: each kept quote becomes three points
+    layers = F.explode(F.array(*(F.struct(F.lit(n).alias("layer"), c.alias("value"))
+                                 for n, c in (("bid", F.col("best_bid")), ("ask", F.col("best_ask")), ("mid", mid())))))
     return (td.select("symbol", F.lit("trades").alias("layer"), F.col("ts_event").alias("ts"),
                       F.col("price").alias("value"), F.col("size").cast("long").alias("size"))
-            .unionByName(qd.select("symbol", F.lit("bid").alias("layer"), F.col("ts_event").alias("ts"),
-                                   F.col("best_bid").alias("value"), none.alias("size")))
-            .unionByName(qd.select("symbol", F.lit("ask").alias("layer"), F.col("ts_event").alias("ts"),
-                                   F.col("best_ask").alias("value"), none.alias("size")))
-            .unionByName(qd.select("symbol", F.lit("mid").alias("layer"), F.col("ts_event").alias("ts"),
-                                   mid().alias("value"), none.alias("size")))
+            .unionByName(qd.select("symbol", F.col("ts_event").alias("ts"), layers.alias("_l"))
+                         .select("symbol", "_l.layer", "ts", "_l.value", none.alias("size")))
             .unionByName(vw.select("symbol", F.lit("vwap").alias("layer"), F.col("time_bucket").alias("ts"),
                                    F.col("vwap").alias("value"), F.col("total_volume").alias("size"))))
 

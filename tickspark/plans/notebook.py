@@ -8,13 +8,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickspark.functions.columns import mid, quality_tier, spread
+from tickspark.functions.columns import epoch_micros, mid, quality_tier, spread
 from tickspark.functions.filters import crossed, nonneg_spread, regular_trade
 from tickspark.operators import bars, stats
 from tickspark.operators.asof import asof_join
 from tickspark.operators.quantiles import with_quantiles
 from tickspark.operators.topk import top_k
 from tickspark.plans.registry import oracle, query
+from tickspark.session import stored
 from tickspark.sources.fixtures import fxd_nbbo, fxd_trades, view
 
 BY = ["symbol", "trade_date"]
@@ -38,34 +39,43 @@ def valid_nbbo(spark, d) -> DataFrame:
 
 @view
 def asof_trades(spark, d, bucket="1m") -> DataFrame:
-    """Each trade with the NBBO in force at its time (same symbol and date)."""
-    t = trades(spark, d).select("tr_seqnum", "symbol", "trade_date", "ts_event", "price", "size")
-    q = valid_nbbo(spark, d).select(*BY, "ts_event", "qu_seqnum", *QUOTE_COLS)
-    return asof_join(t, q, by=BY, left_ts="ts_event", right_cols=QUOTE_COLS,
-                     left_seq="tr_seqnum", right_seq="qu_seqnum", bucket=bucket)
+    """Each trade with the NBBO in force at its nanosecond (same symbol and date)."""
+    return _asof(spark, d, bucket, False)
+
+
+def _asof(spark, d, bucket, right_required) -> DataFrame:
+    t = trades(spark, d).select("tr_seqnum", "symbol", "trade_date", "ts_event", "price", "size", event_ns("tr_seqnum"))
+    q = valid_nbbo(spark, d).select(*BY, "qu_seqnum", *QUOTE_COLS, event_ns("qu_seqnum"))
+    return asof_join(t, q, by=BY, left_ts="ts_event_ns", right_cols=QUOTE_COLS, left_seq="tr_seqnum", right_seq="qu_seqnum",
+                     bucket=bucket, ts_unit_per_us=1000, right_required=right_required).drop("ts_event_ns")
+
+
+def event_ns(seq: str):
+    """Epoch nanoseconds of a fixture tick: its microsecond plus its sequence's residue."""
+    return (epoch_micros("ts_event") * 1000 + F.pmod(F.col(seq), F.lit(1000))).alias("ts_event_ns")
 
 
 @view
 def enriched(spark, d, bucket="1m") -> DataFrame:
     """J4 + J2 + P11 + P12: as-of trades of symbol-days present in the valid NBBO, with deviations.
-    The "present on both sides" rule is evaluated inside the as-of plan (``right_required``)."""
-    t = trades(spark, d).select("tr_seqnum", "symbol", "trade_date", "ts_event", "price", "size")
-    q = valid_nbbo(spark, d).select(*BY, "ts_event", "qu_seqnum", *QUOTE_COLS)
-    j = asof_join(t, q, by=BY, left_ts="ts_event", right_cols=QUOTE_COLS, left_seq="tr_seqnum",
-                  right_seq="qu_seqnum", bucket=bucket, right_required=True)
-    return stats.with_deviation(j)
+
+    The analysis of one date keeps symbols that have both trades and valid quotes on it;
+    over many dates that is a rule on symbol-days. It is evaluated inside the as-of plan
+    (``right_required``). ``enriched_trades`` (J3) keeps every trade."""
+    return stats.with_deviation(_asof(spark, d, bucket, True))
 
 
 # ----------------------------------------------------------------------------- oracle pieces
 
 ENR = {
     "qv": """select symbol, trade_date, ts_event, qu_seqnum, best_bid, best_ask, best_ask - best_bid as spread,
-                    best_bidsizeshares, best_asksizeshares, (best_bid + best_ask) / 2 as mid_price
+                    epoch_us(ts_event) * 1000 + qu_seqnum % 1000 as ns, best_bidsizeshares, best_asksizeshares, (best_bid + best_ask) / 2 as mid_price
              from fxd_nbbo where best_ask - best_bid >= 0""",
     "aj": """select t.tr_seqnum, t.symbol, t.trade_date, t.ts_event, t.price, t.size,
                     q.best_bid, q.best_ask, q.spread, q.best_bidsizeshares, q.best_asksizeshares
              from fxd_trades t asof left join qv q
-               on t.symbol = q.symbol and t.trade_date = q.trade_date and t.ts_event >= q.ts_event""",
+               on t.symbol = q.symbol and t.trade_date = q.trade_date
+              and epoch_us(t.ts_event) * 1000 + t.tr_seqnum % 1000 >= q.ns""",
     "enr": """select *, (price - best_bid) / nullif(best_bid, 0) * 100 as price_vs_bid_pct,
                     (price - best_ask) / nullif(best_ask, 0) * 100 as price_vs_ask_pct,
                     (price - (best_bid + best_ask) / 2) / nullif((best_bid + best_ask) / 2, 0) * 100 as price_vs_mid_pct,
@@ -443,7 +453,7 @@ def q_price_location_mix(spark, d):
 @query("deviation_stats", oracle(_five_sql("price_vs_mid_pct", "pct", "enr"),
                                  ["min_pct", "max_pct", "mean_pct", "median_pct", "std_pct"], ctes=ENR), ids="A25")
 def q_deviation_stats(spark, d):
-    return stats.describe(enriched(spark, d), "price_vs_mid_pct").toDF(
+    return stats.describe(enriched(spark, d), "price_vs_mid_pct", once=True).toDF(
         "min_pct", "max_pct", "mean_pct", "median_pct", "std_pct")
 
 
@@ -462,7 +472,7 @@ def q_symbol_deep_dive(spark, d, symbol: str = "TSLA"):
     e = enriched(spark, d)
     pick = e.agg(F.coalesce(F.max(F.when(F.col("symbol") == symbol, F.col("symbol"))), F.min("symbol"))).scalar()
     loc = F.col("price_location")
-    one = e.where(F.col("symbol") == pick)
+    one = stored(e.where(F.col("symbol") == pick).select("symbol", "price_location", "price_vs_mid_pct", "spread"), "deep-dive")
     rest = one.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("n_trades"),
         F.count_if(loc == "within_spread").alias("within_spread"),

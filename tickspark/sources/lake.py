@@ -1,39 +1,75 @@
 """The canonical tick lake: Hive-partitioned Parquet ``{root}/{dataset}/trade_date=…/symbol=…``.
 
-Write side (K1–K7): one distributed write per call; ``rebalance`` on the partition
+Write side (K1–K8): one distributed write per call; ``rebalance`` on the partition
 keys lets AQE split a hot (date, symbol) into several files instead of one
 straggler task; rows are sorted by time inside files so row-group min/max stats
 prune time-range filters; Spark's commit protocol makes the publish atomic.
+
+A dataset that streams write to has one level more, ``load=…``: every load (a
+micro-batch, or a batch append) owns its folders and replaces only those, so writing
+a load again adds nothing, and batch and streamed rows stand side by side.
+
 Read side (S1–S5): partition pruning on ``trade_date``/``symbol``; an
 unreadable file fails the job unless the caller asks to skip such files.
 """
 
 from __future__ import annotations
 
+import uuid
 from typing import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tickspark.functions.columns import EXCHANGE_TZ, local_time, mid, spread
+from tickspark.functions.columns import EXCHANGE_TZ, clean_symbol_key, local_time, mid, spread
+from tickspark.session import scratch_path
+from tickspark.sources.listing import drop_folders, open_uri, partition_folders
 
 PARTS_BY_SYMBOL = ["trade_date", "symbol"]
 PARTS_BY_DATE = ["trade_date"]
+LOAD = "load"
+#: Hidden from readers; its presence says that the dataset has the load level.
+_BY_LOAD = "_by_load"
 
 
 def write_partitioned(df: DataFrame, root: str, dataset: str, partition_by_symbol: bool = True,
                       compression: str = "zstd", mode: str = "overwrite",
-                      sort_cols: Sequence[str] = ("ts_event",)) -> int:
+                      sort_cols: Sequence[str] = ("ts_event",), load: str | None = None) -> int:
     """K1/K2/K5/K6/K7: write ``df`` under ``root/dataset``; returns the number of rows written.
 
     ``mode="overwrite"`` replaces only the partitions present in ``df`` (dynamic
-    overwrite); ``mode="append"`` adds files (K2).
+    overwrite); ``mode="append"`` adds files (K2). ``load`` names the load: on a new
+    dataset it asks for the load level, and an append of the same name replaces what
+    that load wrote before. A dataset with that level gives unnamed loads a name.
     """
     parts = PARTS_BY_SYMBOL if partition_by_symbol else PARTS_BY_DATE
-    target = f"{root}/{dataset}"
-    if mode == "overwrite" and not path_exists(df.sparkSession, target):
+    spark, target = df.sparkSession, f"{root}/{dataset}"
+    there = path_exists(spark, target)
+    by_load = path_exists(spark, f"{target}/{_BY_LOAD}")
+    if load is not None and there and not by_load:
+        raise ValueError(f"{target} was written without loads; a named load needs a dataset of its own")
+    if mode == "overwrite" and by_load:
+        return _replace_loads(df, root, dataset, parts, compression, sort_cols, load)
+    if load is not None or by_load:
+        if not by_load:
+            _mark_by_load(target)
+        return _write(_with_load(df, load), target, [*parts, LOAD], compression, "overwrite", sort_cols)
+    if mode == "overwrite" and not there:
         # nothing to replace: skip dynamic overwrite's staging and per-partition moves
         mode = "errorifexists"
+    return _write(df, target, parts, compression, mode, sort_cols)
+
+
+def _with_load(df: DataFrame, load: str | None) -> DataFrame:
+    return df.withColumn(LOAD, F.lit(load or f"batch-{uuid.uuid4().hex}"))
+
+
+def _mark_by_load(target: str) -> None:
+    fs, path = open_uri(target)
+    fs.create_dir(f"{path}/{_BY_LOAD}")
+
+
+def _write(df: DataFrame, target: str, parts: Sequence[str], compression: str, mode: str, sort_cols: Sequence[str]) -> int:
     obs = Observation("lake_write")
     sort = [c for c in sort_cols if c in df.columns]
     out = (df.hint("rebalance", *parts)
@@ -47,6 +83,15 @@ def write_partitioned(df: DataFrame, root: str, dataset: str, partition_by_symbo
     return int(obs.get["rows"])
 
 
+def _replace_loads(df: DataFrame, root: str, dataset: str, parts, compression, sort_cols, load: str | None) -> int:
+    """The partitions present in ``df`` keep its rows only: a new load, then the older ones go."""
+    named = load or f"batch-{uuid.uuid4().hex}"
+    n = _write(_with_load(df, named), f"{root}/{dataset}", [*parts, LOAD], compression, "overwrite", sort_cols)
+    folders = partition_folders(df.sparkSession, root, dataset)
+    _drop_other_loads(folders, named)
+    return n
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """One metadata call through the Hadoop file system of ``path``."""
     jvm = spark.sparkContext._jvm
@@ -54,46 +99,44 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
-def _partition_path(spark: SparkSession, root: str, dataset: str, trade_date, symbol=None) -> str:
-    """The directory of a partition, with the escapes that the writer gives its value."""
-    p = f"{root}/{dataset}/trade_date={trade_date}"
-    if symbol is None:
-        return p
-    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    return f"{p}/symbol={escape(symbol)}"
+def _drop_other_loads(folders: DataFrame, load: str) -> None:
+    """Of the folders that hold ``load``, drops every other load's folder."""
+    from tickspark.sources.listing import load_folders
+    loads = load_folders(folders)
+    mine = loads.where(F.col(LOAD) == load).select(F.col("parent").alias("kept"))
+    drop_folders(loads.where(F.col(LOAD) != load).join(mine, F.col("parent") == F.col("kept"), "left_semi"))
+
+
+def _clean(keys: DataFrame) -> DataFrame:
+    return keys.withColumn("symbol", clean_symbol_key("symbol")) if "symbol" in keys.columns else keys
 
 
 def delete_partitions(spark: SparkSession, root: str, dataset: str, keys: DataFrame) -> int:
-    """K6: drop (trade_date[, symbol]) partitions that an overwrite must clear but that
-    receive no new rows (dynamic overwrite keeps those). ``keys`` is the requested
-    work list — bounded by the request, not by the data — so it is fetched to the
-    driver and removed through the Hadoop file system API."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    n = 0
-    has_symbol = "symbol" in keys.columns
-    for r in keys.distinct().toLocalIterator():
-        path = jvm.org.apache.hadoop.fs.Path(
-            _partition_path(spark, root, dataset, r["trade_date"], r["symbol"] if has_symbol else None))
-        fs = path.getFileSystem(conf)
-        if fs.exists(path):
-            fs.delete(path, True)
-            n += 1
-    return n
+    """K6: drop the (trade_date[, symbol]) partitions in ``keys``, whatever their folders are
+    called (K8). The request is joined to the listed folders and dropped by tasks: neither
+    is collected. Returns the number of folders dropped."""
+    by = [c for c in PARTS_BY_SYMBOL if c in keys.columns]
+    asked = _clean(keys.select(*by)).distinct()
+    return drop_folders(partition_folders(spark, root, dataset).join(asked, by, "left_semi"))
 
 
 def overwrite_partitions(spark: SparkSession, df: DataFrame, requested: DataFrame, root: str,
                          dataset: str, **kw) -> int:
     """K6: replace exactly the requested (trade_date, symbol) partitions with ``df``'s rows.
 
-    The new rows are written first, with dynamic partition overwrite; then requested
-    keys without new rows are removed, so a failed write loses nothing. Untouched
-    partitions stay as they are."""
-    full = requested.sparkSession.createDataFrame(
-        requested.join(df.select("trade_date", "symbol").distinct(), ["trade_date", "symbol"], "left_anti").collect(),
-        requested.select("trade_date", "symbol").schema)
-    n = write_partitioned(df, root, dataset, mode="overwrite", **kw)
-    delete_partitions(spark, root, dataset, full)
+    ``df`` is evaluated once, into the shared scratch folder. Its rows are then written
+    with dynamic partition overwrite, and requested partitions without new rows, as
+    well as legacy-named folders of requested ones, are dropped by tasks; a failed write
+    loses nothing and the whole call can be repeated. Untouched partitions stay."""
+    staged_at = scratch_path(spark, "lake-staged")
+    _clean(df).write.option("compression", "zstd").parquet(staged_at)
+    staged = spark.read.schema(df.schema).parquet(staged_at)
+    n = write_partitioned(staged, root, dataset, mode="overwrite", **kw)
+    fresh = staged.select(*PARTS_BY_SYMBOL).distinct()
+    asked = _clean(requested.select(*PARTS_BY_SYMBOL)).distinct()
+    folders = partition_folders(spark, root, dataset).join(asked, PARTS_BY_SYMBOL, "left_semi")
+    legacy = F.col("folder").rlike(r"/symbol=\(")
+    drop_folders(folders.join(fresh, PARTS_BY_SYMBOL, "left_anti").unionByName(folders.where(legacy)))
     return n
 
 
@@ -102,7 +145,8 @@ def read_lake(spark: SparkSession, root: str, dataset: str, schema=None, skip_co
     r = spark.read.option("ignoreCorruptFiles", str(skip_corrupt).lower()).option("basePath", f"{root}/{dataset}")
     if schema is not None:
         r = r.schema(schema)
-    return r.parquet(f"{root}/{dataset}")
+    out = r.parquet(f"{root}/{dataset}")
+    return out.drop(LOAD) if path_exists(spark, f"{root}/{dataset}/{_BY_LOAD}") else out
 
 
 def _prune(df: DataFrame, trade_date=None, symbols=None, utc_range=None) -> DataFrame:
