@@ -8,12 +8,16 @@ and last trade date.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickspark.operators import catalog as cat
 from tickspark.plans.registry import oracle, query
-from tickspark.sources.fixtures import fx_catalog, fx_members, fx_names, fx_nbbo, fx_trades, table
+from tickspark.session import scratch_path, stored
+from tickspark.sources import lake
+from tickspark.sources.fixtures import fx_catalog, fx_members, fx_names, fx_nbbo, fx_trades, fxd_nbbo, fxd_trades, table
 
 SOURCES = ["taq", "alpaca", "csv"]
 
@@ -92,11 +96,7 @@ from (select unnest(generate_series(cast((select min(trade_date) from fx_trades)
 def q_dates_with_data(spark, d):
     b = fx_trades(spark, d).agg(F.min("trade_date").alias("lo"), F.max("trade_date").alias("hi"))
     req = b.select(F.explode(F.sequence(F.date_sub("lo", 2), F.date_add("hi", 2))).alias("trade_date"))
-    has = (fx_catalog(spark, d).where(F.col("data_type").isin("trades", "nbbo") & (F.col("n_rows") > 0))
-           .select("trade_date").distinct())
-    kept = req.join(has, "trade_date", "left_semi").withColumn("status", F.lit("kept"))
-    removed = req.join(has, "trade_date", "left_anti").withColumn("status", F.lit("removed"))
-    return kept.unionByName(removed)
+    return cat.dates_with_data(req, fx_catalog(spark, d))
 
 
 @query("available_dates", oracle("""
@@ -148,20 +148,8 @@ select 'available_date', source, trade_date from (
 union all
 select 'alternative_source', source, trade_date from cl where source <> 'csv' and rn = 1"""), ids="C10")
 def q_suggest_alternatives(spark, d, target_source: str = "csv", data_type: str = "nbbo"):
-    c = fx_catalog(spark, d)
     target = fx_trades(spark, d).agg(F.max("trade_date")).scalar()
-    av = (cat.present(c).where(F.col("data_type") == data_type).select("source", "trade_date").distinct())
-    dist = F.abs(F.datediff("trade_date", target))
-    closest = (av.where(dist <= 30).groupBy("source")
-               .agg(F.min_by("trade_date", F.struct(dist, -F.unix_date("trade_date"))).alias("suggested_date")))
-    recent = (av.where(F.col("source") == target_source).orderBy(F.desc("trade_date")).limit(10)
-              .select(F.lit("available_date").alias("kind"), "source", F.col("trade_date").alias("suggested_date")))
-    # same date when the other source has it: that is its closest date at distance 0
-    return (closest.where(F.col("source") == target_source).select(F.lit("closest_date").alias("kind"), "source",
-                                                                   "suggested_date")
-            .unionByName(recent)
-            .unionByName(closest.where(F.col("source") != target_source)
-                         .select(F.lit("alternative_source").alias("kind"), "source", "suggested_date")))
+    return cat.suggest_alternatives(fx_catalog(spark, d), target_source, data_type, target)
 
 
 # ----------------------------------------------------------------------------- ingestion / planning
@@ -202,16 +190,59 @@ union all select 'rest_resume', * from miss
 union all select 'rest_normal', trade_date, symbol, data_type from grid
 union all select 'overwrite', trade_date, symbol, data_type from grid""", ctes=REQ), ids="C5")
 def q_work_plan(spark, d):
-    g = grid(spark, d)
-    miss = cat.missing(g, fx_catalog(spark, d), "taq").select("trade_date", "symbol", "data_type")
-    allw = g.select("trade_date", "symbol", "data_type")
-    # warehouse: normal and resume both skip what is present; REST/CSV normal extracts all
-    plan = None
-    for mode, src in [("warehouse_normal", miss), ("warehouse_resume", miss), ("rest_resume", miss),
-                      ("rest_normal", allw), ("overwrite", allw)]:
-        part = src.select(F.lit(mode).alias("mode"), "trade_date", "symbol", "data_type")
-        plan = part if plan is None else plan.unionByName(part)
-    return plan
+    return _plans(grid(spark, d), fx_catalog(spark, d))
+
+
+def _plans(requested: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Every mode's plan of one request, told apart by ``mode``."""
+    kinds = [("warehouse_normal", "normal", "warehouse"), ("warehouse_resume", "resume", "warehouse"), ("rest_resume", "resume", "rest"),
+             ("rest_normal", "normal", "rest"), ("overwrite", "overwrite", "warehouse")]
+    plans = [cat.plan_work(requested, catalog, "taq", mode, feed).select(F.lit(name).alias("mode"), "trade_date", "symbol", "data_type")
+             for name, mode, feed in kinds]
+    return reduce(DataFrame.unionByName, plans)
+
+
+_LAKE = {
+    "lc": """select 'taq' as source, 'trades' as data_type, trade_date, symbol, count(*) as n_rows from fxd_trades group by all
+             union all select 'taq', 'nbbo', trade_date, symbol, count(*) from fxd_nbbo group by all""",
+    "lreq": REQ["req"],
+    "lgrid": """select r.symbol, d.trade_date, t.data_type from lreq r, (select distinct trade_date from fxd_trades) d,
+                (values ('trades'), ('quotes'), ('nbbo')) t(data_type)""",
+}
+
+
+def _lake(spark, d) -> str:
+    """The dense sessions as a lake: trades by (date, symbol), NBBO by date alone."""
+    root = scratch_path(spark, "catalog-lake")
+    lake.write_partitioned(fxd_trades(spark, d).select("tr_seqnum", "trade_date", "symbol", "ts_event", "price", "size"), root, "trades")
+    lake.write_partitioned(fxd_nbbo(spark, d).select("qu_seqnum", "trade_date", "symbol", "ts_event", "best_bid", "best_ask"), root, "nbbo",
+                           partition_by_symbol=False, sort_cols=("symbol", "ts_event"))
+    return root
+
+
+@query("lake_catalog", oracle("select * from lc", ctes=_LAKE), ids="C1, C2, S17")
+def q_lake_catalog(spark, d):
+    """The catalog of a written lake, from its folders and footers."""
+    return cat.catalog_from_lake(spark, _lake(spark, d), "taq")
+
+
+@query("lake_work_plan", oracle("""
+with miss as (select trade_date, symbol, data_type from lgrid g
+              where not exists (select 1 from lc where g.trade_date = lc.trade_date and g.symbol = lc.symbol
+                                and g.data_type = lc.data_type))
+select 'warehouse_normal' as mode, * from miss
+union all select 'warehouse_resume', * from miss
+union all select 'rest_resume', * from miss
+union all select 'rest_normal', trade_date, symbol, data_type from lgrid
+union all select 'overwrite', trade_date, symbol, data_type from lgrid""", ctes=_LAKE), ids="C5, C1")
+def q_lake_work_plan(spark, d):
+    """Work plans of a request against a written lake, all modes."""
+    days = fxd_trades(spark, d).select("trade_date").distinct()
+    types = F.explode(F.array(*map(F.lit, cat.DATA_TYPES))).alias("data_type")
+    lo, hi = days.agg(F.min("trade_date")).scalar(), days.agg(F.max("trade_date")).scalar()
+    asked = (requested_symbols(spark, d).select("symbol", F.explode(F.sequence(lo, hi)).alias("trade_date"))
+             .join(days, "trade_date", "left_semi").select("symbol", "trade_date", types))
+    return _plans(asked, stored(cat.catalog_from_lake(spark, _lake(spark, d), "taq"), "lake-catalog"))
 
 
 @query("ingest_summary", oracle("""
@@ -242,53 +273,56 @@ def q_available_symbols(spark, d):
     return cat.present(fx_catalog(spark, d)).distinct()
 
 
-_AVAIL = dict(REQ, sg="""select r.symbol, days.trade_date, s.source
-                         from req r, days, (values ('taq'), ('alpaca'), ('csv')) s(source)""",
-              anyp="""select distinct source, trade_date, symbol from fx_catalog
-                      where n_rows > 0 and data_type in ('trades', 'nbbo')""")
+_AVAIL = dict(REQ, sg="""select r.symbol, days.trade_date, s.source, t.data_type
+                         from req r, days, (values ('taq'), ('alpaca'), ('csv')) s(source), (values ('trades'), ('nbbo')) t(data_type)""",
+              anyp="""select distinct source, data_type, trade_date, symbol from fx_catalog where n_rows > 0""")
 
 
-def _source_grid(spark, d) -> DataFrame:
+def _availability(spark, d) -> DataFrame:
     lo, hi = _bounds(spark, d)
-    return (requested_symbols(spark, d)
-            .select("symbol", F.explode(F.sequence(lo, hi)).alias("trade_date"))
-            .where(cat.is_weekday())
-            .withColumn("source", F.explode(F.array(*[F.lit(s) for s in SOURCES]))))
-
-
-def _any_present(spark, d) -> DataFrame:
-    return (cat.present(fx_catalog(spark, d)).where(F.col("data_type").isin("trades", "nbbo"))
-            .select("source", "trade_date", "symbol").distinct())
+    return cat.availability(requested_symbols(spark, d), lo, hi, SOURCES, fx_catalog(spark, d))
 
 
 @query("availability_matrix", oracle("""
-select g.trade_date, g.symbol, g.source, p.symbol is not null as available
-from sg g left join anyp p on g.source = p.source and g.trade_date = p.trade_date and g.symbol = p.symbol""",
-                                     ctes=_AVAIL), ids="C11, J6, C6, C20")
+select g.trade_date, g.symbol, g.source, g.data_type, p.symbol is not null as available
+from sg g left join anyp p on g.source = p.source and g.trade_date = p.trade_date and g.symbol = p.symbol
+                          and g.data_type = p.data_type""", ctes=_AVAIL), ids="C11, J6, C6")
 def q_availability_matrix(spark, d):
-    p = _any_present(spark, d).withColumn("_hit", F.lit(True))
-    return (_source_grid(spark, d).join(p, ["source", "trade_date", "symbol"], "left")
-            .select("trade_date", "symbol", "source", F.coalesce("_hit", F.lit(False)).alias("available")))
+    return _availability(spark, d).select("trade_date", "symbol", "source", "data_type", "available")
+
+
+@query("data_available", oracle("""
+select g.source, g.trade_date, null::varchar as symbol, g.data_type,
+       exists (select 1 from anyp p where g.source = p.source and g.trade_date = p.trade_date and g.data_type = p.data_type) as available
+from (select distinct source, trade_date, data_type from sg) g""", ctes=_AVAIL), ids="C6")
+def q_data_available(spark, d):
+    """Is there any symbol of a type on a date?, per source."""
+    asked = (trading_days(spark, d).withColumn("source", F.explode(F.array(*map(F.lit, SOURCES))))
+             .withColumn("data_type", F.explode(F.array(F.lit("trades"), F.lit("nbbo")))))
+    return cat.data_available(asked.select("source", "trade_date", F.lit(None).cast("string").alias("symbol"), "data_type"), fx_catalog(spark, d))
+
+
+@query("source_availability", oracle("""
+select source, n_dates, n_dates > 0 as available,
+       n_dates > 0 and row_number() over (order by n_dates = 0, source <> 'taq', source) = 1 as is_default
+from (select s.source, count(distinct c.trade_date) as n_dates
+      from (select distinct source from fx_catalog) s
+      left join (select * from fx_catalog where n_rows > 0 and data_type in ('trades', 'nbbo')
+                 and trade_date in (select trade_date from days)) c on s.source = c.source group by s.source) n""", ctes=REQ), ids="C20")
+def q_source_availability(spark, d):
+    return cat.source_availability(fx_catalog(spark, d), trading_days(spark, d))
 
 
 @query("common_sources", oracle("""
-select g.trade_date, g.source, count(*) filter (where p.symbol is not null) as n_present,
+select g.trade_date, g.source, g.data_type, count(*) filter (where p.symbol is not null) as n_present,
        case when count(*) filter (where p.symbol is null) = 0 then 'all'
             when count(*) filter (where p.symbol is not null) > 0 then 'some' else 'none' end as status,
        coalesce(list_sort(list(g.symbol) filter (where p.symbol is null)), []::varchar[]) as missing_symbols
 from sg g left join (select * from anyp) p on g.source = p.source and g.trade_date = p.trade_date and g.symbol = p.symbol
-group by g.trade_date, g.source""", ctes=_AVAIL), ids="C12")
+                                          and g.data_type = p.data_type
+group by g.trade_date, g.source, g.data_type""", ctes=_AVAIL), ids="C12")
 def q_common_sources(spark, d):
-    p = _any_present(spark, d).withColumn("_hit", F.lit(True))
-    j = _source_grid(spark, d).join(p, ["source", "trade_date", "symbol"], "left")
-    hit = F.col("_hit").isNotNull()
-    # the missing list is bounded by the requested universe, never by the data
-    return (j.groupBy("trade_date", "source")
-            .agg(F.count_if(hit).alias("n_present"), F.count_if(~hit).alias("_n_missing"),
-                 F.sort_array(F.collect_list(F.when(~hit, F.col("symbol")))).alias("missing_symbols"))
-            .withColumn("status", F.when(F.col("_n_missing") == 0, F.lit("all"))
-                        .when(F.col("n_present") > 0, F.lit("some")).otherwise(F.lit("none")))
-            .select("trade_date", "source", "n_present", "status", "missing_symbols"))
+    return cat.common_sources(_availability(spark, d))
 
 
 @query("symbols_across_dates", oracle("""
@@ -301,16 +335,7 @@ sym as (select distinct c.trade_date, c.symbol from fx_catalog c join pick p
 select symbol from sym group by symbol having count(distinct trade_date) = (select count(*) from days)""", ctes=REQ),
        ids="C13")
 def q_symbols_across_dates(spark, d):
-    c = cat.present(fx_catalog(spark, d))
-    days = trading_days(spark, d)
-    pick = (c.groupBy("source", "trade_date")
-            .agg(F.when(F.count_if(F.col("data_type") == "trades") > 0, F.lit("trades"))
-                 .otherwise(F.lit("nbbo")).alias("data_type")))
-    sym = (c.join(pick, ["source", "trade_date", "data_type"], "left_semi")
-           .join(days, "trade_date", "left_semi").select("trade_date", "symbol").distinct())
-    n_days = days.agg(F.count(F.lit(1))).scalar()
-    return (sym.groupBy("symbol").agg(F.count_distinct("trade_date").alias("_n"))
-            .where(F.col("_n") == n_days).select("symbol"))
+    return cat.symbols_on_all_dates(fx_catalog(spark, d), trading_days(spark, d))
 
 
 @query("source_coverage_rank", oracle("""
@@ -323,17 +348,7 @@ cov as (select c.source, count(distinct c.symbol) as n_symbols from fx_catalog c
 select source, n_symbols, n_symbols = (select count(*) from req where symbol in (select symbol from fx_catalog)) as has_all,
        row_number() over (order by n_symbols desc, source) as rank from cov""", ctes=REQ), ids="C19")
 def q_source_coverage_rank(spark, d):
-    c = cat.present(fx_catalog(spark, d))
-    req = requested_symbols(spark, d)
-    pick = (c.groupBy("source", "trade_date")
-            .agg(F.when(F.count_if(F.col("data_type") == "trades") > 0, F.lit("trades"))
-                 .otherwise(F.lit("nbbo")).alias("data_type")))
-    cov = (c.join(pick, ["source", "trade_date", "data_type"], "left_semi").join(req, "symbol", "left_semi")
-           .groupBy("source").agg(F.count_distinct("symbol").alias("n_symbols")))
-    n_known = req.join(c.select("symbol").distinct(), "symbol", "left_semi").agg(F.count(F.lit(1))).scalar()
-    from pyspark.sql import Window
-    return (cov.withColumn("has_all", F.col("n_symbols") == n_known)
-            .withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n_symbols"), "source")).cast("long")))
+    return cat.coverage_rank(fx_catalog(spark, d), requested_symbols(spark, d))
 
 
 # ----------------------------------------------------------------------------- multi-source comparisons
