@@ -7,8 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickspark.functions.columns import time_bucket
-from tickspark.functions.filters import crossed, regular_trade
+from tickspark.operators import manifest as manifests
+from tickspark.operators import qc
 from tickspark.plans.registry import oracle, query
 from tickspark.session import scratch_path
 from tickspark.sources import lake
@@ -64,19 +64,60 @@ def q_lake_overwrite(spark, d, symbols=("S1", "S2")):
     return lake.read_lake(spark, root, "trades").select(*LAKE_COLS)
 
 
-@query("manifest", oracle("""
-select trade_date, symbol, count(*) as n_rows, min(ts_event) as min_ts, max(ts_event) as max_ts, 1 as n_files,
+_MANIFEST_SQL = """
+select trade_date, symbol, count(*) as n_rows, min(ts_event) as min_ts, max(ts_event) as max_ts, true as files_listed,
        cast(sum(tr_seqnum) as bigint) as seq_checksum, cast(sum(size) as bigint) as size_checksum,
-       1 as schema_version,
+       2 as schema_version,
        symbol in (select distinct concat('S', cast(user_id % 14 as varchar)) from events) as requested
-from fxd_trades group by trade_date, symbol"""), ids="K4, A42")
+from fxd_trades group by trade_date, symbol"""
+
+
+@query("manifest", oracle(_MANIFEST_SQL), ids="K4, A42")
 def q_manifest(spark, d):
-    from tickspark.operators.manifest import manifest
+    """The stored manifest of a lake whose partitions consist of several files."""
     root = scratch_path(spark, "lake")
-    lake.write_partitioned(_ticks(spark, d), root, "trades")
+    t = _ticks(spark, d)
+    for k in range(2):
+        lake.write_partitioned(t.where(F.pmod("tr_seqnum", F.lit(2)) == k), root, "trades", mode="append")
     ev = table(spark, d, "events")
     req = ev.select(F.concat(F.lit("S"), F.pmod("user_id", F.lit(14)).cast("string")).alias("symbol")).distinct()
-    return manifest(lake.read_lake(spark, root, "trades"), requested=req)
+    manifests.publish(spark, root, "trades", req)
+    files = (F.size("files") == F.col("n_files")) & F.forall("files", lambda f: f.contains("symbol=") & f.endswith(".parquet"))
+    return manifests.read_manifest(spark, root, "trades").select(
+        "trade_date", "symbol", "n_rows", "min_ts", "max_ts", files.alias("files_listed"), "seq_checksum", "size_checksum",
+        "schema_version", "requested")
+
+
+@query("manifest_verify", oracle("""
+select trade_date, symbol, case symbol when 'S1' then 'changed' when 'S2' then 'missing' when 'S3' then 'ok' else 'ok' end as status
+from fxd_trades group by trade_date, symbol"""), ids="K4, A42")
+def q_manifest_verify(spark, d):
+    """A lake against its stored manifest: S1's largest and smallest price swap rows (all sums of the
+    columns stay), S2 goes, S3 is rewritten as it was."""
+    root = scratch_path(spark, "lake")
+    t = _ticks(spark, d)
+    lake.write_partitioned(t, root, "trades")
+    manifests.publish(spark, root, "trades")
+    symbol = F.col("symbol")
+    edge = t.where(symbol == "S1").groupBy("trade_date").agg(
+        F.max_by("tr_seqnum", F.struct("price", "tr_seqnum")).alias("top"), F.min_by("tr_seqnum", F.struct("price", "tr_seqnum")).alias("low"),
+        F.max("price").alias("high_price"), F.min("price").alias("low_price"))
+    swapped = t.where(symbol == "S1").join(edge, "trade_date").withColumn(
+        "price", F.when(F.col("tr_seqnum") == F.col("top"), F.col("low_price")).when(F.col("tr_seqnum") == F.col("low"), F.col("high_price"))
+        .otherwise(F.col("price"))).select(*t.columns)
+    asked = t.where(symbol.isin("S1", "S2", "S3")).select("trade_date", "symbol").distinct()
+    lake.overwrite_partitions(spark, swapped.unionByName(t.where(symbol == "S3")), asked, root, "trades")
+    return manifests.verify(spark, root, "trades")
+
+
+@query("marked_dates", oracle("select distinct trade_date from fxd_trades"), ids="K4")
+def q_marked_dates(spark, d):
+    """Dates whose marker stands after the manifest was stored."""
+    root = scratch_path(spark, "lake")
+    lake.write_partitioned(_ticks(spark, d), root, "trades")
+    assert not manifests.marked_dates(spark, root, "trades").limit(1).count()
+    manifests.publish(spark, root, "trades")
+    return manifests.marked_dates(spark, root, "trades")
 
 
 @query("qc_daily", oracle("""
@@ -94,20 +135,53 @@ select coalesce(t.trade_date, q.trade_date) as trade_date, coalesce(t.symbol, q.
 from t full outer join q on t.trade_date = q.trade_date and t.symbol = q.symbol""",
                           ["pct_corrected", "bar_coverage_pct", "pct_crossed"]), ids="A43")
 def q_qc_daily(spark, d):
-    from tickspark.functions.columns import SESSION_MINUTES
-    t = (fxd_trades(spark, d).groupBy("trade_date", "symbol")
-         .agg(F.count(F.lit(1)).alias("n_trades"), F.count_if(~regular_trade()).alias("n_corrected"),
-              F.count_distinct("tr_scond").alias("n_conditions"),
-              F.count_distinct(time_bucket("ts_event", "1m")).alias("bar_minutes")))
-    q = (fxd_nbbo(spark, d).groupBy("trade_date", "symbol")
-         .agg(F.count(F.lit(1)).alias("n_nbbo"), F.count_if(crossed()).alias("n_crossed")))
-    z = F.lit(0).cast("long")
-    j = t.join(q, ["trade_date", "symbol"], "full_outer")
-    return j.select(
-        "trade_date", "symbol", F.coalesce("n_trades", z).alias("n_trades"),
-        F.coalesce("n_corrected", z).alias("n_corrected"),
-        F.try_divide(F.col("n_corrected") * 100.0, F.col("n_trades")).alias("pct_corrected"),
-        F.coalesce("n_conditions", z).alias("n_conditions"), F.coalesce("bar_minutes", z).alias("bar_minutes"),
-        (F.coalesce("bar_minutes", z) * 100.0 / SESSION_MINUTES).alias("bar_coverage_pct"),
-        F.coalesce("n_nbbo", z).alias("n_nbbo"), F.coalesce("n_crossed", z).alias("n_crossed"),
-        F.try_divide(F.col("n_crossed") * 100.0, F.col("n_nbbo")).alias("pct_crossed"))
+    return qc.daily(fxd_trades(spark, d), fxd_nbbo(spark, d)).select(
+        "trade_date", "symbol", "n_trades", "n_corrected", "pct_corrected", "n_conditions", "bar_minutes", "bar_coverage_pct",
+        "n_nbbo", "n_crossed", "pct_crossed")
+
+
+@query("qc_empty_ranges", oracle("""
+with have as (select trade_date, symbol, hour(ts_event) * 60 + minute(ts_event) as m from fxd_trades group by all),
+want as (select trade_date, symbol, unnest(range(570, 960)) as m from (select distinct trade_date, symbol from fxd_trades) k),
+lack as (select w.*, m - row_number() over (partition by trade_date, symbol order by m) as island from want w anti join have h
+         using (trade_date, symbol, m))
+select trade_date, symbol, cast(min(m) as int) as first_minute, cast(max(m) as int) as last_minute, cast(count(*) as int) as n_minutes
+from lack group by trade_date, symbol, island"""), ids="A43")
+def q_qc_empty_ranges(spark, d):
+    return qc.empty_ranges(fxd_trades(spark, d))
+
+
+@query("qc_condition_mix", oracle("""
+select trade_date, symbol, tr_scond, count(*) as n_ticks,
+       count(*) * 100.0 / sum(count(*)) over (partition by trade_date, symbol) as pct
+from fxd_trades group by trade_date, symbol, tr_scond""", ["pct"]), ids="A43, A17")
+def q_qc_condition_mix(spark, d):
+    return qc.code_mix(fxd_trades(spark, d), "tr_scond")
+
+
+@query("lake_time_range", oracle("""
+select tr_seqnum, symbol, ts_event, price from fxd_trades
+where ts_event between timestamp '2024-01-02 09:45:00' and timestamp '2024-01-02 11:15:30.5'""", ["price"]), ids="F10, S1, P5")
+def q_lake_time_range(spark, d):
+    """A local time range read from a lake of UTC instants: dates and row groups are pruned."""
+    root = _utc_lake(spark, d)
+    return lake.load_trades(spark, root, local_range=("2024-01-02 09:45:00", "2024-01-02 11:15:30.5")).select(
+        "tr_seqnum", "symbol", "ts_event", "price")
+
+
+@query("lake_session_window", oracle("""
+select trade_date, count(*) as n_trades, cast(sum(size) as bigint) as volume from fxd_trades
+where epoch_us(ts_event) - epoch_us(cast(trade_date as timestamp)) between 36000000000 and 41400000000
+group by trade_date"""), ids="P13, F2, S3")
+def q_lake_session_window(spark, d):
+    """The 10:00-11:30 window of every date of a lake, as one range of instants per date."""
+    root = _utc_lake(spark, d)
+    t = lake.load_trades(spark, root, daily_window=("10:00:00", "11:30:00"))
+    return t.groupBy("trade_date").agg(F.count(F.lit(1)).alias("n_trades"), F.sum("size").cast("long").alias("volume"))
+
+
+def _utc_lake(spark, d) -> str:
+    root = scratch_path(spark, "utc-lake")
+    t = fxd_trades(spark, d).select("tr_seqnum", "trade_date", "symbol", F.col("ts_event_utc").alias("ts_event"), "price", "size")
+    lake.write_partitioned(t, root, "trades", partition_by_symbol=False)
+    return root

@@ -16,14 +16,16 @@ unreadable file fails the job unless the caller asks to skip such files.
 from __future__ import annotations
 
 import uuid
+from datetime import datetime, timedelta, timezone
 from typing import Sequence
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickspark.functions.columns import EXCHANGE_TZ, clean_symbol_key, local_time, mid, spread
 from tickspark.session import scratch_path
-from tickspark.sources.listing import drop_folders, open_uri, partition_folders
+from tickspark.sources.listing import children, drop_folders, load_folders, open_uri, partition_folders
 
 PARTS_BY_SYMBOL = ["trade_date", "symbol"]
 PARTS_BY_DATE = ["trade_date"]
@@ -101,7 +103,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def _drop_other_loads(folders: DataFrame, load: str) -> None:
     """Of the folders that hold ``load``, drops every other load's folder."""
-    from tickspark.sources.listing import load_folders
     loads = load_folders(folders)
     mine = loads.where(F.col(LOAD) == load).select(F.col("parent").alias("kept"))
     drop_folders(loads.where(F.col(LOAD) != load).join(mine, F.col("parent") == F.col("kept"), "left_semi"))
@@ -158,24 +159,80 @@ def _prune(df: DataFrame, trade_date=None, symbols=None, utc_range=None) -> Data
     if symbols is not None:
         df = df.where(F.col("symbol").isin([symbols] if isinstance(symbols, str) else list(symbols)))
     if utc_range is not None:  # on the stored column, so Parquet row groups are skipped
-        lo, hi = utc_range
-        df = df.where(F.col("ts_event").between(F.lit(str(lo)).cast("timestamp_ntz"),
-                                                F.lit(str(hi)).cast("timestamp_ntz")))
+        df = df.where(_between(*utc_range))
     return df
 
 
-def load_trades(spark: SparkSession, root: str, trade_date=None, symbols=None,
-                tz: str = EXCHANGE_TZ, schema=None, utc_range=None) -> DataFrame:
+def _between(lo, hi):
+    return F.col("ts_event").between(F.lit(str(lo)).cast("timestamp_ntz"), F.lit(str(hi)).cast("timestamp_ntz"))
+
+
+def utc_bounds(lo, hi, tz: str = EXCHANGE_TZ) -> tuple[datetime, datetime]:
+    """The UTC instants (naive) that enclose a local range, both ends inclusive. A wall clock
+    time that comes twice counts from its first to its last instant."""
+    zone = ZoneInfo(tz)
+    ends = []
+    for at, fold in ((lo, 0), (hi, 1)):
+        at = at if isinstance(at, datetime) else datetime.fromisoformat(str(at))
+        ends.append(at.replace(tzinfo=zone, fold=fold).astimezone(timezone.utc).replace(tzinfo=None))
+    return min(ends), max(ends)
+
+
+def local_bounds(lo, hi, tz: str = EXCHANGE_TZ):
+    """F10 on a lake: a local range as a predicate on ``trade_date`` (the exchange's date, which
+    prunes partitions) and on the stored UTC ``ts_event`` (which prunes row groups)."""
+    first, last = (str(x)[:10] for x in (lo, hi))
+    return F.col("trade_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")) & _between(*utc_bounds(lo, hi, tz))
+
+
+def daily_bounds(dates: Sequence, start: str, end: str, tz: str = EXCHANGE_TZ):
+    """P13 on a lake: the local window ``start`` to ``end`` of each of ``dates``, as one range of
+    instants per date; dates that share a UTC offset share their instants of day."""
+    by_offset: dict[tuple, list] = {}
+    for day in dates:
+        lo, hi = utc_bounds(f"{day} {start}", f"{day} {end}", tz)
+        midnight = datetime.fromisoformat(str(day))
+        by_offset.setdefault((lo - midnight, hi - midnight), []).append(str(day))
+    out = F.lit(False)
+    for (lo, hi), days in by_offset.items():
+        day = F.col("trade_date").cast("timestamp_ntz")
+        at = F.col("ts_event").between(*(F.timestamp_add("MICROSECOND", F.lit(int(x / timedelta(microseconds=1))), day) for x in (lo, hi)))
+        span = [datetime.fromisoformat(d) for d in (min(days), max(days))]
+        out |= F.col("trade_date").isin([F.lit(d).cast("date") for d in days]) & _between(span[0] + lo, span[1] + hi) & at
+    return out
+
+
+def lake_dates(spark: SparkSession, root: str, dataset: str) -> list[str]:
+    """The dates of a dataset, by the names of its date folders."""
+    names = (f.base_name for f in children(f"{root}/{dataset}"))
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith("trade_date=") and not n.endswith("__"))
+
+
+def _window(spark, df, root, dataset, trade_date, local_range, daily_window, tz) -> DataFrame:
+    if local_range is not None:
+        df = df.where(local_bounds(*local_range, tz))
+    if daily_window is not None:
+        dates = lake_dates(spark, root, dataset) if trade_date is None else trade_date if isinstance(trade_date, (list, tuple)) else [trade_date]
+        df = df.where(daily_bounds(dates, *daily_window, tz))
+    return df
+
+
+def load_trades(spark: SparkSession, root: str, trade_date=None, symbols=None, tz: str = EXCHANGE_TZ, schema=None,
+                utc_range=None, local_range=None, daily_window=None) -> DataFrame:
     """Trades of one date (or a list, or all), optional symbols; ``ts_event`` becomes
-    exchange-local wall time, the UTC instant is kept as ``ts_event_utc`` (P5)."""
+    exchange-local wall time, the UTC instant is kept as ``ts_event_utc`` (P5). ``local_range``: exchange-local
+    times, both inclusive; ``daily_window``: local times of day, of every date read. Both
+    become predicates on the partitions and the stored instants."""
     df = _prune(read_lake(spark, root, "trades", schema), trade_date, symbols, utc_range)
+    df = _window(spark, df, root, "trades", trade_date, local_range, daily_window, tz)
     return df.withColumnRenamed("ts_event", "ts_event_utc").withColumn("ts_event", local_time("ts_event_utc", tz))
 
 
-def load_nbbo(spark: SparkSession, root: str, trade_date=None, symbols=None,
-              tz: str = EXCHANGE_TZ, schema=None, utc_range=None) -> DataFrame:
+def load_nbbo(spark: SparkSession, root: str, trade_date=None, symbols=None, tz: str = EXCHANGE_TZ, schema=None,
+              utc_range=None, local_range=None, daily_window=None) -> DataFrame:
     """As ``load_trades`` and always (re)computes ``mid_price`` and ``spread``."""
     df = _prune(read_lake(spark, root, "nbbo", schema), trade_date, symbols, utc_range)
+    df = _window(spark, df, root, "nbbo", trade_date, local_range, daily_window, tz)
     return (df.withColumnRenamed("ts_event", "ts_event_utc").withColumn("ts_event", local_time("ts_event_utc", tz))
             .withColumn("mid_price", mid()).withColumn("spread", spread()))
 

@@ -36,7 +36,7 @@ def open_uri(uri: str) -> tuple[pafs.FileSystem, str]:
     return fs, f"{base.rstrip('/')}/{path}"
 
 
-def _children(uri: str, recursive: bool = False) -> list[pafs.FileInfo]:
+def children(uri: str, recursive: bool = False) -> list[pafs.FileInfo]:
     """What a folder holds but for hidden names; nothing if there is no such folder."""
     fs, path = open_uri(uri)
     found = fs.get_file_info(pafs.FileSelector(path, allow_not_found=True, recursive=recursive))
@@ -53,7 +53,7 @@ def _symbol_folders(batches):
     for batch in batches:
         rows = []
         for date, folder in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            names = sorted(f.base_name for f in _children(folder) if f.type == pafs.FileType.Directory and f.base_name.startswith("symbol="))
+            names = sorted(f.base_name for f in children(folder) if f.type == pafs.FileType.Directory and f.base_name.startswith("symbol="))
             rows += [(date, _value(n), f"{folder}/{n}") for n in names] or [(date, None, folder)]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in range(3)], ["trade_date", "symbol", "folder"])
 
@@ -62,7 +62,7 @@ def partition_folders(spark: SparkSession, root: str, dataset: str) -> DataFrame
     """(trade_date, symbol, folder) of every partition folder; a date without symbol
     folders is one row with a NULL symbol. Symbols are cleaned, folders as they are."""
     target = f"{root}/{dataset}"
-    dates = [f.base_name for f in _children(target) if f.type == pafs.FileType.Directory and f.base_name.startswith("trade_date=")]
+    dates = [f.base_name for f in children(target) if f.type == pafs.FileType.Directory and f.base_name.startswith("trade_date=")]
     rows = spark.createDataFrame([(_value(d), f"{target}/{d}") for d in sorted(dates)], "trade_date string, folder string")
     spread = rows.repartition(max(1, min(len(dates), 4 * spark.sparkContext.defaultParallelism)))
     return spread.mapInArrow(_symbol_folders, _FOLDERS).select(
@@ -74,7 +74,7 @@ def _footers(batches):
         rows = []
         for date, symbol, folder in zip(*(batch.column(k).to_pylist() for k in range(3))):
             fs, _ = open_uri(folder)
-            for f in _children(folder, recursive=True):
+            for f in children(folder, recursive=True):
                 if f.type == pafs.FileType.File and f.base_name.endswith(".parquet"):
                     with fs.open_input_file(f.path) as source:
                         rows.append((date, symbol, folder, f.path, pq.read_metadata(source).num_rows, f.size))
@@ -91,7 +91,7 @@ def lake_files(folders: DataFrame) -> DataFrame:
 def _loads(batches):
     for batch in batches:
         rows = [(folder, _value(f.base_name), f"{folder}/{f.base_name}") for folder in batch.column(0).to_pylist()
-                for f in _children(folder) if f.type == pafs.FileType.Directory and f.base_name.startswith("load=")]
+                for f in children(folder) if f.type == pafs.FileType.Directory and f.base_name.startswith("load=")]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in range(3)], ["parent", "load", "folder"])
 
 
