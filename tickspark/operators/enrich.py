@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickspark.functions.columns import EXCHANGE_TZ, canonical_symbol, canonical_ts_ns, ns_to_ts
+from tickspark.functions.times import with_time_micros
 
 
 def new_run_id() -> str:
@@ -28,7 +29,13 @@ def enrich(df: DataFrame, run_id: str | None = None, ingest_ts: _dt.datetime | N
     """Add trade_date, symbol, ts_event_ns, ts_event (UTC), extract_run_id, ingest_ts.
 
     ``trade_date``: a literal date for single-day extracts; default is the row's ``date``.
+    ``time_m`` may be TIME, text or a timestamp; it becomes ``time_m_us`` and ``time_m_nano``.
     """
+    df = with_time_micros(df)
+    if "time_m_nano" not in df.columns:
+        df = df.withColumn("time_m_nano", F.lit(0))
+    if "sym_suffix" not in df.columns:
+        df = df.withColumn("sym_suffix", F.lit(None).cast("string"))
     run_id = run_id or new_run_id()
     ingest_ts = ingest_ts or utc_now_naive()
     ns = canonical_ts_ns("date", "time_m_us", "time_m_nano", tz)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tickspark.operators import catalog as cat
 from tickspark.plans.registry import oracle, query
 from tickspark.session import scratch_path, stored
-from tickspark.sources import lake
+from tickspark.sources import lake, warehouse
 from tickspark.sources.fixtures import fx_catalog, fx_members, fx_names, fx_nbbo, fx_trades, fxd_nbbo, fxd_trades, table
 
 SOURCES = ["taq", "alpaca", "csv"]
@@ -260,9 +260,7 @@ def q_ingest_summary(spark, d):
 select source, trade_date from fx_catalog where n_rows > 0 and data_type in ('trades', 'nbbo')
 group by source, trade_date having count(distinct data_type) = 2"""), ids="S12")
 def q_dates_with_all_types(spark, d, types=("trades", "nbbo")):
-    c = cat.present(fx_catalog(spark, d)).where(F.col("data_type").isin(*types))
-    return (c.groupBy("source", "trade_date").agg(F.count_distinct("data_type").alias("_n"))
-            .where(F.col("_n") == len(types)).drop("_n"))
+    return warehouse.dates_with_all_types(cat.present(fx_catalog(spark, d)), types, ("source",))
 
 
 # ----------------------------------------------------------------------------- availability across sources

@@ -13,6 +13,7 @@ from tickspark.functions.columns import (canonical_symbol, canonical_ts_ns, clea
                                          micros_of_day, ns_to_ts)
 from tickspark.functions.filters import in_session_half_open, invalid_quote
 from tickspark.operators.enrich import enrich
+from tickspark.operators.symbols import keep_symbols
 from tickspark.plans.registry import oracle, query
 from tickspark.session import scratch_path
 from tickspark.sources import csv as csvsrc
@@ -35,6 +36,12 @@ def warehouse_trades(spark, d) -> DataFrame:
                     "ex", "price", "size", "tr_corr", "tr_scond")
 
 
+def real_trades(spark, d) -> DataFrame:
+    """``warehouse_trades`` with ``time_m`` as the daily tables and drops write it: text."""
+    us = F.timestamp_add("MICROSECOND", F.col("time_m_us"), F.col("date").cast("timestamp_ntz"))
+    return warehouse_trades(spark, d).withColumn("time_m", F.date_format(us, "HH:mm:ss.SSSSSS")).drop("time_m_us")
+
+
 def extract_symbols(spark, d) -> DataFrame:
     ev = table(spark, d, "events")
     return ev.select(F.concat(F.lit("S"), F.pmod("user_id", F.lit(9)).cast("string")).alias("symbol")).distinct()
@@ -124,7 +131,7 @@ select tr_seqnum, symbol, trade_date, ts_event_utc as ts_event, {NS_SQL} as ts_e
 where tr_corr = '00' and {MOD_SQL} between 34200000000 and 57600000000
   and sym_root in ({EXTRACT_SYMBOLS_SQL})""", ["price"]), ids="S9, F1, F2, F8")
 def q_taq_trades_extract(spark, d):
-    x = warehouse.extract_trades(warehouse_trades(spark, d), extract_symbols(spark, d))
+    x = warehouse.extract_trades(real_trades(spark, d), extract_symbols(spark, d))
     e = enrich(x, RUN_ID, INGEST_TS)
     return e.select("tr_seqnum", "symbol", "trade_date", "ts_event", "ts_event_ns", "price", "size")
 
@@ -134,7 +141,9 @@ select qu_seqnum, symbol, trade_date, ts_event, bid, ask, bidsiz, asksiz from fx
 where bid > 0 and ask > 0 and bid < ask and {MOD_SQL} between 34200000000 and 57600000000
   and symbol in ({EXTRACT_SYMBOLS_SQL})""", ["bid", "ask"]), ids="S10, F4")
 def q_taq_quotes_extract(spark, d):
-    q = fx_quotes(spark, d).withColumn("time_m_us", micros_of_day("ts_event"))
+    # a TIME column as a JDBC driver hands it over: a timestamp on the epoch's day
+    q = fx_quotes(spark, d).withColumn("time_m", F.timestamp_add("MICROSECOND", micros_of_day("ts_event"),
+                                                                 F.lit("1970-01-01").cast("timestamp_ntz")))
     x = warehouse.extract_quotes(q, extract_symbols(spark, d), sym_col="symbol")
     return x.select("qu_seqnum", "symbol", "trade_date", "ts_event", "bid", "ask", "bidsiz", "asksiz")
 
@@ -144,7 +153,7 @@ select qu_seqnum, symbol, trade_date, ts_event, best_bid, best_ask from fx_nbbo
 where best_bid > 0 and best_ask > 0 and best_ask >= best_bid and {MOD_SQL} between 34200000000 and 57600000000
   and symbol in ({EXTRACT_SYMBOLS_SQL})""", ["best_bid", "best_ask"]), ids="S11, F5")
 def q_taq_nbbo_extract(spark, d):
-    q = fx_nbbo(spark, d).withColumn("time_m_us", micros_of_day("ts_event"))
+    q = fx_nbbo(spark, d).withColumn("time_m", F.date_format("ts_event", "H:mm:ss.SSSSSS"))
     x = warehouse.extract_nbbo(q, extract_symbols(spark, d), sym_col="symbol")
     return x.select("qu_seqnum", "symbol", "trade_date", "ts_event", "best_bid", "best_ask")
 
@@ -247,8 +256,7 @@ from fx_trades where symbol in ({EXTRACT_SYMBOLS_SQL})""", ["price"]), ids="S6,
 def q_csv_ingest_trades(spark, d):
     root = _land_csv(spark, d)
     raw = csvsrc.typed(csvsrc.read_csv_drops(spark, root, _csv_schema()), CSV_TYPES)
-    e = (raw.transform(lambda df: enrich(df, RUN_ID, INGEST_TS))
-         .join(extract_symbols(spark, d), "symbol", "left_semi"))  # F8 on the canonical symbol
+    e = keep_symbols(raw.transform(lambda df: enrich(df, RUN_ID, INGEST_TS)), extract_symbols(spark, d))  # F8 on the canonical symbol
     out = scratch_path(spark, "lake-csv")
     lake.write_partitioned(e.select("tr_seqnum", "trade_date", "symbol", "ts_event", "ts_event_ns", "price", "size"),
                            out, "trades")
@@ -256,6 +264,117 @@ def q_csv_ingest_trades(spark, d):
                                                        "ts_event_ns", "price", "size")
 
 
+def _land_mixed_drops(spark, d) -> str:
+    """Drops of two types in one folder. Trades of odd days have text times, other columns and
+    another order than those of even days; one more prefix must not be read."""
+    root = scratch_path(spark, "csv-mixed")
+    text = lambda df: df.select(*(F.col(c).cast("string").alias(c) for c in df.columns if c != "_d"), "_d")
+    t = warehouse_trades(spark, d).withColumn("_d", F.col("date"))
+    odd = F.dayofmonth("date") % 2 == 1
+    csvsrc.write_csv_drops(text(t.where(~odd)), root, "taq_trade", "_d")
+    late = real_trades(spark, d).where(odd).withColumn("_d", F.col("date"))
+    late = late.select("price", "time_m", "time_m_nano", F.date_format("date", "yyyyMMdd").alias("date"), "sym_suffix", "sym_root", "tr_seqnum",
+                       "size", F.lit("x").alias("unknown"), "_d")
+    csvsrc.write_csv_drops(text(late), root, "taq_trade", "_d", mode="append")
+    csvsrc.write_csv_drops(text(late), root, "other_trade", "_d", mode="append")
+    q = fx_nbbo(spark, d).select("qu_seqnum", F.col("trade_date").alias("date"), F.date_format("ts_event", "HH:mm:ss.SSSSSS").alias("time_m"),
+                                 F.col("symbol").alias("sym_root"), "best_bid", "best_ask", F.col("trade_date").alias("_d"))
+    csvsrc.write_csv_drops(text(q), root, "taq_nbbo", "_d", mode="append")
+    return root
+
+
+_MIXED_DATES = ("2024-01-03", "2024-01-20")
+
+
+@query("csv_mixed_drops", oracle(f"""
+select 'trades' as data_type, tr_seqnum as seqnum, trade_date, symbol, ts_event_utc as ts_event, {NS_SQL} as ts_event_ns,
+       case when day(trade_date) % 2 = 0 then tr_scond end as cond
+from fx_trades where trade_date between date '{_MIXED_DATES[0]}' and date '{_MIXED_DATES[1]}'
+union all
+select 'nbbo', qu_seqnum, trade_date, symbol, ts_event_utc, epoch_us(ts_event_utc) * 1000, null
+from fx_nbbo where trade_date in (date '{_MIXED_DATES[0]}', date '{_MIXED_DATES[1]}')"""), ids="S6, S7, S8, P2, P15")
+def q_csv_mixed_drops(spark, d):
+    """Drops picked by type, prefix and date, with several headers and times, in the canonical schema."""
+    root = _land_mixed_drops(spark, d)
+    t = enrich(csvsrc.read_drops(spark, root, "trades", _MIXED_DATES), RUN_ID, INGEST_TS)
+    q = enrich(csvsrc.read_drops(spark, root, "nbbo", list(_MIXED_DATES)), RUN_ID, INGEST_TS)
+
+    def part(df, kind, seq, cond):
+        return df.select(F.lit(kind).alias("data_type"), F.col(seq).alias("seqnum"), "trade_date", "symbol", "ts_event", "ts_event_ns",
+                         cond.alias("cond"))
+
+    return part(t, "trades", "tr_seqnum", F.col("tr_scond")).unionByName(part(q, "nbbo", "qu_seqnum", F.lit(None).cast("string")))
+
+
+@query("csv_drop_list", oracle("""
+select prefix, file_date, cast(min(k) as int) as n_columns from (
+  select distinct 'taq_trade' as prefix, trade_date as file_date, case when day(trade_date) % 2 = 0 then 12 else 10 end as k from fx_trades
+  union all select distinct 'other_trade', trade_date, 10 from fx_trades where day(trade_date) % 2 = 1
+  union all select distinct 'taq_nbbo', trade_date, 7 from fx_nbbo) x group by prefix, file_date"""), ids="S7")
+def q_csv_drop_list(spark, d):
+    """What is in a drop folder: prefix, date and columns of every file."""
+    drops = csvsrc.find_drops(spark, _land_mixed_drops(spark, d))
+    return drops.groupBy("prefix", "file_date").agg(F.min(F.size(F.split("header", ","))).alias("n_columns"))
+
+
+# A table list as an information schema gives it: early days in the year's schema, days divisible
+# by three in the other one as well or only, quotes missing every fourth day.
+_TABLES_SQL = """
+select distinct case when day(trade_date) % 3 = 0 then 'taqmsec' else 'taqm_' || year(trade_date) end as schema,
+       case t.data_type when 'trades' then 'ctm_' when 'quotes' then 'cqm_' else 'complete_nbbo_' end || strftime(trade_date, '%Y%m%d') as "table",
+       trade_date, t.data_type
+from fx_trades, (values ('trades'), ('quotes'), ('nbbo')) t(data_type) where t.data_type <> 'quotes' or day(trade_date) % 4 <> 0"""
+
+
+def _table_list(spark, d) -> DataFrame:
+    days = fx_trades(spark, d).select("trade_date").distinct()
+    kinds = F.explode(F.array(*map(F.lit, ("trades", "quotes", "nbbo")))).alias("data_type")
+    day = F.dayofmonth("trade_date")
+    rows = days.select("trade_date", kinds).where((F.col("data_type") != "quotes") | (day % 4 != 0))
+    schema = F.when(day % 3 == 0, F.lit("TAQMSEC")).otherwise(F.concat(F.lit("taqm_"), F.year("trade_date").cast("string")))
+    stem = F.when(F.col("data_type") == "trades", "ctm_").when(F.col("data_type") == "quotes", "cqm_").otherwise("complete_nbbo_")
+    return rows.select(schema.alias("schema"), F.concat(stem, F.date_format("trade_date", "yyyyMMdd")).alias("table"))
+
+
+def _table_requests(spark, d) -> DataFrame:
+    kinds = F.explode(F.array(*map(F.lit, ("trades", "quotes", "nbbo")))).alias("data_type")
+    return fx_trades(spark, d).select("trade_date").distinct().select("trade_date", kinds)
+
+
+@query("table_catalog", oracle(f"""
+select r.trade_date, r.data_type, l.schema, l."table" from (
+  select distinct trade_date, t.data_type from fx_trades, (values ('trades'), ('quotes'), ('nbbo')) t(data_type)) r
+left join ({_TABLES_SQL}) l on r.trade_date = l.trade_date and r.data_type = l.data_type"""), ids="S12")
+def q_table_catalog(spark, d):
+    """The schema that holds each day's table, by the order of schemas to try."""
+    return warehouse.resolve_tables(_table_requests(spark, d), _table_list(spark, d))
+
+
+@query("table_dates", oracle("select distinct trade_date from fx_trades where day(trade_date) % 4 <> 0"), ids="S12")
+def q_table_dates(spark, d):
+    """Dates whose three tables are all there."""
+    found = warehouse.resolve_tables(_table_requests(spark, d), _table_list(spark, d))
+    return warehouse.dates_with_all_types(found.where(F.col("schema").isNotNull()))
+
+
+@query("rest_canonical", oracle(f"""
+select f.source, t.tr_seqnum % 1000 as residue, t.trade_date, t.symbol, t.ts_event_utc as ts_event, {NS_SQL} as ts_event_ns, t.price,
+       t.size::bigint as size, 'ALPACA' as tr_source, null::varchar as tr_scond, null::bigint as tr_seqnum
+from fx_trades t join (values ('alpaca', 0), ('alpaca_iex', 1)) f(source, k) on t.tr_seqnum % 2 = f.k""", ["price"]), ids="S13, S15, S18, P15, U1")
+def q_rest_canonical(spark, d):
+    """Two feeds' pages as one canonical table, null-filled."""
+    t = fx_trades(spark, d)
+    rec = F.struct(_rfc3339("ts_event_utc", F.pmod("tr_seqnum", F.lit(1000))).alias("t"), F.col("ex").alias("x"),
+                   F.col("price").alias("p"), F.col("size").alias("s")).alias("r")
+    paths = {}
+    for k, feed in enumerate(rest.FEEDS):
+        paths[feed] = scratch_path(spark, f"rest-{feed}")
+        _land_pages(t.where(F.pmod("tr_seqnum", F.lit(2)) == k), "tr_seqnum", rec, "trades", paths[feed])
+    r = rest.read_feeds(spark, paths, "trades", run_id=RUN_ID, ingest_ts=INGEST_TS)
+    return r.select("source", F.pmod("ts_event_ns", F.lit(1000)).alias("residue"), "trade_date", "symbol", "ts_event", "ts_event_ns", "price",
+                    "size", "tr_source", "tr_scond", "tr_seqnum")
+
+
 @query("scan_trades", oracle("""
 select tr_seqnum, trade_date, symbol, ts_event_utc, ts_event_utc - interval 5 hours as ts_event, price, size
 from fx_trades""", ["price"]), ids="S1, S3, S5")

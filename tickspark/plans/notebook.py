@@ -13,6 +13,7 @@ from tickspark.functions.filters import crossed, nonneg_spread, regular_trade
 from tickspark.operators import bars, stats
 from tickspark.operators.asof import asof_join
 from tickspark.operators.quantiles import with_quantiles
+from tickspark.operators.symbols import keep_symbols
 from tickspark.operators.topk import top_k
 from tickspark.plans.registry import oracle, query
 from tickspark.session import stored
@@ -469,10 +470,12 @@ from enr where symbol = (select coalesce(max(case when symbol = 'TSLA' then symb
 group by symbol""", ["pct_within_spread", "mean_deviation_pct", "median_deviation_pct", "std_deviation_pct",
                      "mean_spread", "median_spread"], ctes=ENR), ids="A26, F9")
 def q_symbol_deep_dive(spark, d, symbol: str = "TSLA"):
-    e = enriched(spark, d)
-    pick = e.agg(F.coalesce(F.max(F.when(F.col("symbol") == symbol, F.col("symbol"))), F.min("symbol"))).scalar()
+    # the symbol is picked from the symbol-days both sides have; as a literal it reaches all scans
+    both = trades(spark, d).select(*BY).distinct().join(valid_nbbo(spark, d).select(*BY).distinct(), BY, "left_semi")
+    pick = both.agg(F.coalesce(F.max(F.when(F.col("symbol") == symbol, F.col("symbol"))), F.min("symbol"))).first()[0]
     loc = F.col("price_location")
-    one = stored(e.where(F.col("symbol") == pick).select("symbol", "price_location", "price_vs_mid_pct", "spread"), "deep-dive")
+    one = stored(keep_symbols(enriched(spark, d), [pick] if pick is not None else [])
+                 .select("symbol", "price_location", "price_vs_mid_pct", "spread"), "deep-dive")
     rest = one.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("n_trades"),
         F.count_if(loc == "within_spread").alias("within_spread"),

@@ -51,9 +51,10 @@ NBBO = _s(("date", T.DateType()), ("time_m_us", T.LongType()), ("time_m_nano", T
 SCHEMAS = {"trades": TRADES, "quotes": QUOTES, "nbbo": NBBO}
 
 
-def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = True) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = True, also: list | tuple = ()) -> DataFrame:
     """Project onto ``schema`` — missing columns become typed NULLs, present ones are
-    ``try_cast`` (bad values → NULL), extra columns are kept after the canonical ones."""
+    ``try_cast`` (bad values → NULL), extra columns are kept after the canonical ones, and
+    ``also`` are added as they are."""
     have = set(df.columns)
     cols = []
     for f in schema.fields:
@@ -65,7 +66,7 @@ def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = True) -> Dat
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     extra = [F.col(c) for c in df.columns if c not in {f.name for f in schema.fields}] if keep_extra else []
-    return df.select(*cols, *extra)
+    return df.select(*cols, *extra, *also)
 
 
 def text_schema(schema: T.StructType, names: list[str] | None = None) -> T.StructType:

@@ -7,12 +7,15 @@ differ only by the ``source`` tag (S15).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickspark.functions.columns import epoch_micros
-from tickspark.operators.enrich import decompose_utc
+from tickspark.operators.enrich import decompose_utc, enrich
+from tickspark.schemas import SCHEMAS, conform
 
 TRADE_REC = T.StructType([T.StructField("t", T.StringType()), T.StructField("x", T.StringType()),
                           T.StructField("p", T.DoubleType()), T.StructField("s", T.LongType())])
@@ -58,6 +61,28 @@ def read_rest_trades(spark: SparkSession, path: str, source: str = "alpaca") ->
         F.lit(TAG).alias("tr_source"), "ts_event_ns", F.lit(source).alias("source"))
 
 
+#: Roots and feed tags differ; the mapping is one.
+FEEDS = ("alpaca", "alpaca_iex")
+
+
+def canonical_rest(spark: SparkSession, path: str, data_type: str, source: str = "alpaca", run_id: str | None = None,
+                   ingest_ts=None) -> DataFrame:
+    """Pages of a feed as the canonical columns of ``trades`` or ``nbbo``: what a
+    feed does not send is a typed NULL, sizes stay 64 bit, and ``source`` names the feed."""
+    raw = (read_rest_trades if data_type == "trades" else read_rest_quotes)(spark, path, source)
+    rows = enrich(raw.drop("ts_event_ns"), run_id, ingest_ts)
+    wide = [T.StructField(f.name, T.LongType() if f.name in raw.columns and raw.schema[f.name].dataType == T.LongType() else f.dataType)
+            for f in SCHEMAS[data_type].fields]
+    prices = {"price", "best_bid", "best_ask"}
+    wide = [T.StructField(f.name, T.DoubleType()) if f.name in prices else f for f in wide]
+    return conform(rows, T.StructType(wide), keep_extra=False, also=["source"])
+
+
+def read_feeds(spark: SparkSession, paths: dict[str, str], data_type: str, **args) -> DataFrame:
+    """Several feeds (name -> folder of pages) as one canonical table."""
+    return reduce(DataFrame.unionByName, (canonical_rest(spark, path, data_type, feed, **args) for feed, path in paths.items()))
+
+
 def read_rest_quotes(spark: SparkSession, path: str, source: str = "alpaca") -> DataFrame:
     """Quote pages → canonical NBBO columns; sizes are duplicated in ``*sizeshares``."""
     pages = spark.read.schema(QUOTES_PAGE).json(path)
