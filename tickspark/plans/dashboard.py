@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from tickspark.functions.columns import (epoch_micros, local_time, micros_of_day, mid, session_start,
                                          spread_bps, time_bucket)
 from tickspark.functions.filters import min_size, time_range
-from tickspark.operators import bars, downsample as ds
+from tickspark.operators import bars, downsample as ds, pyramid
 from tickspark.operators.topk import top_k_per_group
 from tickspark.plans.registry import oracle, query
-from tickspark.sources.fixtures import fx_trades, fxd_nbbo, fxd_trades
+from tickspark.session import scratch_path
+from tickspark.sources.fixtures import fx_trades, fxd_nbbo, fxd_trades, table
 
 SMALL_CHART = 250  # an explicit point budget, as a caller with a small chart gives it
 
@@ -140,6 +141,87 @@ def q_lod_trades_1s(spark, d):
     return bars.lod_trades(fxd_trades(spark, d), "1s")
 
 
+def _bucket_sql(us: int) -> str:
+    return f"make_timestamp(epoch_us(ts_event) - epoch_us(ts_event) % {us})"
+
+
+def _quote_level_sql(us: int) -> str:
+    return f"""select trade_date, symbol, {_bucket_sql(us)} as time_bucket,
+       last(best_bid order by ts_event, qu_seqnum) as best_bid, last(best_ask order by ts_event, qu_seqnum) as best_ask,
+       count(*) as n_updates from fxd_nbbo group by all"""
+
+
+def _trade_level_sql(us: int) -> str:
+    return f"""select trade_date, symbol, {_bucket_sql(us)} as time_bucket, sum(price * size) / nullif(sum(size), 0) as vwap,
+       cast(sum(size) as bigint) as volume, count(*) as trade_count from fxd_trades group by all"""
+
+
+_LEVEL_US = {"100ms": 100_000, "1s": 1_000_000}
+
+
+def _pyramid(spark, d, kind: str) -> str:
+    """Both levels, written in two appends that meet in the same buckets; the second comes twice."""
+    root = scratch_path(spark, "pyramid")
+    ticks, seq = (fxd_trades(spark, d), "tr_seqnum") if kind == "trades" else (fxd_nbbo(spark, d), "qu_seqnum")
+    for load, rest in (("first", 0), ("second", 1), ("second", 1)):
+        pyramid.append(ticks.where(F.pmod(F.floor(F.col(seq) / 3), F.lit(2)) == rest), root, kind, load, seq=seq)
+    return root
+
+
+def _all_levels(spark, root: str, kind: str) -> DataFrame:
+    parts = [pyramid.read_level(spark, root, kind, level).withColumn("level", F.lit(level)) for level in pyramid.LEVELS]
+    return parts[0].unionByName(parts[1])
+
+
+@query("lod_pyramid_quotes", oracle("\nunion all\n".join(f"select *, '{n}' as level from ({_quote_level_sql(us)}) l" for n, us in _LEVEL_US.items()),
+                                    ["best_bid", "best_ask"]), ids="A44")
+def q_lod_pyramid_quotes(spark, d):
+    """100 ms and 1 s quotes after appends, as written levels."""
+    return _all_levels(spark, _pyramid(spark, d, "quotes"), "quotes")
+
+
+@query("lod_pyramid_trades", oracle("\nunion all\n".join(f"select *, '{n}' as level from ({_trade_level_sql(us)}) l" for n, us in _LEVEL_US.items()),
+                                    ["vwap"]), ids="A44")
+def q_lod_pyramid_trades(spark, d):
+    """100 ms and 1 s trades after appends, as written levels."""
+    return _all_levels(spark, _pyramid(spark, d, "trades"), "trades")
+
+
+_WINDOWS = (("2024-01-02 10:00:00", "2024-01-02 10:01:00"), ("2024-01-02 10:00:00", "2024-01-02 10:20:00"),
+            ("2024-01-02 10:00:00", "2024-01-02 12:00:00"))
+
+
+def _window_sql(k: int) -> str:
+    lo, hi = (f"timestamp '{x}'" for x in _WINDOWS[k])
+    if k == 0:
+        return f"""select 'raw' as level, symbol, ts_event as time_bucket, best_bid, best_ask, 1::bigint as n_updates from fxd_nbbo
+                   where ts_event between {lo} and {hi}"""
+    name, us = list(_LEVEL_US.items())[k - 1]
+    return f"""select '{name}', symbol, time_bucket, best_bid, best_ask, n_updates from ({_quote_level_sql(us)}) l{k}
+               where time_bucket between {lo} and {hi}"""
+
+
+@query("lod_window", oracle("\nunion all\n".join(map(_window_sql, range(3))), ["best_bid", "best_ask"]), ids="A44")
+def q_lod_window(spark, d):
+    """One, twenty and 120 minutes of quotes, each from the level of its length."""
+    root, out = _pyramid(spark, d, "quotes"), None
+    for lo, hi in _WINDOWS:
+        level, rows = pyramid.read_window(spark, root, "quotes", lo, hi, fxd_nbbo(spark, d))
+        at, n = ("ts_event", F.lit(1).cast("long")) if level == "raw" else ("time_bucket", F.col("n_updates"))
+        part = rows.select(F.lit(level).alias("level"), "symbol", F.col(at).alias("time_bucket"), "best_bid", "best_ask", n.alias("n_updates"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("lod_choice", oracle("""
+select k as window_seconds, case when k > 1800 then '1s' when k >= 120 then '100ms' else 'raw' end as level
+from (select distinct event_id * 7 as k from events) e"""), ids="A44")
+def q_lod_choice(spark, d):
+    """The level of a window length, as an expression over a column of lengths."""
+    k = (F.col("event_id") * 7).alias("window_seconds")
+    return table(spark, d, "events").select(k).distinct().withColumn("level", bars.lod_choice("window_seconds"))
+
+
 # ----------------------------------------------------------------------------- downsampling
 
 def _nbbo_panel(spark, d) -> DataFrame:
