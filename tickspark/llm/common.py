@@ -17,7 +17,7 @@ from tickspark.session import scratch_path
 TOKENIZERS = os.environ.get("TICKSPARK_TOKENIZERS", "/opt/tokenizers")
 
 _MULT = 0x9E3779B97F4A7C15
-_STEP = 1 << 22  # bytes of text worked on at once
+_STEP = 1 << 18  # bytes of text worked on at once
 
 
 def tokenizer_file(name: str) -> str:
@@ -82,15 +82,34 @@ def hashed_words(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
     while row < len(lower):
         end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + _STEP, "right")) - 1)
         start = offsets[row]
-        part = data[start:offsets[end]]
-        bounds = offsets[row:end + 1] - start
-        starts, hashes = _hash(part, bounds)
-        cuts = np.searchsorted(starts, bounds)
-        for k in range(end - row):
-            yield row + k, hashes[cuts[k]:cuts[k + 1]]
+        if offsets[end] - start > _STEP:  # one long text
+            yield row, np.concatenate([_hash(part, np.array([0, len(part)]))[1] for part in _pieces(data[start:offsets[end]])])
+        else:
+            bounds = offsets[row:end + 1] - start
+            starts, hashes = _hash(data[start:offsets[end]], bounds)
+            cuts = np.searchsorted(starts, bounds)
+            for k in range(end - row):
+                yield row + k, hashes[cuts[k]:cuts[k + 1]]
         row = end
 
 
+def _pieces(text: np.ndarray) -> Iterator[np.ndarray]:
+    """A long text in pieces of about _STEP bytes; words stay whole."""
+    low = 0
+    while low < len(text):
+        high = min(len(text), low + _STEP)
+        if high < len(text):
+            gaps = np.flatnonzero(~_WORD[text[low:high]])
+            if len(gaps):
+                high = low + int(gaps[-1]) + 1
+            else:  # a word longer than a piece
+                while high < len(text) and _WORD[text[high]]:
+                    more = np.flatnonzero(~_WORD[text[high:high + _STEP]])
+                    high = high + int(more[0]) if len(more) else min(len(text), high + _STEP)
+        yield text[low:high]
+        low = high
+
+
 def _hash(part: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     word = _WORD[part]
     opens = word.copy()
