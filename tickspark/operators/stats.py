@@ -107,12 +107,14 @@ def _join_null_safe(rows: DataFrame, per_key: DataFrame, keys: Sequence[str]) ->
     return rows.join(right, cond).drop(*[f"_g_{k}" for k in keys])
 
 
-def histogram(df: DataFrame, c: str, bins: int, keys: Sequence[str] = ()) -> DataFrame:
+def histogram(df: DataFrame, c: str, bins: int, keys: Sequence[str] = (), once: bool = False) -> DataFrame:
     """Equal-width bins over [min, max]; the last bin is closed; all-equal → one bin.
 
     The one-row (min, max) per key is joined back; it is bounded by the number of keys.
+    ``once``: ``df`` is costly; its columns are written and read twice.
     """
     keys = list(keys)
+    df = stored(df.select(*keys, c), "histogram") if once else df
     j = df.where(F.col(c).isNotNull()).select(*keys, c)
     if keys:
         bounds = df.groupBy(*keys).agg(F.min(c).alias("_lo"), F.max(c).alias("_hi"))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickspark.operators import catalog as cat
+from tickspark.operators import compare
 from tickspark.plans.registry import oracle, query
 from tickspark.session import scratch_path, stored
 from tickspark.sources import lake, warehouse
@@ -359,16 +360,7 @@ select coalesce(a.symbol, b.symbol) as symbol, coalesce(a.trade_date, b.trade_da
        coalesce(a.n, 0) - coalesce(b.n, 0) as diff_trades, coalesce(a.v, 0) - coalesce(b.v, 0) as diff_volume
 from a full outer join b on a.symbol = b.symbol and a.trade_date = b.trade_date""", ctes=SRC), ids="J7")
 def q_source_compare(spark, d):
-    st = source_trades(spark, d)
-
-    def side(src, p):
-        return (st.where(F.col("source") == src).groupBy("symbol", "trade_date")
-                .agg(F.count(F.lit(1)).alias(f"{p}_trades"), F.sum("size").cast("long").alias(f"{p}_volume")))
-    j = side("taq", "taq").join(side("alpaca", "alpaca"), ["symbol", "trade_date"], "full_outer")
-    z = F.lit(0).cast("long")
-    return j.withColumns({
-        "diff_trades": F.coalesce("taq_trades", z) - F.coalesce("alpaca_trades", z),
-        "diff_volume": F.coalesce("taq_volume", z) - F.coalesce("alpaca_volume", z)})
+    return compare.source_compare(source_trades(spark, d), "taq", "alpaca")
 
 
 @query("summary_by_date_source", oracle("""
@@ -378,10 +370,7 @@ select coalesce(a.trade_date, b.trade_date) as trade_date, coalesce(a.source, b.
        a.n_trades, a.volume, b.n_nbbo
 from a full outer join b on a.trade_date = b.trade_date and a.source = b.source""", ctes=SRC), ids="A32")
 def q_summary_by_date_source(spark, d):
-    a = (source_trades(spark, d).groupBy("trade_date", "source")
-         .agg(F.count(F.lit(1)).alias("n_trades"), F.sum("size").cast("long").alias("volume")))
-    b = source_nbbo(spark, d).groupBy("trade_date", "source").agg(F.count(F.lit(1)).alias("n_nbbo"))
-    return a.join(b, ["trade_date", "source"], "full_outer")
+    return compare.summary_by_date_source(source_trades(spark, d), source_nbbo(spark, d))
 
 
 @query("summary_by_symbol", oracle("""
@@ -390,10 +379,7 @@ b as (select symbol, count(*) as n_nbbo from fx_nbbo group by symbol)
 select r.symbol, a.n_trades, a.volume, b.n_nbbo from req r left join a using (symbol) left join b using (symbol)""",
                                    ctes=REQ), ids="A33")
 def q_summary_by_symbol(spark, d):
-    a = (fx_trades(spark, d).groupBy("symbol")
-         .agg(F.count(F.lit(1)).alias("n_trades"), F.sum("size").cast("long").alias("volume")))
-    b = fx_nbbo(spark, d).groupBy("symbol").agg(F.count(F.lit(1)).alias("n_nbbo"))
-    return requested_symbols(spark, d).join(a, "symbol", "left").join(b, "symbol", "left")
+    return compare.summary_by_symbol(requested_symbols(spark, d), fx_trades(spark, d), fx_nbbo(spark, d))
 
 
 @query("price_range", oracle("""
@@ -403,13 +389,7 @@ select least(t.lo, q.lo) as min_price, greatest(t.hi, q.hi) as max_price,
        least(t.lo, q.lo) * 0.95 as axis_lo, greatest(t.hi, q.hi) * 1.05 as axis_hi from t, q""",
                              ["min_price", "max_price", "axis_lo", "axis_hi"], ctes=SRC), ids="A34")
 def q_price_range(spark, d):
-    t = source_trades(spark, d).agg(F.min("price").alias("lo"), F.max("price").alias("hi"))
-    q = source_nbbo(spark, d).agg(F.least(F.min("best_bid"), F.min("best_ask")).alias("lo"),
-                                  F.greatest(F.max("best_bid"), F.max("best_ask")).alias("hi"))
-    lo = F.least(F.col("lo"), q.select("lo").scalar())
-    hi = F.greatest(F.col("hi"), q.select("hi").scalar())
-    return t.select(lo.alias("min_price"), hi.alias("max_price"), (lo * 0.95).alias("axis_lo"),
-                    (hi * 1.05).alias("axis_hi"))
+    return compare.price_range(source_trades(spark, d), source_nbbo(spark, d))
 
 
 @query("multi_source_union", oracle("""
@@ -429,6 +409,22 @@ def q_multi_source_union(spark, d):
     return union_sources({"taq": taq, "alpaca": alp})
 
 
+@query("read_sources", oracle("""
+select 'taq' as source, tr_seqnum, trade_date, symbol, price, size::bigint as size from fxd_trades
+union all
+select 'alpaca', tr_seqnum, trade_date, symbol, price, size::bigint from fxd_trades where symbol <> 'S3' and tr_seqnum % 4 <> 0""",
+                              ["price"]), ids="S18, U1, U2")
+def q_read_sources(spark, d):
+    """Two sources' lakes as one table; one of them is partitioned by date alone and has wider sizes."""
+    from tickspark.sources.registry import read_sources
+    t = fxd_trades(spark, d).select("tr_seqnum", "trade_date", "symbol", "ts_event", "price", "size", "ex")
+    roots = {name: scratch_path(spark, f"source-{name}") for name in ("taq", "alpaca")}
+    lake.write_partitioned(t, roots["taq"], "trades")
+    other = t.where((F.col("symbol") != "S3") & (F.pmod("tr_seqnum", F.lit(4)) != 0)).drop("ex").withColumn("size", F.col("size").cast("long"))
+    lake.write_partitioned(other, roots["alpaca"], "trades", partition_by_symbol=False)
+    return read_sources(spark, roots, "trades").select("source", "tr_seqnum", "trade_date", "symbol", "price", "size")
+
+
 # ----------------------------------------------------------------------------- universe and membership
 
 _MEM = {"mem": """select t1.ticker from fx_names t1 join fx_members t2 on t1.permno = t2.permno

@@ -10,7 +10,7 @@ from tickspark.functions.columns import (epoch_micros, local_time, micros_of_day
                                          spread_bps, time_bucket)
 from tickspark.functions.filters import min_size, time_range
 from tickspark.operators import bars, downsample as ds, pyramid
-from tickspark.operators.topk import top_k_per_group
+from tickspark.operators.topk import largest, top_k_per_group
 from tickspark.plans.registry import oracle, query
 from tickspark.session import scratch_path
 from tickspark.sources.fixtures import fx_trades, fxd_nbbo, fxd_trades, table
@@ -366,11 +366,20 @@ from (select *, row_number() over (partition by symbol, trade_date order by size
       from fxd_trades) r where rank <= 100""", ["price"]), ids="O5, W4, P19")
 def q_largest_trades(spark, d):
     t = fxd_trades(spark, d)
-    r = top_k_per_group(t, 100, ["symbol", "trade_date"], [F.desc_nulls_last("size"), "ts_event", "tr_seqnum"])
+    r = largest(t, 100, ["symbol", "trade_date"])
     return r.select("symbol", "trade_date", "rank", F.date_format("ts_event", "HH:mm:ss.SSS").alias("time"),
                     F.round("price", 4).alias("price"), "size", "ex", "tr_seqnum")
 
 
+@query("first_trades", oracle("""
+select symbol, trade_date, rank, tr_seqnum, price from (
+  select *, row_number() over (partition by symbol, trade_date order by ts_event, tr_seqnum) as rank from fxd_trades) r
+where rank <= 100""", ["price"]), ids="O5")
+def q_first_trades(spark, d):
+    """The largest-trades table of ticks that have no size: the first 100."""
+    return largest(fxd_trades(spark, d).drop("size"), 100, ["symbol", "trade_date"]).select("symbol", "trade_date", "rank", "tr_seqnum", "price")
+
+
 # ----------------------------------------------------------------------------- filters and time projections
 
 @query("min_trade_size", oracle("""

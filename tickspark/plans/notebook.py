@@ -8,15 +8,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickspark.functions.columns import epoch_micros, mid, quality_tier, spread
+from tickspark.functions.columns import epoch_micros, mid, quality_tier, session_bounds, spread
 from tickspark.functions.filters import crossed, nonneg_spread, regular_trade
 from tickspark.operators import bars, stats
 from tickspark.operators.asof import asof_join
+from tickspark.operators.enriched import enriched_trades, read_enriched, write_enriched
 from tickspark.operators.quantiles import with_quantiles
 from tickspark.operators.symbols import keep_symbols
-from tickspark.operators.topk import top_k
+from tickspark.operators.topk import leaderboards, top_k
 from tickspark.plans.registry import oracle, query
-from tickspark.session import stored
+from tickspark.session import scratch_path, stored
 from tickspark.sources.fixtures import fxd_nbbo, fxd_trades, view
 
 BY = ["symbol", "trade_date"]
@@ -166,13 +167,10 @@ select * from (
          nbbo_update_count from npm) x
 where rank <= 10""", ctes=_BUSY), ids="O3")
 def q_busiest_minutes(spark, d):
-    tpm = bars.trades_per_bucket(trades(spark, d), "1m")
-    npm = bars.nbbo_per_bucket(nbbo(spark, d), "1m")
-    return (top_k(tpm, 10, [F.desc("trade_count"), "minute"], "minute", F.col("trade_count"), "by_trade_count")
-            .unionByName(top_k(tpm, 10, [F.desc("total_volume"), "minute"], "minute",
-                               F.col("total_volume"), "by_volume"))
-            .unionByName(top_k(npm, 10, [F.desc("nbbo_update_count"), "minute"], "minute",
-                               F.col("nbbo_update_count"), "by_nbbo_updates")))
+    t = bars.trades_per_bucket(trades(spark, d), "1m")
+    q = bars.nbbo_per_bucket(nbbo(spark, d), "1m")
+    return leaderboards({"by_trade_count": (t, "trade_count"), "by_volume": (t, "total_volume"), "by_nbbo_updates": (q, "nbbo_update_count")},
+                        "minute", 10)
 
 
 @query("edge_minutes", oracle("""
@@ -429,6 +427,42 @@ def q_enriched_trades(spark, d):
                     F.col("best_bid").isNotNull().alias("has_quote"))
 
 
+@query("enriched_lake", oracle("""
+select t.tr_seqnum, t.symbol, t.trade_date, t.price, t.size, t.ex, q.best_bid, q.best_ask, q.best_bidsizeshares, q.best_asksizeshares,
+       q.nbbo_qu_cond, q.natbbo_ind, q.qu_source, (q.best_bid + q.best_ask) / 2 as mid, q.best_ask - q.best_bid as spread,
+       q.ns is not null as has_quote, epoch_us(t.ts_event) * 1000 + t.tr_seqnum % 1000 - q.ns as quote_age_ns,
+       q.ns is not null and (q.best_ask < q.best_bid or q.best_bid <= 0 or q.best_ask <= 0) as nbbo_invalid
+from fxd_trades t asof left join (select *, epoch_us(ts_event) * 1000 + qu_seqnum % 1000 as ns from fxd_nbbo) q
+  on t.symbol = q.symbol and t.trade_date = q.trade_date and epoch_us(t.ts_event) * 1000 + t.tr_seqnum % 1000 >= q.ns""",
+                                ["price", "best_bid", "best_ask", "mid", "spread"]), ids="J3, F13, K1")
+def q_enriched_lake(spark, d):
+    """Every trade with its NBBO snapshot and flags, written by date and symbol and read back."""
+    t = trades(spark, d).select("tr_seqnum", "symbol", "trade_date", "ts_event", "price", "size", "ex", event_ns("tr_seqnum"))
+    q = nbbo(spark, d).select("*", event_ns("qu_seqnum"))
+    root = scratch_path(spark, "enriched")
+    write_enriched(enriched_trades(t, q, invalid="flag"), root)
+    return read_enriched(spark, root).select(
+        "tr_seqnum", "symbol", "trade_date", "price", "size", "ex", "best_bid", "best_ask", "best_bidsizeshares", "best_asksizeshares",
+        "nbbo_qu_cond", "natbbo_ind", "qu_source", "mid", "spread", "has_quote", "quote_age_ns", "nbbo_invalid")
+
+
+@query("time_bounds", oracle("select min(ts_event) as min_ts, max(ts_event) as max_ts from fxd_trades"), ids="A35")
+def q_time_bounds(spark, d):
+    from tickspark.operators.reports import time_bounds
+    return time_bounds(trades(spark, d), nbbo(spark, d))
+
+
+@query("session_default", oracle("""
+select trade_date, symbol, greatest(lo, cast(trade_date as timestamp) + interval '570 minutes') as start_ts,
+       least(hi, cast(trade_date as timestamp) + interval '960 minutes') as end_ts
+from (select trade_date, symbol, min(ts_event) as lo, max(ts_event) as hi from fxd_trades group by all) b"""), ids="P22, P13")
+def q_session_default(spark, d):
+    """The 390-minute window of each symbol-day, clipped to its data."""
+    b = trades(spark, d).groupBy("trade_date", "symbol").agg(F.min("ts_event").alias("lo"), F.max("ts_event").alias("hi"))
+    start, end = session_bounds("lo", "hi")
+    return b.select("trade_date", "symbol", start.alias("start_ts"), end.alias("end_ts"))
+
+
 @query("trade_deviation", oracle("""
 select tr_seqnum, symbol, price_vs_bid_pct, price_vs_ask_pct, price_vs_mid_pct from enr""",
                                  ["price_vs_bid_pct", "price_vs_ask_pct", "price_vs_mid_pct"], ctes=ENR), ids="P11")
@@ -620,10 +654,30 @@ def q_spread_histogram(spark, d):
     return stats.histogram(valid_nbbo(spark, d), "spread", 100)
 
 
+@query("spread_histogram_50", oracle(_hist_sql("spread", "qv", 50), ["bin_lo", "bin_hi"], ctes={"qv": ENR["qv"]}), ids="A30")
+def q_spread_histogram_50(spark, d):
+    return stats.histogram(valid_nbbo(spark, d), "spread", 50)
+
+
+HIST_METRICS = ["pct_within_spread", "mean_spread", "mean_abs_deviation_pct"]
+
+
+def _metric_hist_sql(bins: int = 30) -> str:
+    return "\nunion all\n".join(f"select '{m}' as metric, h.* from ({_hist_sql(m, 'cons', bins)}) h" for m in HIST_METRICS)
+
+
+@query("metric_histograms", oracle(_metric_hist_sql(), ["bin_lo", "bin_hi"], ctes=CONS), ids="A30")
+def q_metric_histograms(spark, d):
+    """Distribution of the symbols over each consistency metric: one pass, keyed by the metric."""
+    c = stored(consistency(spark, d).select(*HIST_METRICS), "metrics")
+    long = c.select(F.explode(F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).alias("x")) for m in HIST_METRICS))).alias("_m"))
+    return stats.histogram(long.select("_m.metric", "_m.x"), "x", 30, ["metric"])
+
+
 @query("deviation_histogram", oracle(_hist_sql("price_vs_mid_pct", "enr", 100), ["bin_lo", "bin_hi"], ctes=ENR),
        ids="A30")
 def q_deviation_histogram(spark, d):
-    return stats.histogram(enriched(spark, d), "price_vs_mid_pct", 100)
+    return stats.histogram(enriched(spark, d), "price_vs_mid_pct", 100, once=True)
 
 
 @query("size_histogram", oracle(_hist_sql("size", "fxd_trades", 50), ["bin_lo", "bin_hi"]), ids="A30")

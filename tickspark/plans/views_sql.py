@@ -83,12 +83,6 @@ select c_custkey as permno, date '1995-06-01' as start,
        case when c_custkey % 4 = 0 then null else date '1999-12-31' end as ending
 from customer where c_custkey % 3 = 0""", [])
 
-_view("li_trades", """
-select l_orderkey as order_key, l_linenumber as line_no, p_brand as symbol, cast(l_shipdate as date) as trade_date,
-       l_shipdate as ts_event, l_extendedprice / l_quantity as price, cast(l_quantity as int) as size,
-       l_returnflag as ex, l_linestatus as tr_corr
-from lineitem join part on l_partkey = p_partkey""", [])
-
 
 def _needed(body: str) -> list[str]:
     out: list[str] = []

@@ -153,18 +153,3 @@ def fx_members(spark, sf_dir) -> DataFrame:
                     F.lit("1995-06-01").cast("date").alias("start"),
                     F.when(F.pmod("c_custkey", F.lit(4)) == 0, F.lit(None).cast("date"))
                     .otherwise(F.lit("1999-12-31").cast("date")).alias("ending")))
-
-
-@view
-def li_trades(spark, sf_dir) -> DataFrame:
-    """lineitem × part as large plain trades (daily stamps; for aggregation / lake benchmarks)."""
-    li = table(spark, sf_dir, "lineitem")
-    p = table(spark, sf_dir, "part")
-    j = li.join(p, li.l_partkey == p.p_partkey)
-    return j.select(
-        F.col("l_orderkey").alias("order_key"), F.col("l_linenumber").alias("line_no"),
-        F.col("p_brand").alias("symbol"), F.to_date("l_shipdate").alias("trade_date"),
-        F.col("l_shipdate").alias("ts_event"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
-        F.col("l_quantity").cast("int").alias("size"),
-        F.col("l_returnflag").alias("ex"), F.col("l_linestatus").alias("tr_corr"))

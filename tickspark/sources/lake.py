@@ -30,13 +30,15 @@ from tickspark.sources.listing import children, drop_folders, load_folders, open
 PARTS_BY_SYMBOL = ["trade_date", "symbol"]
 PARTS_BY_DATE = ["trade_date"]
 LOAD = "load"
+#: O1: time, its nanoseconds and the sequence, as far as a table has them.
+ORDER = ("ts_event", "ts_event_ns", "tr_seqnum", "qu_seqnum")
 #: Hidden from readers; its presence says that the dataset has the load level.
 _BY_LOAD = "_by_load"
 
 
 def write_partitioned(df: DataFrame, root: str, dataset: str, partition_by_symbol: bool = True,
                       compression: str = "zstd", mode: str = "overwrite",
-                      sort_cols: Sequence[str] = ("ts_event",), load: str | None = None) -> int:
+                      sort_cols: Sequence[str] = ORDER, load: str | None = None) -> int:
     """K1/K2/K5/K6/K7: write ``df`` under ``root/dataset``; returns the number of rows written.
 
     ``mode="overwrite"`` replaces only the partitions present in ``df`` (dynamic

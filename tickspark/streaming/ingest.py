@@ -28,7 +28,7 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
 def ingest_stream(spark: SparkSession, landing: str, schema: T.StructType, root: str, dataset: str,
                   checkpoint: str, transform: Callable[[DataFrame], DataFrame] | None = None,
                   fmt: str = "csv", partition_by_symbol: bool = True, available_now: bool = True,
-                  max_files_per_trigger: int | None = None, sort_cols: Sequence[str] = ("ts_event",)):
+                  max_files_per_trigger: int | None = None, sort_cols: Sequence[str] = lake.ORDER):
     """Start the landing → ``root/dataset`` stream; returns the ``StreamingQuery``."""
     r = spark.readStream.schema(schema)
     if fmt == "csv":
