@@ -119,6 +119,12 @@ def _sequences(ranks_file: str, seq_len: int):
     def run(batches):
         if not kept:
             kept.append(Tokens(ranks_file))
+        try:
+            yield from cut(batches)
+        finally:
+            kept.clear()  # a worker that waits for its next task keeps no pieces
+
+    def cut(batches):
         path, first, last, nth = None, 0, None, 0
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):

@@ -107,8 +107,11 @@ def _features(lexicon: dict[str, float]):
 
     @pandas_udf("array<double>")
     def features(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            yield pd.Series([shared.of(t) for t in batch], dtype=object)
+        try:
+            for batch in texts:
+                yield pd.Series([shared.of(t) for t in batch], dtype=object)
+        finally:
+            shared.known.clear()  # a worker that waits for its next task keeps no words
 
     return features
 
