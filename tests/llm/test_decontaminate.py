@@ -62,3 +62,24 @@ def test_empty_tables(spark, docs_of):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert find_pairs(docs_of(["a b c d e f"]), bench).collect() == []
     assert find_pairs(docs_of([]), bench).collect() == []
+
+
+def test_one_word_everywhere_is_tiled_in_time():
+    import time
+    start = time.perf_counter()
+    same = np.full(40_000, 7, np.uint64)
+    assert tile(same, same[:9_000], 5) == [(0, 0, 9_000)]
+    rng = np.random.default_rng(1)
+    few = rng.integers(0, 2, 4_000).astype(np.uint64)
+    tiles = tile(few, few[::-1][:800].copy(), 5)
+    assert all((few[d:d + n] == few[::-1][i:i + n]).all() for d, i, n in tiles)
+    assert time.perf_counter() - start < 20
+
+
+def test_unspaced_benchmark_counts_by_its_bytes_and_names_may_clash(spark, docs_of):
+    docs = docs_of([ITEM, "clean text of some other words"]).withColumnRenamed("row", "__row")
+    bench = spark.createDataFrame([(1, ITEM), (2, "x" * 5000)], "item_id long, text string")
+    for words in (10, 2_000_000):
+        assert [r.doc_id for r in find_leaks(docs, bench, broadcast_words=words).collect()] == [0]
+    kept = drop_contaminated(docs, bench)
+    assert kept.columns == docs.columns and [(r.doc_id, r["__row"]) for r in kept.collect()] == [(1, "extra")]

@@ -6,8 +6,9 @@ common runs of at least ``seed`` words, found by rolling Karp-Rabin hashes, are
 marked one after another without overlap, longest first. An item whose tiles cover
 at least ``coverage`` of its words is in the document, in whatever order.
 
-The benchmark is the bounded side. Up to ``broadcast_words`` words of it travel as a
-broadcast index; beyond that the same windows are joined by a shuffle.
+The benchmark is the bounded side. Up to ``broadcast_words`` words of it (eight bytes count
+as a word at least, so unspaced texts are bounded too) travel as a broadcast index;
+beyond that the same windows are joined by a shuffle.
 
 Defined cases: null and empty texts match nothing; items shorter than ``seed`` words
 match as one run of all their words; repeated items and documents each keep their
@@ -21,72 +22,105 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickspark.llm.common import hashed_words, shingles
+from tickspark.llm.common import hashed_words, mix64, numbered, shingles
+from tickspark.operators.ranking import fresh
 
 SEED_WORDS = 5
 COVERAGE = 0.8
 BROADCAST_WORDS = 2_000_000
+_BASE = 0x9E3779B97F4A7C15
 
 
 def _windows(words: np.ndarray, size: int) -> np.ndarray:
     return shingles(words, size) if len(words) >= size else words[:0]
 
 
+class _Rolling:
+    """Karp-Rabin hashes of all windows of any length, from one pass over the words."""
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+        with np.errstate(over="ignore"):
+            up = np.full(len(words) + 1, np.uint64(_BASE))
+            down = np.full(len(words) + 1, np.uint64(pow(_BASE, -1, 1 << 64)))
+            up[0] = down[0] = 1
+            up, self.down = np.cumprod(up), np.cumprod(down)
+            self.sums = np.append(np.uint64(0), np.cumsum(mix64(words + np.uint64(1)) * up[:-1]))
+
+    def at(self, starts: np.ndarray, size: int) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mix64((self.sums[starts + size] - self.sums[starts]) * self.down[starts])
+
+
 def tile(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     """Greedy string tiling: (document start, item start, length) tiles.
 
-    Each round hashes all unmarked runs of the search length in both texts, grows the
-    shared ones, and marks the longest; the search length then falls to what is left.
+    Each round finds the longest length at which a free run of both texts is equal, by
+    halving over rolling hashes of all free runs, and marks the runs of that length in
+    order of their place in the item, then in the document, without overlap. A round
+    costs n log n in the texts' lengths, also where one word fills both.
     """
     least = min(least, len(item))
     free_d, free_i = np.ones(len(doc), bool), np.ones(len(item), bool)
+    rolling_d, rolling_i = _Rolling(doc), _Rolling(item)
     tiles: list[tuple[int, int, int]] = []
+    longest = min(len(doc), len(item))
     while least:
-        found = _matches(doc, item, free_d, free_i, least)
-        found.sort(key=lambda m: (-m[2], m[1], m[0]))
-        if not found:
+        longest = _longest(rolling_d, rolling_i, free_d, free_i, least, longest)
+        if not longest:
             return tiles
-        longest = found[0][2]
-        for d, i, n in found:
-            if n < longest:
-                break  # shorter ones are looked for again among what is still free
-            if free_d[d:d + n].all() and free_i[i:i + n].all():
-                free_d[d:d + n] = False
-                free_i[i:i + n] = False
-                tiles.append((d, i, n))
+        starts_d, hash_d, starts_i, hash_i = _shared(rolling_d, rolling_i, free_d, free_i, longest)
+        order = np.argsort(hash_d, kind="stable")
+        starts_d, hash_d = starts_d[order], hash_d[order]
+        # Marked words stay marked: a document start that was passed over is never free again.
+        after = np.searchsorted(hash_d, hash_i, "right")
+        first: dict[int, int] = {}
+        for i, key, lo, hi in zip(starts_i.tolist(), hash_i.tolist(), np.searchsorted(hash_d, hash_i, "left").tolist(), after.tolist()):
+            if not (free_i[i] and free_i[i + longest - 1]):  # runs of one length overlap at an end
+                continue
+            k = first.get(key, lo)
+            while k < hi and not (free_d[starts_d[k]] and free_d[starts_d[k] + longest - 1]):
+                k += 1
+            first[key] = k
+            if k < hi:
+                d = int(starts_d[k])
+                free_d[d:d + longest] = False
+                free_i[i:i + longest] = False
+                tiles.append((d, i, longest))
+        longest -= 1
     return tiles
 
 
-def _matches(doc, item, free_d, free_i, least) -> list[tuple[int, int, int]]:
-    """Maximal common runs of free words with at least ``least`` words."""
-    starts_d, starts_i = _free_starts(free_d, least), _free_starts(free_i, least)
-    if not len(starts_d) or not len(starts_i):
-        return []
-    hash_d, hash_i = _windows(doc, least), _windows(item, least)
-    order = starts_i[np.argsort(hash_i[starts_i], kind="stable")]
-    ranked = hash_i[order]
-    lo = np.searchsorted(ranked, hash_d[starts_d], "left")
-    hi = np.searchsorted(ranked, hash_d[starts_d], "right")
-    out, done = [], set()
-    for d, a, b in zip(starts_d[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
-        for i in order[a:b].tolist():
-            if (d - 1, i - 1) in done:  # inside a run that has been grown already
-                done.add((d, i))
-                continue
-            n = least
-            while (d + n < len(doc) and i + n < len(item) and free_d[d + n] and free_i[i + n]
-                   and doc[d + n] == item[i + n]):
-                n += 1
-            done.add((d, i))
-            out.append((d, i, n))
-    return out
+def _shared(rolling_d: _Rolling, rolling_i: _Rolling, free_d, free_i, size: int):
+    """Starts and hashes of the free runs of ``size`` words that the other text has too."""
+    starts_d, starts_i = _free_starts(free_d, size), _free_starts(free_i, size)
+    hash_d, hash_i = rolling_d.at(starts_d, size), rolling_i.at(starts_i, size)
+    in_d, in_i = np.isin(hash_d, hash_i), np.isin(hash_i, hash_d)
+    return starts_d[in_d], hash_d[in_d], starts_i[in_i], hash_i[in_i]
+
+
+def _longest(rolling_d, rolling_i, free_d, free_i, least: int, most: int) -> int:
+    """The longest length up to ``most`` of an equal free run; 0 if none has ``least`` words."""
+    def some(size):
+        return len(_shared(rolling_d, rolling_i, free_d, free_i, size)[0]) > 0
+
+    if most < least or not some(least):
+        return 0
+    low, step = least, 1
+    while low + step <= most and some(low + step):  # most runs are short: grow, then halve
+        low, step = low + step, 2 * step
+    high = min(most, low + step)
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if some(middle) else (low, middle - 1)
+    return low
 
 
 def _free_starts(free: np.ndarray, size: int) -> np.ndarray:
     if len(free) < size:
         return np.zeros(0, np.int64)
-    run = np.convolve(free.astype(np.int64), np.ones(size, np.int64), "valid")
-    return np.flatnonzero(run == size)
+    upto = np.append(0, np.cumsum(free))
+    return np.flatnonzero(upto[size:] - upto[:-size] == size)
 
 
 class Index:
@@ -127,13 +161,17 @@ _PAIR = "row long, doc_id long, item_id long, tiled_words long, item_words long,
 
 def find_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text", seed: int = SEED_WORDS,
-               broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
+               broadcast_words: int = BROADCAST_WORDS, row_col: str | None = None) -> DataFrame:
     """(row, doc_id, item_id, tiled_words, item_words, n_tiles) of all pairs that share
-    a seed. ``row`` tells repeated documents apart; see ``find_leaks`` for the verdict."""
-    src = docs.select((F.col("__row") if "__row" in docs.columns else F.monotonically_increasing_id()).alias("row"),
-                      F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    a seed. ``row`` tells repeated documents apart: ``row_col``, if given, else a number of
+    the row in its table. See ``find_leaks`` for the verdict."""
+    if row_col is None:
+        row_col = fresh(docs.columns, "__row")
+        docs = numbered(docs, row_col)
+    src = docs.select(F.col(row_col).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
-    size = items.agg(F.coalesce(F.sum(F.size(F.split("text", r"\s+"))), F.lit(0))).first()[0]
+    words = F.greatest(F.size(F.split("text", r"\s+")), F.ceil(F.octet_length("text") / 8))
+    size = items.agg(F.coalesce(F.sum(words), F.lit(0))).first()[0]
     return _by_broadcast(src, items, seed) if size <= broadcast_words else _by_join(src, items, seed)
 
 
@@ -215,6 +253,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, **args) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, columns unchanged."""
-    keyed = docs.withColumn("__row", F.monotonically_increasing_id())
-    leaks = find_leaks(keyed, benchmark, coverage, **args).select(F.col("row").alias("__row")).distinct()
-    return keyed.join(leaks, "__row", "left_anti").select(*docs.columns)
+    row = fresh(docs.columns, "__row")
+    keyed = numbered(docs, row)
+    leaks = find_leaks(keyed, benchmark, coverage, row_col=row, **args).select(F.col("row").alias(row)).distinct()
+    return keyed.join(leaks, row, "left_anti").select(*docs.columns)
