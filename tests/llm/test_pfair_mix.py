@@ -70,3 +70,10 @@ def test_repeated_rows_and_empty_table(docs_of):
     docs = docs_of([None, "", "a", "a"], ids=[1, 1, None, None], sources=[None, None, "s", "s"])
     assert len(schedule(docs).collect()) == 4
     assert schedule(docs_of([])).collect() == []
+
+
+def test_mix_keeps_columns_of_any_name(spark):
+    from tickspark.llm.pfair_mix import mix
+    docs = spark.createDataFrame([(k, "t" * (k + 1), "s", "mine") for k in range(5)], "doc_id long, text string, source string, __source string")
+    out = mix(docs)
+    assert out.columns == docs.columns and {r["__source"] for r in out.collect()} == {"mine"} and out.count() == 5

@@ -53,3 +53,11 @@ def test_features_find_obfuscated_words():
     f = Features({"blorgh": 3.0})
     assert f.of("you BL0RGH now")[11] > 0 and f.of("you blorgh now")[6] > 0
     assert f.of(None)[:12] == [0.0] * 12
+
+
+def test_a_column_of_that_name_stays(spark, docs_of):
+    texts, labels = corpus(200)
+    lab = spark.createDataFrame([(i, 1, y) for i, y in enumerate(labels)], "doc_id long, quality int, toxic int")
+    docs = docs_of(texts).withColumn("TOX_score", F.lit(0.77))
+    assert score_toxicity(docs, lab).columns == [*docs.columns, "tox_score_"]
+    assert {r.TOX_score for r in reject_toxic(docs, lab).collect()} == {0.77}

@@ -118,4 +118,8 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, id_col: s
 def mix(docs: DataFrame, **args) -> DataFrame:
     """All rows of ``docs``, columns unchanged, range-partitioned and sorted in the
     order of the schedule, so that a file written from it is read in mixed order."""
-    return schedule(docs, **args).repartitionByRange("__slot", "__start").sortWithinPartitions("__slot", "__start").select(*docs.columns)
+    names = {c: f"mix{k}" for k, c in enumerate(docs.columns)}  # no name of ours can clash with these
+    own = {k: names[args.pop(k, default)] for k, default in (("id_col", "doc_id"), ("text_col", "text"), ("source_col", "source"))}
+    placed = schedule(docs.toDF(*names.values()), **own, **args)
+    ordered = placed.repartitionByRange("__slot", "__start").sortWithinPartitions("__slot", "__start")
+    return ordered.select(*(F.col(n).alias(c) for c, n in names.items()))

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from tickspark.llm.common import stored
+from tickspark.operators.ranking import fresh
 
 MAX_LABELLED = 20_000
 THRESHOLD = 0.3
@@ -158,9 +159,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, may_learn: Column, id_co
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, id_col: str = "doc_id",
                    text_col: str = "text", label_col: str = "toxic", max_labelled: int = MAX_LABELLED,
-                   trees: int = 20, depth: int = 3) -> DataFrame:
-    """``docs`` with all its columns plus ``tox_score`` (0 to 1). ``may_learn`` is a
-    condition on the id column; rows where it is not true teach nothing."""
+                   trees: int = 20, depth: int = 3, score_col: str = "tox_score") -> DataFrame:
+    """``docs`` with all its columns plus ``score_col`` (0 to 1; underscores are added while the
+    name is taken). ``may_learn`` is a condition on the id column; rows where it is not
+    true teach nothing."""
+    score_col = fresh(docs.columns, score_col)
     may_learn = F.lit(True) if may_learn is None else may_learn
     sample = stored(labelled_sample(docs, labels, may_learn, id_col, text_col, label_col, max_labelled).coalesce(8), "tox-sample")
     lexicon = learn_lexicon(sample.where("part < 0.5"))
@@ -173,7 +176,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, may_learn: Column | None
     n1, n0 = tree_rows.agg(F.count_if(F.col("y") == 1), F.count_if(F.col("y") == 0)).first()
     if not n1 or not n0:
         share = sample.agg(F.coalesce(F.avg("label"), F.lit(0.0))).first()[0]
-        return docs.withColumn("tox_score", F.lit(float(share)))
+        return docs.withColumn(score_col, F.lit(float(share)))
     gbt = GBTClassifier(featuresCol="__tox_x", labelCol="y", predictionCol="__tox_pred", maxIter=trees, maxDepth=depth,
                         stepSize=0.2, seed=7, minInstancesPerNode=3)
     gbt = gbt.setProbabilityCol("__tox_prob").setRawPredictionCol("__tox_raw").fit(tree_rows)
@@ -187,8 +190,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, may_learn: Column | None
     scored = gbt.transform(docs.withColumn("__tox_x", array_to_vector(features(F.col(text_col).cast("string")))))
     # The calibrated value decides; the trees' own probability orders equal values.
     cal = _interpolate(curve, F.col("__tox_p"))
-    return (scored.withColumn("__tox_p", p).withColumn("tox_score", 0.999 * cal + 0.001 * F.col("__tox_p"))
-            .select(*docs.columns, "tox_score"))
+    return (scored.withColumn("__tox_p", p).withColumn(score_col, 0.999 * cal + 0.001 * F.col("__tox_p"))
+            .select(*docs.columns, score_col))
 
 
 def _interpolate(curve: list[tuple[float, float]], x: Column) -> Column:
@@ -203,4 +206,5 @@ def _interpolate(curve: list[tuple[float, float]], x: Column) -> Column:
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **args) -> DataFrame:
     """The rows of ``docs`` scored under ``threshold``, columns unchanged."""
-    return score_toxicity(docs, labels, **args).where(F.col("tox_score") < threshold).select(*docs.columns)
+    name = fresh(docs.columns, "tox_score")
+    return score_toxicity(docs, labels, score_col=name, **args).where(F.col(name) < threshold).select(*docs.columns)
