@@ -4,7 +4,8 @@ import random
 
 import numpy as np
 
-from tickspark.llm.order_minhash import aligned, components, keep_one, near_classes, similarity, sketch
+from tickspark.llm.common import numbered
+from tickspark.llm.order_minhash import aligned, components, keep_one, labelled, near_classes, similarity, sketch
 
 
 def lcs(a, b):
@@ -133,3 +134,30 @@ def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101)], "a long, b long")
     got = {r["row"]: r["class"] for r in components(edges).collect()}
     assert got == {**{k: 0 for k in range(41)}, 100: 100, 101: 100}
+
+
+def test_occurrence_labels_tell_repeats_apart():
+    keys = np.array([5, 7, 5, 5, 9, 7], np.uint64)
+    named = labelled(keys)
+    assert len(set(named.tolist())) == 6
+    # The k-th occurrence has the same label whatever stands around it.
+    assert set(labelled(np.array([5, 5], np.uint64)).tolist()) == set(named[[0, 2]].tolist())
+    assert labelled(keys[:0]).tolist() == []
+
+
+def test_row_numbers_do_not_change_with_the_cores(spark, tmp_path):
+    spark.range(4000).repartition(9).selectExpr("id as doc_id", "cast(id as string) as text").write.parquet(str(tmp_path / "t"))
+    read = spark.read.parquet(str(tmp_path / "t"))
+    seen = []
+    for size in ("1k", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        seen.append(sorted(map(tuple, numbered(read, "n").select("doc_id", "n").collect())))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert seen[0] == seen[1] and len({n for _, n in seen[0]}) == 4000
+    assert len({r.n for r in numbered(read.where("doc_id > 10").distinct(), "n").collect()}) == 3989
+
+
+def test_keep_one_keeps_columns_of_its_own_names(docs_of):
+    docs = docs_of(["one two three four five six seven"] * 3 + ["another text of words here"]).withColumnRenamed("row", "__row")
+    kept = keep_one(docs)
+    assert kept.columns == docs.columns and sorted(r["__row"] for r in kept.collect()) == ["extra", "extra"]

@@ -8,7 +8,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickspark.session import scratch_path
@@ -17,6 +18,7 @@ from tickspark.session import scratch_path
 TOKENIZERS = os.environ.get("TICKSPARK_TOKENIZERS", "/opt/tokenizers")
 
 _MULT = 0x9E3779B97F4A7C15
+BROADCAST_FILES = 100_000
 _STEP = 1 << 18  # bytes of text worked on at once
 
 
@@ -34,6 +36,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` plus ``name``: a number of each row that stays the same however often, and by
+    however many executors, the table is read.
+
+    Of a plain scan of files it is the file's number by path and the row's place in it;
+    anything else is written once with its numbers.
+    """
+    spark = docs.sparkSession
+    try:
+        if any(c.lower() == "_metadata" for c in docs.columns):
+            raise AnalysisException("a column of the table hides the file's")
+        at = docs.select(*docs.columns, F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__at"))
+        files = at.select("__path").distinct()
+    except AnalysisException:
+        return stored(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    order = F.row_number().over(Window.orderBy("__path")).cast("long")  # a row per file
+    files = stored(files.withColumn("__file", order).coalesce(1), "files")
+    few = files.count() <= BROADCAST_FILES
+    return at.join(F.broadcast(files) if few else files, "__path").select(
+        *docs.columns, F.shiftleft("__file", 40).bitwiseOR(F.col("__at")).alias(name))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

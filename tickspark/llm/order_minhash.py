@@ -1,9 +1,11 @@
 """Operator 7: near-duplicate classes by Order MinHash and banded alignment.
 
-A text is its sequence of distinct five-word shingles, at their first places: the
-sequence that is aligned in the end, so repeating a passage changes neither. One sketch
-takes the few shingles of least hash and keeps them in text order, so two texts share a
-sketch only where they agree in content and in order.
+A text is its sequence of five-word shingles. One sketch takes the few of least hash and
+keeps them in text order, so two texts share a sketch only where they agree in content
+and in order. ``labelled`` sketches are over occurrence-labelled shingles (the k-th
+occurrence of one is another than its first); the others are over the distinct
+shingles at their first places, the sequence that is aligned in the end, so that texts
+which repeat a passage a different number of times meet as well.
 
 1. Equal word sequences fall together under one representative.
 2. Representatives with an equal sketch meet in a bucket, whose first and last members
@@ -14,8 +16,9 @@ sketch only where they agree in content and in order.
    closer ones of a large group do, and each is paired with the first and last members
    in ORDERS random orders that are of another class yet. A pair that shares fewer than
    ``min_shared`` of all sketches is left out (at similarity 0.8 that happens about once
-   in 80,000 pairs). One byte of each sketch travels with the members, so most of those
-   pairs are never made; equal sketches have equal bytes, so none is lost by it.
+   in 80,000 pairs). One byte of each sketch travels with the members, so those pairs are
+   never made; equal sketches have equal bytes, so none is lost by it, and unequal ones
+   that agree in that byte only add a pair to verify.
 4. What leaders may have missed is searched exactly: rows that share ``min_shared`` or
    more buckets with other classes meet on their rarest shingles. At similarity 0.8 two
    texts have a shingle in common among the rarest fifth of each, whatever the order of
@@ -39,12 +42,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickspark.llm.common import hashed_words, mix64, shingles, stored
+from tickspark.llm.common import hashed_words, mix64, numbered, shingles, stored
+from tickspark.operators.ranking import fresh
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-SKETCHES, PER_SKETCH, MIN_SHARED = 24, 3, 3
-ORDERS = 2
+SKETCHES, LABELLED, PER_SKETCH, MIN_SHARED = 24, 8, 3, 3
+ORDERS = 1
 SLOTS = 1 << 20  # counters of how often a shingle occurs, which order shingles by rarity
 BAND = 0.25  # of the longer text: how far apart matching positions may lie
 _SEEDS = mix64(np.arange(1, 1025, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
@@ -100,6 +104,17 @@ def distinct(hashes: np.ndarray) -> np.ndarray:
     return hashes[np.sort(np.unique(hashes, return_index=True)[1])]
 
 
+def labelled(hashes: np.ndarray) -> np.ndarray:
+    """Every shingle with the number of its occurrence mixed in, in order."""
+    order = np.argsort(hashes, kind="stable")
+    first = np.append(True, np.diff(hashes[order]) != 0)[:len(hashes)]
+    starts = np.flatnonzero(first)
+    nth = np.empty(len(hashes), np.uint64)
+    nth[order] = np.arange(len(hashes)) - np.repeat(starts, np.diff(np.append(starts, len(hashes))))
+    with np.errstate(over="ignore"):
+        return mix64(hashes + nth * np.uint64(0xA0761D6478BD642F))
+
+
 def similarity(words_a: np.ndarray, words_b: np.ndarray, size: int, band: float = BAND) -> float:
     """Ordered similarity of two word sequences over their distinct shingles."""
     a, b = distinct(shingles(words_a, size)), distinct(shingles(words_b, size))
@@ -111,18 +126,20 @@ def similarity(words_a: np.ndarray, words_b: np.ndarray, size: int, band: float
     return m / (len(a) + len(b) - m)
 
 
-def _sketch_rows(size, sketches, per_sketch):
+def _sketch_rows(size, sketches, n_labelled, per_sketch):
     def run(batches):
         for batch in batches:
             keys, high, low, counts = [], [], [], []
             for _, words in hashed_words(batch.column(2)):
-                own = distinct(shingles(words, size))
+                every = shingles(words, size)
+                own = distinct(every)
                 with np.errstate(over="ignore"):
                     place = mix64(words ^ (np.arange(len(words), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
                     high.append(int(place.sum(dtype=np.uint64).view(np.int64)))
                     low.append(int(mix64(place * np.uint64(0xC2B2AE3D27D4EB4F)).sum(dtype=np.uint64).view(np.int64)))
                 counts.append(len(own))
-                keys.append(sketch(own, sketches, per_sketch).view(np.int64) if len(own) else np.zeros(0, np.int64))
+                keys.append(np.concatenate([sketch(own, sketches, per_sketch), mix64(sketch(labelled(every), n_labelled, per_sketch))])
+                            .view(np.int64) if len(own) else np.zeros(0, np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             flat = pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
@@ -231,20 +248,26 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None,
                  size: int = SHINGLE_WORDS, least: float = SIMILARITY, sketches: int = SKETCHES,
-                 per_sketch: int = PER_SKETCH, min_shared: int = MIN_SHARED, band: float = BAND) -> DataFrame:
+                 n_labelled: int = LABELLED, per_sketch: int = PER_SKETCH, min_shared: int = MIN_SHARED, band: float = BAND) -> DataFrame:
     """(row, doc_id, class_row, class_id, n_links) per row of ``docs``. ``class_row`` is
     the row that stands for the class, ``class_id`` its id; ``n_links`` counts the row's verified pairs with other
-    texts. ``row_col`` names a unique row number, else one is made from the scan."""
-    src = docs.select((F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"),
-                      F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    made = stored(src.mapInArrow(_sketch_rows(size, sketches, per_sketch),
+    texts. ``row_col`` names a unique row number that no reread changes; without it rows are
+    numbered by ``numbered``."""
+    if row_col is None:
+        row_col = fresh(docs.columns, "__row")
+        docs = numbered(docs, row_col)
+    src = docs.select(F.col(row_col).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    made = stored(src.mapInArrow(_sketch_rows(size, sketches, n_labelled, per_sketch),
                                  "row long, doc_id long, high long, low long, size int, sketches array<long>"), "omh")
     reps = stored(made.groupBy("high", "low").agg(F.min(F.struct("row", "doc_id")).alias("rep"))
                   .select("high", "low", F.col("rep.row").alias("rep"), F.col("rep.doc_id").alias("rep_id")), "omh-reps")
     sketched = stored(made.join(reps.select(F.col("rep").alias("row")), "row", "left_semi").where("size > 0")
                       .select("row", "size", "sketches"), "omh-sketches")
+    # Most sketches are one text's own: only shared ones are kept.
     spread = sketched.select("row", F.explode("sketches").alias("bucket"))
-    led = stored(spread.join(_ends(spread, 1).where("n > 1"), "bucket").select("row", "ends"), "omh-buckets")
+    shared = spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    members = stored(spread.join(shared, "bucket", "left_semi"), "omh-members")
+    led = stored(members.join(_ends(members, 1), "bucket").select("row", "ends"), "omh-buckets")
     met = (led.select("row", F.explode(F.array_distinct(F.transform("ends", lambda e: e["row"]))).alias("other")).where("row <> other")
            .groupBy("row", "other").agg(F.count("*").alias("n")))
     best = (met.groupBy("row").agg(F.max(F.struct("n", F.xxhash64("row", "other"), "other"))["other"].alias("other"))
@@ -262,14 +285,11 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                      & (F.least(e["size"], "size") >= least * F.greatest(e["size"], "size")))
     pairs = (classed.join(mixed, "bucket").select("row", F.explode(F.array_distinct(F.transform(apart, lambda e: e["row"]))).alias("other"))
              .select(F.least("row", "other").alias("a"), F.greatest("row", "other").alias("b")).distinct())
-    one, two = (sketched.select(F.col("row").alias(x), F.col("size").alias(f"n{x}"), F.col("sketches").alias(f"s{x}")) for x in "ab")
-    shared = F.size(F.filter(F.arrays_zip("sa", "sb"), lambda z: z["sa"] == z["sb"]))
-    rest = stored(pairs.join(one, "a").join(two, "b").where(F.least("na", "nb") >= least * F.greatest("na", "nb"))
-                  .where(shared >= min_shared).select("a", "b"), "omh-pairs")
+    rest = stored(pairs, "omh-pairs")
     links = first.unionByName(stored(_verified(src, rest, size, band, least), "omh-links"))
     label = components(links)
     # Exactly: rows that share enough buckets with rows of another class.
-    seen = spread.join(label, "row", "left").withColumn("class", F.coalesce("class", "row"))
+    seen = members.join(label, "row", "left").withColumn("class", F.coalesce("class", "row"))
     mixed = seen.groupBy("bucket").agg(F.min("class").alias("lowest"), F.max("class").alias("highest")).where("lowest <> highest")
     left = stored(seen.join(mixed.select("bucket"), "bucket", "left_semi").groupBy("row", "class").agg(F.count("*").alias("n"))
                   .where(F.col("n") >= min_shared).select("row", "class"), "omh-open")
@@ -317,6 +337,7 @@ def _aligned_pairs(words: DataFrame, pairs: DataFrame, size: int, band: float, l
 
 def keep_one(docs: DataFrame, **args) -> DataFrame:
     """The rows of ``docs`` that stand for their class, columns unchanged."""
-    keyed = docs.withColumn("__row", F.monotonically_increasing_id())
-    chosen = near_classes(keyed, row_col="__row", **args).where("row = class_row").select(F.col("row").alias("__row"))
-    return keyed.join(chosen, "__row", "left_semi").select(*docs.columns)
+    row = fresh(docs.columns, "__row")
+    keyed = numbered(docs, row)
+    chosen = near_classes(keyed, row_col=row, **args).where("row = class_row").select(F.col("row").alias(row))
+    return keyed.join(chosen, row, "left_semi").select(*docs.columns)
