@@ -22,7 +22,7 @@ def keep_symbols(ticks: DataFrame, symbols, col: str = "symbol", literals: int =
     """
     if symbols is None:
         return ticks
-    if isinstance(symbols, (str, *((list, tuple, set, frozenset)))):
+    if isinstance(symbols, (str, list, tuple, set, frozenset)):
         names = sorted({symbols} if isinstance(symbols, str) else set(symbols))
         if len(names) <= literals:
             return ticks.where(F.col(col).isin(names))
