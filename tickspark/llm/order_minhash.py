@@ -276,10 +276,13 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     label = components(first)
     fine = F.transform("sketches", lambda s, k: F.xxhash64(s, F.get("sketches", (k + 1) % F.size("sketches"))))
     marks = F.transform("sketches", lambda s: F.shiftright(s, 56).cast("tinyint"))
-    close = (sketched.join(led.select("row").distinct(), "row", "left_semi")
-             .select("row", "size", marks.alias("marks"), F.explode(fine).alias("bucket")))
-    classed = stored(close.join(label, "row", "left").withColumn("class", F.coalesce("class", "row")), "omh-fine")
-    mixed = _ends(classed, ORDERS).where("lowest <> highest")
+    # Keys first: what travels with a member is added where a bucket holds two classes.
+    close = (sketched.join(led.select("row").distinct(), "row", "left_semi").join(label, "row", "left")
+             .select("row", F.coalesce("class", "row").alias("class"), F.explode(fine).alias("bucket")))
+    both = close.groupBy("bucket").agg(F.min("class").alias("lowest"), F.max("class").alias("highest")).where("lowest <> highest")
+    classed = stored(close.join(both.select("bucket"), "bucket", "left_semi")
+                     .join(sketched.select("row", "size", marks.alias("marks")), "row"), "omh-fine")
+    mixed = _ends(classed, ORDERS)
     agree = lambda e: F.aggregate(F.zip_with(e["marks"], "marks", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
     apart = F.filter("ends", lambda e: (e["class"] != F.col("class")) & (agree(e) >= min_shared)
                      & (F.least(e["size"], "size") >= least * F.greatest(e["size"], "size")))
