@@ -3,7 +3,9 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
+from tickspark.llm import common, order_minhash
 from tickspark.llm.common import numbered
 from tickspark.llm.order_minhash import aligned, components, keep_one, labelled, near_classes, similarity, sketch
 
@@ -161,3 +163,60 @@ def test_keep_one_keeps_columns_of_its_own_names(docs_of):
     docs = docs_of(["one two three four five six seven"] * 3 + ["another text of words here"]).withColumnRenamed("row", "__row")
     kept = keep_one(docs)
     assert kept.columns == docs.columns and sorted(r["__row"] for r in kept.collect()) == ["extra", "extra"]
+
+
+def test_texts_are_not_shuffled_to_be_chosen(spark, docs_of, tmp_path):
+    docs_of([f"text {k % 40} of words that are their own {k % 40}" for k in range(80)]).write.parquet(str(tmp_path / "t"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if no side were small
+    try:
+        kept = keep_one(spark.read.parquet(str(tmp_path / "t")))
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert kept.count() == 40
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_chosen_rows_are_those_named(spark, monkeypatch):
+    rows = [0, 1, 7, 8, 32767, 32768, 32769, (3 << 40) + 5, (1 << 33) + 2]
+    docs = spark.createDataFrame([(r + d, str(r)) for r in rows for d in (0, 100_000)], "n long, __bits string")
+    ids = spark.createDataFrame([(r,) for r in [*rows, rows[0], None, 99]], "x long")
+    for most in (common.BROADCAST_BITS, 0):
+        monkeypatch.setattr(common, "BROADCAST_BITS", most)
+        got = common.among(docs, ids, "n")
+        assert got.columns == ["n", "__bits"] and sorted(r.n for r in got.collect()) == sorted(rows)
+
+
+def test_components_go_on_with_the_edges_between_ends(spark, monkeypatch):
+    seen = []
+
+    def stored(df, name):
+        out = common.stored(df, name)
+        if name == "cc-edges":
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(order_minhash, "stored", stored)
+    rng = random.Random(2)
+    edges = [tuple(sorted(rng.sample(range(200), 2))) for _ in range(800)] + [(500, 500), (7, 900)]
+    got = {r["row"]: r["class"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    parent = {x: x for e in edges for x in e}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        low, high = sorted((find(a), find(b)))
+        parent[high] = low
+    assert got == {x: find(x) for x in parent}
+    assert seen[0] == len(set(edges)) and seen[-1] == 0 and sum(seen[1:]) < seen[0] / 4
+
+
+def test_sketches_come_in_small_batches():
+    texts = pa.array([f"some words of text {k}" for k in range(1200)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1200)), pa.array(range(1200)), texts], ["row", "doc_id", "text"])
+    made = list(order_minhash._sketch_rows(5, 24, 8, 3)([batch]))
+    assert sum(b.num_rows for b in made) == 1200 and max(b.num_rows for b in made) <= 500

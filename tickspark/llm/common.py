@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tickspark.operators.ranking import fresh
 from tickspark.session import scratch_path
 
 #: Folder of the public tokenizer files; every operator takes a path of its own too.
@@ -19,6 +20,7 @@ TOKENIZERS = os.environ.get("TICKSPARK_TOKENIZERS", "/opt/tokenizers")
 
 _MULT = 0x9E3779B97F4A7C15
 BROADCAST_FILES = 100_000
+BROADCAST_BITS = 20_000  # bitmaps of 4 KB
 _STEP = 1 << 18  # bytes of text worked on at once
 
 
@@ -58,6 +60,34 @@ def numbered(docs: DataFrame, name: str) -> DataFrame:
         *docs.columns, F.shiftleft("__file", 40).bitwiseOR(F.col("__at")).alias(name))
 
 
+def among(docs: DataFrame, rows: DataFrame, name: str) -> DataFrame:
+    """The rows of ``docs`` whose number ``name`` is in the one column of ``rows``.
+
+    The numbers become a bit each and go to all executors, so ``docs`` stays where it is;
+    only where they lie so far apart that the bits are many, ``docs`` is shuffled to them.
+    """
+    one, bucket, bits = (fresh([*docs.columns, name], x) for x in ("__one", "__bucket", "__bits"))
+    rows = rows.toDF(one).where(F.col(one).isNotNull())
+    marks = stored(rows.groupBy(F.bitmap_bucket_number(one).alias(bucket))
+                   .agg(F.bitmap_construct_agg(F.bitmap_bit_position(one)).alias(bits)), "row-bits")
+    if marks.count() > BROADCAST_BITS:
+        return docs.join(rows.withColumnRenamed(one, name), name, "left_semi")
+    at = F.bitmap_bit_position(name)
+    byte = F.conv(F.hex(F.substring(bits, F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = docs.join(F.broadcast(marks), F.bitmap_bucket_number(name) == F.col(bucket))
+    return found.where(F.getbit(byte, F.pmod(at, F.lit(8)).cast("int")) == 1).drop(bucket, bits)
+
+
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of ``rows``; a worker that waits for its next task keeps no Arrow memory."""
+    try:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, rows):
+                yield batch.slice(lo, rows)
+    finally:
+        pa.default_memory_pool().release_unused()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickspark.llm.common import hashed_words, mix64, numbered, shingles, stored
+from tickspark.llm.common import among, hashed_words, mix64, numbered, shingles, sliced, stored
 from tickspark.operators.ranking import fresh
 
 SHINGLE_WORDS = 5
@@ -128,7 +128,7 @@ def similarity(words_a: np.ndarray, words_b: np.ndarray, size: int, band: float
 
 def _sketch_rows(size, sketches, n_labelled, per_sketch):
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             keys, high, low, counts = [], [], [], []
             for _, words in hashed_words(batch.column(2)):
                 every = shingles(words, size)
@@ -152,16 +152,14 @@ def _sketch_rows(size, sketches, n_labelled, per_sketch):
 
 def _words(batches):
     """(row, word hashes as 32-bit numbers) of each text."""
-    for batch in batches:
-        for lo in range(0, batch.num_rows, 500):
-            part = batch.slice(lo, 500)
-            found = [(w >> np.uint64(32)).astype(np.uint32).tobytes() for _, w in hashed_words(part.column(1))]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], ["row", "words"])
+    for batch in sliced(batches):
+        found = [(w >> np.uint64(32)).astype(np.uint32).tobytes() for _, w in hashed_words(batch.column(1))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["row", "words"])
 
 
 def _verify(size, band, least):
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             keep = np.zeros(batch.num_rows, bool)
             mine, theirs = batch.column(2), batch.column(3)
             for k in range(batch.num_rows):
@@ -177,10 +175,10 @@ def _tally(size):
     """(slot, n): how many texts have a shingle of that slot."""
     def run(batches):
         total = np.zeros(SLOTS, np.int64)
-        for batch in batches:
+        for batch in sliced(batches):
             for found in batch.column(1):
                 own = distinct(shingles(np.frombuffer(found.as_buffer(), np.uint32).astype(np.uint64), size))
-                total += 0 if not len(own) else np.bincount((own % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+                np.add.at(total, (own % np.uint64(SLOTS)).astype(np.int64), 1)
         slots = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int32)), pa.array(total[slots])], ["slot", "n"])
 
@@ -191,7 +189,7 @@ def _rarest(size, least, often):
     """(row, key, at, size): the shingles of the prefix that some other text may have,
     with their place in the text's order of rarity."""
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             rows, keys, at, sizes = ([np.zeros(0, np.int64)] for _ in range(4))
             for row, found in zip(batch.column(0).to_pylist(), batch.column(1)):
                 own = distinct(shingles(np.frombuffer(found.as_buffer(), np.uint32).astype(np.uint64), size))
@@ -230,22 +228,39 @@ def _unmet(words: DataFrame, classed: DataFrame, size: int, least: float) -> Dat
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """(row, class) of every row in (a, b) edges; the class is the least row reached.
 
-    Each round takes the least class among a row's neighbours and then that class's
-    own class, so chains shorten by half; every round is written to shared storage.
+    Each round points every row at the least of its neighbours and itself, follows the
+    pointers to their ends by doubling, and goes on with the edges between different
+    ends only; every round is written to shared storage.
     """
-    both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "cc-edges")
-    label = stored(both.groupBy(F.col("a").alias("row")).agg(F.least(F.first("a"), F.min("b")).alias("class")), "cc")
+    left = stored(edges.select("a", "b").distinct(), "cc-edges")
+    label = None
     for _ in range(rounds):
-        heard = both.join(label.select(F.col("row").alias("b"), F.col("class").alias("c")), "b").groupBy("a").agg(F.min("c").alias("c"))
-        near = label.join(heard, label["row"] == heard["a"]).select("row", "class", F.least("class", "c").alias("next"))
-        jump = label.select(F.col("row").alias("next"), F.col("class").alias("far"))
-        step = stored(near.join(jump, "next").select("row", F.col("class").alias("old"), F.least("next", "far").alias("class")), "cc")
-        label = step.select("row", "class")
-        if not step.where("old <> class").limit(1).count():
+        both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        ends = _followed(stored(both.groupBy(F.col("a").alias("row")).agg(F.least(F.first("a"), F.min("b")).alias("class")), "cc"), rounds)
+        if label is None:
+            label = ends
+        else:
+            onward = ends.select(F.col("row").alias("class"), F.col("class").alias("far"))
+            label = stored(label.join(onward, "class", "left").select("row", F.coalesce("far", "class").alias("class")), "cc")
+        one, two = (ends.select(F.col("row").alias(x), F.col("class").alias(f"c{x}")) for x in "ab")
+        left = stored(left.join(one, "a").join(two, "b").where("ca <> cb")
+                      .select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct(), "cc-edges")
+        if not left.limit(1).count():
             return label
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
+def _followed(label: DataFrame, rounds: int) -> DataFrame:
+    """(row, class) with every class's own class followed to its end."""
+    for _ in range(rounds):
+        jump = label.select(F.col("row").alias("class"), F.col("class").alias("far"))
+        moved = label.where("row <> class").join(jump.where("far <> class"), "class")
+        if not moved.limit(1).count():
+            return label
+        label = stored(label.join(jump, "class").select("row", F.col("far").alias("class")), "cc")
+    raise RuntimeError(f"classes did not settle in {rounds} rounds")
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None,
                  size: int = SHINGLE_WORDS, least: float = SIMILARITY, sketches: int = SKETCHES,
                  n_labelled: int = LABELLED, per_sketch: int = PER_SKETCH, min_shared: int = MIN_SHARED, band: float = BAND) -> DataFrame:
@@ -296,7 +311,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     mixed = seen.groupBy("bucket").agg(F.min("class").alias("lowest"), F.max("class").alias("highest")).where("lowest <> highest")
     left = stored(seen.join(mixed.select("bucket"), "bucket", "left_semi").groupBy("row", "class").agg(F.count("*").alias("n"))
                   .where(F.col("n") >= min_shared).select("row", "class"), "omh-open")
-    words = stored(src.select("row", "text").join(left.select("row"), "row", "left_semi").mapInArrow(_words, "row long, words binary"), "omh-words")
+    words = stored(among(src.select("row", "text"), left.select("row"), "row").mapInArrow(_words, "row long, words binary"), "omh-words")
     late = stored(_aligned_pairs(words, stored(_unmet(words, left, size, least), "omh-pairs"), size, band, least), "omh-links")
     links = links.unionByName(late)
     # Only classes are joined further, not rows.
@@ -326,9 +341,9 @@ def _ends(members: DataFrame, orders: int) -> DataFrame:
 
 
 def _verified(src: DataFrame, pairs: DataFrame, size: int, band: float, least: float) -> DataFrame:
-    """The (a, b) pairs whose texts align; only texts in a pair are shuffled on."""
-    ids = pairs.select(F.col("a").alias("row")).distinct().union(pairs.select("b").distinct()).distinct()
-    words = src.select("row", "text").join(ids, "row", "left_semi").mapInArrow(_words, "row long, words binary")
+    """The (a, b) pairs whose texts align; only the words of texts in a pair are shuffled."""
+    ids = pairs.select("a").union(pairs.select("b"))
+    words = among(src.select("row", "text"), ids, "row").mapInArrow(_words, "row long, words binary")
     return _aligned_pairs(stored(words, "omh-words"), pairs, size, band, least)
 
 
@@ -343,4 +358,4 @@ def keep_one(docs: DataFrame, **args) -> DataFrame:
     row = fresh(docs.columns, "__row")
     keyed = numbered(docs, row)
     chosen = near_classes(keyed, row_col=row, **args).where("row = class_row").select(F.col("row").alias(row))
-    return keyed.join(chosen, row, "left_semi").select(*docs.columns)
+    return among(keyed, chosen, row).select(*docs.columns)
