@@ -1,8 +1,13 @@
 """Operator 9: the permutation, and shards read back against a plain tokenisation."""
 
+import random
+
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from tickspark.llm import common, token_shards
 from tickspark.llm.common import tokenizer_file
 from tickspark.llm.token_shards import Tokens, feistel, materialise, read_shards, read_slots, slots_of
 
@@ -58,3 +63,33 @@ def test_same_slots_at_any_partitioning(spark, docs_of, tmp_path):
 
 def test_empty_table(spark, docs_of, tmp_path):
     assert materialise(docs_of([]), str(tmp_path / "none")).collect() == []
+
+
+def test_tokens_of_many_texts_are_those_of_each():
+    rng = random.Random(5)
+    marks = [" ", " ", "\n", "\t", " ", " ", "　", "\x1c", "\x85", "a", "bc", "é", "漢", "​", "1", "'s", "Â", "<|endoftext|>"]
+    texts = [*TEXTS, *("".join(rng.choices(marks, k=rng.randrange(12))) for _ in range(3000))]
+    tokens = Tokens(tokenizer_file("byte_bpe_50k.tiktoken"))
+    for part in (texts, [None], [""], []):
+        ids, bounds = tokens.many(pa.array(part, pa.string()))
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [tokens.of(t) for t in part]
+        assert tokens.counts(pa.array(part, pa.string())).tolist() == np.diff(bounds).tolist()
+
+
+def test_token_ids_are_written_to_shards_only(spark, docs_of, tmp_path, monkeypatch):
+    docs_of([f"text {k} " * (k % 9) for k in range(50)]).write.parquet(str(tmp_path / "docs"))
+    seen = []
+    monkeypatch.setattr(token_shards, "stored", lambda df, name: seen.append(df.columns) or common.stored(df, name))
+    rows = materialise(spark.read.parquet(str(tmp_path / "docs")), str(tmp_path / "out"), seq_len=8).collect()
+    assert seen and not any("ids" in columns or "text" in columns for columns in seen)
+    assert sorted(r.number for r in rows) == list(range(len(rows)))
+
+
+def test_numbers_follow_the_table_where_rows_are_left_out(spark, docs_of, tmp_path):
+    docs_of([f"text {k} " * (k % 5) for k in range(5000)]).coalesce(1).write.parquet(str(tmp_path / "docs"))
+    for docs in (spark.read.parquet(str(tmp_path / "docs")).where("doc_id % 3 = 1"),
+                 spark.read.parquet(str(tmp_path / "docs")).where("doc_id % 3 = 1").coalesce(1).select("doc_id", F.upper("text").alias("text"))):
+        rows = sorted(materialise(docs, str(tmp_path / f"out{len(docs.columns)}"), seq_len=8).collect(), key=lambda r: r.number)
+        assert [r.number for r in rows] == list(range(len(rows))) and len({r.doc_id for r in rows}) == 1667
+        assert [(r.doc_id, r.part) for r in rows] == sorted((r.doc_id, r.part) for r in rows)
+        assert sorted(r.slot for r in rows) == list(range(len(rows)))
