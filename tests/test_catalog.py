@@ -69,3 +69,9 @@ def test_default_source(spark):
     c = spark.createDataFrame([("taq", "trades", D1, "A", 0), ("csv", "nbbo", D1, "A", 1), ("alpaca", "trades", D2, "A", 1)], CAT)
     got = {r.source: (r.n_dates, r.available, r.is_default) for r in cat.source_availability(c).collect()}
     assert got == {"taq": (0, False, False), "csv": (1, True, False), "alpaca": (1, True, True)}
+
+
+def test_a_task_lists_and_reads_footers_in_one_worker(spark, root):
+    found = cat.lake_partitions(spark, root, "trades")
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert sorted((r.trade_date, r.symbol, r.n_rows, r.n_files) for r in found.collect()) == [(D1, "A", 2, 1), (D1, "B", 1, 1), (D2, "A", 1, 1)]

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickspark.functions.columns import clean_symbol_key
-from tickspark.sources.listing import lake_files, partition_folders
+from tickspark.sources.listing import partition_files
 
 DATA_TYPES = ["trades", "quotes", "nbbo"]
 
@@ -43,8 +43,7 @@ def lake_partitions(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     its symbols in the files: only that column is counted. Bytes and files are then those
     of the date, and stand with each of its symbols.
     """
-    folders = partition_folders(spark, root, dataset)
-    files = lake_files(folders)
+    files = partition_files(spark, root, dataset)
     per = [F.count(F.lit(1)).alias("n_files"), F.sum("n_bytes").alias("n_bytes")]
     by_symbol = (files.where(F.col("folder").contains("/symbol=")).groupBy("trade_date", "symbol")
                  .agg(F.sum("n_rows").alias("n_rows"), *per))

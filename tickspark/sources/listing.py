@@ -58,15 +58,28 @@ def _symbol_folders(batches):
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in range(3)], ["trade_date", "symbol", "folder"])
 
 
-def partition_folders(spark: SparkSession, root: str, dataset: str) -> DataFrame:
-    """(trade_date, symbol, folder) of every partition folder; a date without symbol
-    folders is one row with a NULL symbol. Symbols are cleaned, folders as they are."""
+def _date_folders(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     target = f"{root}/{dataset}"
     dates = [f.base_name for f in children(target) if f.type == pafs.FileType.Directory and f.base_name.startswith("trade_date=")]
     rows = spark.createDataFrame([(_value(d), f"{target}/{d}") for d in sorted(dates)], "trade_date string, folder string")
-    spread = rows.repartition(max(1, min(len(dates), 4 * spark.sparkContext.defaultParallelism)))
-    return spread.mapInArrow(_symbol_folders, _FOLDERS).select(
-        F.to_date("trade_date").alias("trade_date"), clean_symbol_key("symbol").alias("symbol"), "folder")
+    return rows.repartition(max(1, min(len(dates), 4 * spark.sparkContext.defaultParallelism)))
+
+
+def _cleaned(found: DataFrame) -> DataFrame:
+    return found.select(F.to_date("trade_date").alias("trade_date"), clean_symbol_key("symbol").alias("symbol"), *found.columns[2:])
+
+
+def partition_folders(spark: SparkSession, root: str, dataset: str) -> DataFrame:
+    """(trade_date, symbol, folder) of every partition folder; a date without symbol
+    folders is one row with a NULL symbol. Symbols are cleaned, folders as they are."""
+    return _cleaned(_date_folders(spark, root, dataset).mapInArrow(_symbol_folders, _FOLDERS))
+
+
+def partition_files(spark: SparkSession, root: str, dataset: str) -> DataFrame:
+    """``lake_files`` of all ``partition_folders``, listed and read by one Python worker of a task."""
+    found = _date_folders(spark, root, dataset).mapInArrow(lambda batches: _footers(_symbol_folders(batches)),
+                                                           _FILES.replace("trade_date date", "trade_date string"))
+    return _cleaned(found)
 
 
 def _footers(batches):
@@ -78,7 +91,7 @@ def _footers(batches):
                 if f.type == pafs.FileType.File and f.base_name.endswith(".parquet"):
                     with fs.open_input_file(f.path) as source:
                         rows.append((date, symbol, folder, f.path, pq.read_metadata(source).num_rows, f.size))
-        kinds = (pa.date32(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
+        kinds = (batch.schema.field(0).type, pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)],
                                          ["trade_date", "symbol", "folder", "file", "n_rows", "n_bytes"])
 
