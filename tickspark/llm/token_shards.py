@@ -2,7 +2,7 @@
 
 1. Texts are tokenised with a public vocabulary (ids, then one end id) and cut into
    sequences of ``seq_len``; the last one of a text is padded in the file.
-   The distinct pieces between white space of a few MB of texts are looked up once each.
+   The distinct pieces between white space of 2 MB of texts are looked up once each.
 2. Sequences are numbered in table order. A first pass only counts them and keeps, per
    BLOCK rows of a file, where each row begins; that table goes to all executors and the
    texts are tokenised again on their way to the shards, so that token ids lie on disk in
@@ -49,7 +49,7 @@ _NULL_ID = -(1 << 63)
 _HEAD = np.dtype([("doc_id", "<i8"), ("part", "<u4"), ("length", "<u4")])
 _PIECE = re.compile(r"\s+(?!\S)| ?\S+|\s+")
 _KEPT_PIECES = 300_000
-_STEP = 1 << 23  # bytes of text worked on at once
+_STEP = 1 << 21  # bytes of text worked on at once
 #: What \s of _PIECE finds, as UTF-8.
 _SPACES = [chr(c).encode() for c in range(0x3001) if chr(c).isspace()]
 _SPACE = np.zeros(256, bool)
@@ -219,7 +219,7 @@ def slots_of(numbers: np.ndarray, total: int, key: int, window: int | None) -> n
 
 
 def _tokenised(ranks_file: str, work):
-    """``work(tokens, batch)`` over batches of a few MB of text, whose second column it is."""
+    """``work(tokens, batch)`` over batches of 2 MB of text, whose second column it is."""
     kept: list[Tokens] = []
 
     def run(batches):
